@@ -1,0 +1,46 @@
+"""One local session for all tests, and the comparison with DuckDB."""
+
+from __future__ import annotations
+
+import os
+import sys
+import tempfile
+from pathlib import Path
+
+import pytest
+
+ROOT = Path(__file__).resolve().parent.parent
+sys.path.insert(0, str(ROOT))
+
+from riskloom.session import build_session  # noqa: E402
+
+SCRATCH = tempfile.mkdtemp(prefix="run-tests-")
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = build_session(
+        app="riskloom-tests",
+        master="local[8]",
+        **{
+            "spark.sql.shuffle.partitions": "8",
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": f"{SCRATCH}/shared",
+            "spark.sql.warehouse.dir": f"{SCRATCH}/warehouse",
+            "spark.driver.extraJavaOptions": f"-Dderby.system.home={SCRATCH}/derby",
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def folder(tmp_path_factory):
+    return str(tmp_path_factory.mktemp("files"))
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
