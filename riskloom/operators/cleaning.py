@@ -5,18 +5,28 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 REPORT_KEY = ["state", "county", "date"]
 REPORT_COUNTS = ["cases", "deaths"]
 
 
 def drop_incomplete(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Rows without a null in the given columns, all columns by default."""
-    return df.dropna(how="any", subset=columns)
+    """Rows without a null or NaN in the given columns, all columns by default.
+
+    One condition per column, which Catalyst can push down one by one, below joins and
+    into the scan; dropna is a single condition over all columns and stays above them.
+    """
+    tests = []
+    for name in df.columns if columns is None else columns:
+        tests.append(F.col(name).isNotNull())
+        if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
+            tests.append(~F.isnan(name))
+    return df.where(reduce(and_, tests)) if tests else df
 
 
 def non_null_counts(df: DataFrame) -> DataFrame:

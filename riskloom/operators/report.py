@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from riskloom.constants import HIGH_RISK_CODE, NO_FILTER
 from riskloom.functions.dates import clock_text
 from riskloom.functions.risk import category_label, code_of_label
+from riskloom.operators.cleaning import drop_incomplete
 from riskloom.operators.lookups import one_code_per_state, with_state_code
 from riskloom.operators.scoring import with_labels
 
@@ -65,7 +66,7 @@ def _labelled(df: DataFrame, *extra_keys: str) -> DataFrame:
     counts = df.groupBy(*extra_keys, key).agg(_rows(df).alias("n"))
     if key == "risk_category":
         counts = counts.withColumn("risk_category_text", category_label(F.col(key))).drop(key)
-    return counts.dropna(subset=[*extra_keys, "risk_category_text"])
+    return drop_incomplete(counts, [*extra_keys, "risk_category_text"])
 
 
 def category_distribution(df: DataFrame) -> DataFrame:
@@ -76,7 +77,7 @@ def category_distribution(df: DataFrame) -> DataFrame:
 def actual_vs_predicted(df: DataFrame) -> DataFrame:
     """Predictions per observed pair of actual and predicted category."""
     pair = ["risk_category", "predicted_risk_category"]
-    return df.dropna(subset=pair).groupBy(*pair).agg(_rows(df).alias("n")).orderBy(*pair)
+    return drop_incomplete(df, pair).groupBy(*pair).agg(_rows(df).alias("n")).orderBy(*pair)
 
 
 def confusion_matrix(df: DataFrame) -> DataFrame:
@@ -88,7 +89,7 @@ def confusion_matrix(df: DataFrame) -> DataFrame:
         for code in range(5)
     ]
     return (
-        df.dropna(subset=["risk_category", "predicted_risk_category"])
+        drop_incomplete(df, ["risk_category", "predicted_risk_category"])
         .groupBy("risk_category")
         .agg(*cells)
         .orderBy("risk_category")
@@ -116,7 +117,7 @@ def mean_risk_by_state(
         return known.groupBy("state").agg(level).orderBy(F.desc_nulls_last("risk_level"), "state")
     if codes is not None:
         means = known.drop("state_code").groupBy("state").agg(level)
-        coded = means.join(one_code_per_state(codes).dropna(), "state")
+        coded = means.join(drop_incomplete(one_code_per_state(codes)), "state")
     else:
         coded = (
             known.where(F.col("state_code").isNotNull()).groupBy("state", "state_code").agg(level)

@@ -2,15 +2,36 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom import schemas
-from riskloom.functions.dates import partition_parts
-from riskloom.operators import cleaning, lookups, report, scoring
+from riskloom.constants import RAW_DATE_FORMAT
+from riskloom.functions.dates import parse_iso_date, partition_parts
+from riskloom.operators import cleaning, learning, lookups, report, scoring
+from riskloom.operators import profile as statistics
+from riskloom.plans import jobs
+from riskloom.session import shared_folder
+from riskloom.sinks.files import export_csv as write_csv
+from riskloom.sinks.jdbc import write_jdbc
+from riskloom.sinks.messages import to_messages, write_message_files
+from riskloom.sources import reports as files
 from riskloom.sources import sample_tables as sample
+from riskloom.sources.jdbc import JdbcTable, read_predictions
+from riskloom.streaming.live import live_distribution
+from riskloom.streaming.scoring import decode_reports, score_reports
+from riskloom.streaming.sinks import (
+    jdbc_batches,
+    latest_result,
+    parquet_batches,
+    read_batches,
+    start_batches,
+    start_files,
+)
+from riskloom.streaming.sources import file_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -216,3 +237,276 @@ def filtered_predictions(spark, sf_dir):
 @query
 def display_view(spark, sf_dir):
     return report.display_view(sample.predictions(spark, sf_dir))
+
+
+# Statistics and feeds
+
+
+@query
+def profile(spark, sf_dir):
+    rows = sample.reports(spark, sf_dir).transform(scoring.with_risk_score)
+    return statistics.profile(rows, ["cases", "deaths", "risk_score"])
+
+
+@query
+def quantiles(spark, sf_dir):
+    rows = sample.reports(spark, sf_dir).transform(scoring.with_risk_score)
+    return statistics.quantiles(rows, ["cases", "deaths", "risk_score"])
+
+
+@query
+def correlations(spark, sf_dir):
+    pairs = [("cases", "deaths"), ("cases", "risk_score"), ("deaths", "risk_score")]
+    return statistics.correlations(sample.scored_reports(spark, sf_dir), pairs)
+
+
+@query
+def union_feeds(spark, sf_dir):
+    return files.union_feeds(
+        {
+            "lines": sample.reports(spark, sf_dir).drop("note"),
+            "orders": sample.order_reports(spark, sf_dir),
+        }
+    )
+
+
+# Files and tables, written and read back
+
+
+def _ingested(spark, sf_dir):
+    folder = shared_folder(spark, "ingest")
+    raw = sample.reports(spark, sf_dir).select(
+        F.date_format("date", RAW_DATE_FORMAT).alias("date"), "county", "state", "cases", "deaths"
+    )
+    raw.write.csv(f"{folder}/raw", header=True)
+    return folder, jobs.ingest(spark, f"{folder}/raw", f"{folder}/curated")
+
+
+@query
+def csv_ingest(spark, sf_dir):
+    folder, _ = _ingested(spark, sf_dir)
+    return files.read_reports(spark, f"{folder}/curated")
+
+
+@query
+def partitioned_year(spark, sf_dir):
+    folder, _ = _ingested(spark, sf_dir)
+    return files.read_reports(spark, f"{folder}/curated", year=2000)
+
+
+@query
+def ingest_report(spark, sf_dir):
+    folder, done = _ingested(spark, sf_dir)
+    curated = spark.read.parquet(f"{folder}/curated")
+    return curated.agg(F.count(F.lit(1)).alias("written_rows")).select(
+        F.lit(done.rows).cast("long").alias("read_rows"),
+        "written_rows",
+        F.lit(done.columns).cast("int").alias("n_columns"),
+        F.lit(len(done.dropped_columns)).cast("int").alias("dropped"),
+        F.lit(done.unparsed_dates).cast("long").alias("unparsed_dates"),
+    )
+
+
+@query
+def export_csv(spark, sf_dir):
+    folder = shared_folder(spark, "export")
+    view = report.display_view(sample.predictions(spark, sf_dir))
+    write_csv(view, folder)
+    return spark.read.csv(folder, header=True, schema=view.schema, escape='"')
+
+
+@query
+def message_text(spark, sf_dir):
+    return to_messages(sample.reports(spark, sf_dir))
+
+
+@query
+def json_round_trip(spark, sf_dir):
+    decoded = decode_reports(to_messages(sample.reports(spark, sf_dir)))
+    return decoded.withColumn("date", parse_iso_date(F.col("date")))
+
+
+@query
+def json_decode_props(spark, sf_dir):
+    events = sample.table(spark, sf_dir, "events")
+    return events.select("event_id", F.from_json("props", "k INT")["k"].alias("k"))
+
+
+@query
+def jdbc_round_trip(spark, sf_dir):
+    target = _jdbc_table(spark)
+    rows = sample.predictions(spark, sf_dir).select(schemas.PREDICTION_COLUMNS)
+    write_jdbc(rows, target, createTableColumnTypes=JDBC_TEXT, numPartitions="8")
+    return read_predictions(spark, target)
+
+
+@query
+def jdbc_redelivered_batches(spark, sf_dir):
+    target = _jdbc_table(spark)
+    rows = sample.predictions(spark, sf_dir).select(schemas.PREDICTION_COLUMNS)
+    write = jdbc_batches(target, createTableColumnTypes=JDBC_TEXT, numPartitions="8")
+    write(rows, 0)
+    write(rows, 0)
+    return read_predictions(spark, target)
+
+
+JDBC_TEXT = "state VARCHAR(256), county VARCHAR(256)"
+
+
+def _jdbc_table(spark):
+    """A new table in the session's database.
+
+    A local session that names none uses an embedded one. It lives inside this process, so a
+    cluster must name its own.
+    """
+    name = f"risk_predictions_{uuid.uuid4().hex[:12]}"
+    named = JdbcTable.from_settings(spark, name)
+    if named is not None:
+        return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.riskloom.jdbc.url to a database every executor can reach")
+    embedded = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    return JdbcTable("jdbc:derby:memory:riskloom;create=true", name, embedded)
+
+
+# Streams
+
+
+def _message_stream(spark, sf_dir):
+    folder = shared_folder(spark, "stream")
+    write_message_files(sample.reports(spark, sf_dir), f"{folder}/messages")
+    return folder, file_messages(spark, f"{folder}/messages")
+
+
+@query
+def stream_scoring(spark, sf_dir):
+    folder, messages = _message_stream(spark, sf_dir)
+    scored = score_reports(decode_reports(messages), sample.case_scorer)
+    writer = parquet_batches(f"{folder}/predictions")
+    start_batches(scored, writer, f"{folder}/checkpoint", available_now=True).awaitTermination()
+    return read_batches(spark, f"{folder}/predictions")
+
+
+@query
+def stream_to_files(spark, sf_dir):
+    folder, messages = _message_stream(spark, sf_dir)
+    scored = score_reports(decode_reports(messages), sample.case_scorer)
+    started = start_files(
+        scored, f"{folder}/predictions", f"{folder}/checkpoint", available_now=True
+    )
+    started.awaitTermination()
+    return spark.read.parquet(f"{folder}/predictions")
+
+
+@query
+def stream_restarted(spark, sf_dir):
+    """The stream once, then again from its checkpoint, then its only batch once more."""
+    folder, messages = _message_stream(spark, sf_dir)
+    scored = score_reports(decode_reports(messages), sample.case_scorer)
+    writer = parquet_batches(f"{folder}/predictions")
+    for _ in range(2):
+        start_batches(
+            scored, writer, f"{folder}/checkpoint", available_now=True
+        ).awaitTermination()
+    whole = decode_reports(spark.read.text(f"{folder}/messages"))
+    writer(score_reports(whole, sample.case_scorer), 0)
+    return read_batches(spark, f"{folder}/predictions")
+
+
+def _live(spark, stream, category, date):
+    folder = shared_folder(spark, "live")
+    counts = live_distribution(stream, category, date)
+    start_batches(
+        counts,
+        latest_result(f"{folder}/counts"),
+        f"{folder}/checkpoint",
+        available_now=True,
+        output_mode="complete",
+    ).awaitTermination()
+    return spark.read.parquet(f"{folder}/counts")
+
+
+@query
+def live_distribution_of_events(spark, sf_dir):
+    events = sample.table(spark, sf_dir, "events")
+    stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events*.parquet")
+    return _live(spark, stream, "event_type", "ts")
+
+
+@query
+def live_distribution_of_risk(spark, sf_dir):
+    _, messages = _message_stream(spark, sf_dir)
+    scored = score_reports(decode_reports(messages), sample.case_scorer)
+    return _live(spark, scored, "risk_category", "date")
+
+
+# Models
+
+
+def _model_reports(spark, sf_dir):
+    parts = {"mois": F.month("date"), "jour": F.dayofmonth("date")}
+    return sample.reports(spark, sf_dir).drop("note").withColumns(parts)
+
+
+@query
+def train_test_split(spark, sf_dir):
+    sides = learning.split(learning.training_rows(_model_reports(spark, sf_dir)))
+    named = [df.withColumn("side", F.lit(n)) for n, df in zip(("train", "held_out"), sides)]
+    return named[0].union(named[1]).drop("side", "mois", "jour").withColumn(
+        "risk_category", F.col("risk_category").cast("int")
+    )
+
+
+@query
+def evaluation_metrics(spark, sf_dir):
+    return learning.evaluate(sample.predictions(spark, sf_dir))
+
+
+def _predicted(spark, sf_dir, kind, **params):
+    training = jobs.train_on(_model_reports(spark, sf_dir), kind, **params)
+    return learning.predict(training.model, training.held_out).select(
+        *schemas.PREDICTION_COLUMNS[:3],
+        F.col("risk_category").cast("int").alias("risk_category"),
+        "predicted_risk_category",
+    )
+
+
+@query
+def model_train_predict(spark, sf_dir):
+    return _predicted(spark, sf_dir, "forest")
+
+
+@query
+def model_unweighted_forest(spark, sf_dir):
+    return _predicted(spark, sf_dir, "forest", weighted=False)
+
+
+@query
+def model_evaluate(spark, sf_dir):
+    return jobs.train_on(_model_reports(spark, sf_dir)).quality()
+
+
+@query
+def model_logistic(spark, sf_dir):
+    return _predicted(spark, sf_dir, "logistic", maxIter=20)
+
+
+@query
+def model_svm(spark, sf_dir):
+    return _predicted(spark, sf_dir, "svm", maxIter=5)
+
+
+@query
+def model_stream_scoring(spark, sf_dir):
+    """Train, save, load, and score the message stream with the loaded model."""
+    folder, messages = _message_stream(spark, sf_dir)
+    training = jobs.train_on(_model_reports(spark, sf_dir))
+    learning.save(training.model, f"{folder}/model")
+    jobs.score_stream(
+        messages,
+        learning.load(spark, f"{folder}/model"),
+        parquet_batches(f"{folder}/predictions"),
+        f"{folder}/checkpoint",
+        available_now=True,
+    ).awaitTermination()
+    return read_batches(spark, f"{folder}/predictions")

@@ -27,6 +27,9 @@ codes AS (SELECT n_name AS state, 'N' || LPAD(CAST(n_nationkey AS VARCHAR), 2, '
           FROM nation WHERE n_nationkey < 20)
 """
 
+PREDICTED_ROWS = """
+    SELECT state, county, date, risk_category, predicted_risk_category FROM preds"""
+
 ON_FACTS = {
     "risk_score": "SELECT state, county, date, cases, deaths, risk_score FROM scored",
     "risk_bucketize": """
@@ -128,9 +131,87 @@ ON_FACTS = {
                a.label AS "Risk Category", b.label AS "Predicted Risk"
         FROM preds p JOIN labels5 a ON p.risk_category = a.code
                      JOIN labels5 b ON p.predicted_risk_category = b.code""",
+    "profile": " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, COUNT(*) AS total_rows, COUNT({c}) AS filled_rows,
+                   CAST(MIN({c}) AS DOUBLE) AS min_value, CAST(MAX({c}) AS DOUBLE) AS max_value,
+                   ROUND(AVG({c}), 6) AS mean_value, ROUND(STDDEV({c}), 6) AS stddev_value
+            FROM (SELECT cases, deaths, CAST(cases AS BIGINT) + CAST(deaths AS BIGINT) * 10
+                         AS risk_score FROM facts) q"""
+        for c in ("cases", "deaths", "risk_score")
+    ),
+    "correlations": " UNION ALL ".join(
+        f"""SELECT '{a}' AS left_column, '{b}' AS right_column,
+                   ROUND(CORR({a}, {b}), 6) AS correlation FROM scored"""
+        for a, b in (("cases", "deaths"), ("cases", "risk_score"), ("deaths", "risk_score"))
+    ),
+    "union_feeds": """
+        SELECT state, county, date, cases, deaths, 'lines' AS source FROM facts
+        UNION ALL
+        SELECT n_name, c_name, CAST(o_orderdate AS DATE), CAST(FLOOR(o_totalprice) AS INT),
+               CAST(NULL AS INT), 'orders'
+        FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+        """,
+    "csv_ingest": """
+        SELECT state, county, date, cases, deaths, CAST(MONTH(date) AS INT) AS mois,
+               CAST(DAY(date) AS INT) AS jour FROM facts""",
+    "partitioned_year": """
+        SELECT state, county, date, cases, deaths, CAST(MONTH(date) AS INT) AS mois,
+               CAST(DAY(date) AS INT) AS jour FROM facts WHERE YEAR(date) = 2000""",
+    "ingest_report": """
+        SELECT COUNT(*) AS read_rows, COUNT(*) AS written_rows, 8 AS n_columns, 0 AS dropped,
+               CAST(0 AS BIGINT) AS unparsed_dates FROM facts""",
+    "export_csv": """
+        SELECT state AS "State", county AS "County", date AS "Date",
+               a.label AS "Risk Category", b.label AS "Predicted Risk"
+        FROM preds p JOIN labels5 a ON p.risk_category = a.code
+                     JOIN labels5 b ON p.predicted_risk_category = b.code""",
+    "message_text": """
+        SELECT '{"state":"' || state || '","county":"' || county || '","date":"'
+               || CAST(date AS VARCHAR) || '","cases":' || CAST(cases AS VARCHAR)
+               || ',"deaths":' || CAST(deaths AS VARCHAR)
+               || ',"mois":' || CAST(MONTH(date) AS VARCHAR)
+               || ',"jour":' || CAST(DAY(date) AS VARCHAR) || '}' AS value
+        FROM scored""",
+    "json_round_trip": """
+        SELECT state, county, date, cases, deaths, CAST(MONTH(date) AS INT) AS mois,
+               CAST(DAY(date) AS INT) AS jour FROM scored""",
+    "jdbc_round_trip": PREDICTED_ROWS,
+    "jdbc_redelivered_batches": PREDICTED_ROWS,
+    "stream_scoring": PREDICTED_ROWS,
+    "stream_to_files": PREDICTED_ROWS,
+    "stream_restarted": PREDICTED_ROWS,
+    "live_distribution_of_risk": """
+        SELECT date AS day, risk_category, COUNT(*) AS n FROM preds GROUP BY 1, 2""",
+    "train_test_split": """
+        SELECT s.state, s.county, s.date, s.cases, s.deaths, s.risk_score,
+               CASE WHEN risk_score < 0 THEN 0 WHEN risk_score < 1000 THEN 1
+                    WHEN risk_score < 10000 THEN 2 WHEN risk_score < 100000 THEN 3
+                    ELSE 4 END AS risk_category
+        FROM (SELECT * EXCLUDE (note) FROM scored) s""",
+    "evaluation_metrics": """
+        , pairs AS (SELECT risk_category AS a, predicted_risk_category AS p, COUNT(*) AS n
+                    FROM preds GROUP BY 1, 2),
+        by_label AS (
+          SELECT code, COALESCE(SUM(n) FILTER (WHERE a = code), 0) AS support,
+                 COALESCE(SUM(n) FILTER (WHERE p = code), 0) AS claimed,
+                 COALESCE(SUM(n) FILTER (WHERE a = code AND p = code), 0) AS hits
+          FROM labels5 JOIN pairs ON a = code OR p = code GROUP BY code)
+        SELECT CAST(SUM(support) AS BIGINT) AS scored_rows,
+               ROUND(SUM(hits) / SUM(support), 10) AS accuracy,
+               ROUND(SUM(CASE WHEN claimed > 0 THEN CAST(support AS DOUBLE) * hits / claimed
+                              ELSE 0 END) / SUM(support), 10) AS weighted_precision,
+               ROUND(SUM(hits) / SUM(support), 10) AS weighted_recall,
+               ROUND(SUM(CAST(support AS DOUBLE) * 2 * hits / (support + claimed))
+                     / SUM(support), 10) AS f1
+        FROM by_label""",
 }
 
-ON_TABLES: dict[str, str] = {}
+ON_TABLES = {
+    "json_decode_props": """
+        SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events""",
+    "live_distribution_of_events": """
+        SELECT CAST(ts AS DATE) AS day, event_type, COUNT(*) AS n FROM events GROUP BY 1, 2""",
+}
 
 
 def statements() -> dict[str, str]:
