@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom import schemas
-from riskloom.constants import RAW_DATE_FORMAT
+from riskloom.constants import PARTITION_COLUMNS, RAW_DATE_FORMAT
 from riskloom.functions.dates import parse_iso_date, partition_parts
 from riskloom.operators import cleaning, learning, lookups, report, scoring
 from riskloom.operators import profile as statistics
@@ -273,13 +273,13 @@ def union_feeds(spark, sf_dir):
 # Files and tables, written and read back
 
 
-def _ingested(spark, sf_dir):
+def _ingested(spark, sf_dir, keys=PARTITION_COLUMNS):
     folder = shared_folder(spark, "ingest")
     raw = sample.reports(spark, sf_dir).select(
         F.date_format("date", RAW_DATE_FORMAT).alias("date"), "county", "state", "cases", "deaths"
     )
     raw.write.csv(f"{folder}/raw", header=True)
-    return folder, jobs.ingest(spark, f"{folder}/raw", f"{folder}/curated")
+    return folder, jobs.ingest(spark, f"{folder}/raw", f"{folder}/curated", keys=keys)
 
 
 @query
@@ -290,13 +290,13 @@ def csv_ingest(spark, sf_dir):
 
 @query
 def partitioned_year(spark, sf_dir):
-    folder, _ = _ingested(spark, sf_dir)
+    folder, _ = _ingested(spark, sf_dir, keys=["annee", "mois"])
     return files.read_reports(spark, f"{folder}/curated", year=2000)
 
 
 @query
 def ingest_report(spark, sf_dir):
-    folder, done = _ingested(spark, sf_dir)
+    folder, done = _ingested(spark, sf_dir, keys=["annee", "mois"])
     curated = spark.read.parquet(f"{folder}/curated")
     return curated.agg(F.count(F.lit(1)).alias("written_rows")).select(
         F.lit(done.rows).cast("long").alias("read_rows"),

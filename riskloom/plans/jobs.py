@@ -42,14 +42,15 @@ def ingest(
     """Raw CSV to partitioned Parquet in two jobs.
 
     The first reads the files once for everything the report and the choice of columns need.
-    The second writes. Dates that cannot be read are kept as null and counted.
+    The second writes. Dates that cannot be read are kept as null and counted. Fewer keys,
+    such as year and month, give fewer and larger files; the other parts stay columns.
     """
     raw = read_reports_csv(spark, csv_path)
     date = parse_raw_date(F.col("date"))
     fill = measure_fill(raw, unparsed_dates=F.col("date").isNotNull() & date.isNull())
     dropped = fill.sparse_columns(min_fill, keep=["date"])
-    parts = {k: part for k, part in partition_parts(F.col("date")).items() if k in keys}
-    curated = raw.drop(*dropped).withColumn("date", date).withColumns(parts)
+    dated = raw.drop(*dropped).withColumn("date", date)
+    curated = dated.withColumns(partition_parts(F.col("date")))
     write_partitioned(
         curated, output_path, keys=keys, inputs=[csv_path], touched_only=touched_only
     )

@@ -1,0 +1,100 @@
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from riskloom.operators import cleaning
+from riskloom.operators import profile as statistics
+
+
+def filled(spark, shares, rows=100):
+    columns = [
+        F.when(F.col("id") < share, F.col("id")).alias(f"c{share}") for share in shares
+    ]
+    return spark.range(rows).select("id", *columns)
+
+
+def test_columns_below_half_are_dropped_and_half_stays(spark):
+    kept = cleaning.drop_sparse_columns(filled(spark, [49, 50, 51])).columns
+    assert kept == ["id", "c50", "c51"]
+
+
+def test_protected_columns_stay(spark):
+    assert "c1" in cleaning.drop_sparse_columns(filled(spark, [1]), keep=["c1"]).columns
+
+
+def test_empty_table_keeps_its_columns(spark):
+    df = filled(spark, [10]).limit(0)
+    assert cleaning.drop_sparse_columns(df).columns == df.columns
+
+
+def test_fill_report_counts_conditions_in_the_same_pass(spark):
+    seen = cleaning.measure_fill(filled(spark, [20]), even=F.col("id") % 2 == 0)
+    assert (seen.rows, seen.filled, seen.extra) == (100, {"id": 100, "c20": 20}, {"even": 50})
+
+
+def test_drop_incomplete_equals_dropna(spark):
+    df = spark.createDataFrame(
+        [(1, "a", 1.0), (None, "a", 1.0), (1, None, 1.0), (1, "a", float("nan")), (2, "b", None)],
+        "n INT, t STRING, x DOUBLE",
+    )
+    assert cleaning.drop_incomplete(df).collect() == df.dropna().collect()
+    assert cleaning.drop_incomplete(df, ["n"]).count() == df.dropna(subset=["n"]).count()
+
+
+def test_drop_incomplete_reaches_the_scan(spark, folder):
+    spark.range(5).select("id", F.lit(1).alias("x")).write.parquet(f"{folder}/t")
+    df = cleaning.drop_incomplete(spark.read.parquet(f"{folder}/t"))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "IsNotNull(id)" in plan and "IsNotNull(x)" in plan
+
+
+DAY = dt.date(2023, 1, 2)
+REPORTS = [
+    ("A", "x", DAY, 5, 1),
+    ("A", "x", DAY, 7, 0),
+    ("A", "x", DAY, 7, 2),
+    ("A", "y", DAY, -1, 0),
+    ("A", None, DAY, 1, 0),
+    ("A", "z", DAY, None, 0),
+    ("B", "x", None, 1, 1),
+    ("B", "x", DAY, 1, 1),
+]
+SCHEMA = "state STRING, county STRING, date DATE, cases INT, deaths INT"
+
+
+def test_quarantine_keeps_every_row_on_one_side(spark):
+    good, bad = cleaning.quarantine(spark.createDataFrame(REPORTS, SCHEMA))
+    assert good.count() + bad.count() == len(REPORTS)
+    assert sorted(r.reason for r in bad.collect()) == [
+        "missing_count", "missing_key", "missing_key", "negative_count"
+    ]
+
+
+def test_latest_reports(spark):
+    good, _ = cleaning.quarantine(spark.createDataFrame(REPORTS, SCHEMA))
+    kept = {(r.state, r.county): (r.cases, r.deaths, r.copies) for r in cleaning.latest_reports(good).collect()}
+    assert kept == {("A", "x"): (7, 2, 3), ("B", "x"): (1, 1, 1)}
+
+
+def test_profile_and_correlation(spark):
+    df = spark.range(1, 101).select(
+        F.when(F.col("id") <= 90, F.col("id")).alias("a"), (F.col("id") * -2).alias("b")
+    )
+    rows = {r.column_name: r for r in statistics.profile(df).collect()}
+    a = rows["a"]
+    assert (a.total_rows, a.filled_rows, a.min_value, a.max_value, a.mean_value) == (100, 90, 1, 90, 45.5)
+    assert a.stddev_value == round((sum((i - 45.5) ** 2 for i in range(1, 91)) / 89) ** 0.5, 6)
+    assert statistics.correlations(df, [("a", "b")]).first().correlation == -1.0
+
+
+def test_quantiles_are_within_their_rank_error(spark):
+    values = [(i * 7919) % 20_011 for i in range(20_000)]
+    df = spark.createDataFrame([(v,) for v in values], "v INT").repartition(7)
+    ranks = sorted(values)
+    accuracy = 200
+    row = statistics.quantiles(df, accuracy=accuracy).first()
+    for name, share in statistics.QUANTILES.items():
+        rank = ranks.index(int(row[name]))
+        assert abs(rank - share * len(values)) <= len(values) / accuracy + 1
