@@ -43,10 +43,10 @@ def test_drop_incomplete_equals_dropna(spark):
     assert cleaning.drop_incomplete(df, ["n"]).count() == df.dropna(subset=["n"]).count()
 
 
-def test_drop_incomplete_reaches_the_scan(spark, folder):
+def test_drop_incomplete_reaches_the_scan(spark, folder, plan_of):
     spark.range(5).select("id", F.lit(1).alias("x")).write.parquet(f"{folder}/t")
     df = cleaning.drop_incomplete(spark.read.parquet(f"{folder}/t"))
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = plan_of(df)
     assert "IsNotNull(id)" in plan and "IsNotNull(x)" in plan
 
 

@@ -88,11 +88,11 @@ def test_ingest_drops_a_sparse_column_and_protects_the_date(spark, folder):
     assert "date" in spark.read.parquet(f"{folder}/out").columns
 
 
-def test_year_restriction_prunes_folders(spark, folder):
+def test_year_restriction_prunes_folders(spark, folder, plan_of):
     ingest(spark, put(f"{folder}/raw", "in.csv", CSV), f"{folder}/out", keys=["annee", "mois"])
     df = read_reports(spark, f"{folder}/out", year=2024)
     assert [tuple(r) for r in df.select("county", "mois", "jour").collect()] == [("q, r", 2, 29)]
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = plan_of(df)
     assert "PartitionFilters: [isnotnull(annee" in plan
 
 
