@@ -27,13 +27,13 @@ def risk_category(score: Column) -> Column:
 
 
 def category_label(code: Column) -> Column:
-    """Label of a category code; null for an unknown code."""
-    first, *rest = RISK_LABELS.items()
-    return reduce(
-        lambda chain, item: chain.when(code == item[0], item[1]),
-        rest,
-        F.when(code == first[0], first[1]),
-    )
+    """Label of a category code; null for an unknown code.
+
+    An index into a constant array evaluates the code once. A chain of comparisons would
+    repeat its expression per label wherever Catalyst pushes a test of the label down.
+    """
+    labels = F.array(*[F.lit(RISK_LABELS[code]) for code in sorted(RISK_LABELS)])
+    return F.get(labels, code.cast("int"))
 
 
 def code_of_label(label: str) -> int | None:

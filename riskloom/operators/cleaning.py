@@ -14,6 +14,10 @@ from pyspark.sql import types as T
 REPORT_KEY = ["state", "county", "date"]
 REPORT_COUNTS = ["cases", "deaths"]
 
+# Usable counts are integers from 0 to 2**31 - 1.
+COUNT_BITS = 31
+COUNT_RANGE = 1 << COUNT_BITS
+
 
 def drop_incomplete(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Rows without a null or NaN in the given columns, all columns by default.
@@ -97,13 +101,20 @@ def quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def latest_reports(df: DataFrame, key: list[str] = REPORT_KEY) -> DataFrame:
-    """One report per key: the one with the highest counts, as counts are cumulative.
+def latest_reports(good: DataFrame) -> DataFrame:
+    """One report per state, county and date, of the usable reports that quarantine gives.
 
-    Written as an aggregate, so copies of a key shrink to one row per task before the
-    shuffle and no task ever holds a group.
+    Counts are cumulative, so the highest case count wins, then the highest death count. Both
+    are packed into one long, whose maximum needs no sort: copies of a key shrink to one row
+    per task in a hash aggregate before the shuffle, and no task ever holds a group.
     """
-    rest = [c for c in df.columns if c not in key and c not in REPORT_COUNTS]
-    best = F.max(F.struct(*REPORT_COUNTS, *rest)).alias("best")
-    kept = df.groupBy(*key).agg(best, F.count(F.lit(1)).alias("copies"))
-    return kept.select(*key, "best.*", "copies")
+    packed = F.col("cases").cast("long") * F.lit(COUNT_RANGE) + F.col("deaths").cast("long")
+    kept = good.groupBy(*REPORT_KEY).agg(
+        F.max(packed).alias("best"), F.count(F.lit(1)).alias("copies")
+    )
+    return kept.select(
+        *REPORT_KEY,
+        F.shiftright("best", COUNT_BITS).cast("int").alias("cases"),
+        F.pmod("best", F.lit(COUNT_RANGE)).cast("int").alias("deaths"),
+        "copies",
+    )

@@ -21,7 +21,7 @@ from riskloom.operators.lookups import one_code_per_state, with_state_code
 from riskloom.operators.scoring import with_labels
 
 WEIGHT = "report_rows"
-SUMMARY_KEYS = ["state", "state_code", "date", "risk_category", "predicted_risk_category"]
+SUMMARY_KEYS = ["state", "date", "risk_category", "predicted_risk_category"]
 
 
 def enrich_predictions(
@@ -34,14 +34,16 @@ def enrich_predictions(
     return with_state_code(labelled, codes) if "state" in df.columns else labelled
 
 
-def summarise(df: DataFrame) -> DataFrame:
+def summarise(df: DataFrame, codes: DataFrame | None = None) -> DataFrame:
     """Number of predictions per state, day, category and predicted category.
 
     Its size follows the number of states and days, not the number of predictions, and
-    all counts and means below can be computed from it exactly.
+    all counts and means below can be computed from it exactly. State codes are looked up
+    for these few rows, not for the predictions.
     """
     keys = [c for c in SUMMARY_KEYS if c in df.columns]
-    return df.groupBy(*keys).agg(_rows(df).alias(WEIGHT))
+    counts = df.groupBy(*keys).agg(_rows(df).alias(WEIGHT))
+    return with_state_code(counts, codes) if "state" in keys else counts
 
 
 def _rows(df: DataFrame, test: Column | None = None) -> Column:

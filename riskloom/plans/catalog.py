@@ -145,14 +145,9 @@ def enriched_predictions(spark, sf_dir):
 # Dashboard
 
 
-def _enriched(spark, sf_dir):
-    codes = sample.state_codes(spark, sf_dir)
-    return lookups.with_state_code(sample.predictions(spark, sf_dir), codes)
-
-
 @query
 def report_summary(spark, sf_dir):
-    return report.summarise(_enriched(spark, sf_dir))
+    return report.summarise(sample.predictions(spark, sf_dir), sample.state_codes(spark, sf_dir))
 
 
 @query

@@ -149,7 +149,7 @@ class Dashboard:
 def open_dashboard(predictions: DataFrame, codes: DataFrame | None = None) -> Dashboard:
     """Call again after close to see new predictions."""
     enriched = report.enrich_predictions(predictions, codes)
-    summary = report.summarise(enriched).persist(StorageLevel.MEMORY_AND_DISK)
+    summary = report.summarise(predictions, codes).persist(StorageLevel.MEMORY_AND_DISK)
     return Dashboard(enriched, summary)
 
 

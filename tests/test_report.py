@@ -115,8 +115,9 @@ def test_mean_risk_by_state(spark, frames):
     pdf["state_code"] = pdf["state"].map(dict(CODES))
     expected = pdf.groupby(["state", "state_code"])["risk_category"].mean()
     enriched = report.enrich_predictions(df, codes(spark))
+    summary = report.summarise(df, codes(spark))
     results = [report.mean_risk_by_state(df, codes(spark))]
-    results += [report.mean_risk_by_state(side) for side in sides(enriched)]
+    results += [report.mean_risk_by_state(side) for side in (enriched, summary)]
     for result in results:
         got = [((r.state, r.state_code), r.risk_level) for r in result.collect()]
         assert got == list(expected.items())
