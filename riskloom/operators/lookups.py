@@ -52,4 +52,4 @@ def one_code_per_state(codes: DataFrame) -> DataFrame:
 def with_state_code(df: DataFrame, codes: DataFrame | None = None) -> DataFrame:
     """Add state_code, null for a state without one; the fifty states by default."""
     dim = us_state_codes(df.sparkSession) if codes is None else one_code_per_state(codes)
-    return lookup_join(df, dim, "state")
+    return lookup_join(df.drop("state_code"), dim, "state")

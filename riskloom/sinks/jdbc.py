@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.sources.jdbc import SPREAD_COLUMN, SPREAD_VALUES, JdbcTable
-
-BATCH_COLUMN = "batch_id"
+from riskloom.sources.jdbc import (
+    BATCH_COLUMN,
+    DELIVERY_COLUMN,
+    ROW_COLUMN,
+    SPREAD_COLUMN,
+    SPREAD_VALUES,
+    JdbcTable,
+    without_repeats,
+)
 
 
 def write_jdbc(df: DataFrame, target: JdbcTable, mode: str = "append", **options: str) -> None:
@@ -18,23 +26,27 @@ def write_jdbc(df: DataFrame, target: JdbcTable, mode: str = "append", **options
 
 
 def append_batch_jdbc(df: DataFrame, target: JdbcTable, batch_id: int, **options: str) -> None:
-    """Append a micro-batch so that a batch delivered again adds nothing.
+    """Append a micro-batch so that neither a replay nor a repeated task changes what is read.
 
-    Rows carry the number of their batch. Only rows the table lacks for this batch are
-    written, counted with copies, which also completes a batch that was cut off half-way. A
-    first delivery finds no such rows and is appended as it is.
+    A batch delivered again writes only the rows the table lacks for it, counted with copies,
+    which also completes a batch that was cut off half-way. A first delivery finds none and is
+    written as it is. Inside a delivery every row has a number, by which read_predictions
+    tells rows that a task wrote twice from rows that are equal.
     """
     columns = df.columns
     write_jdbc(_tagged(df.limit(0), batch_id), target, **options)
     stored = target.scan(df.sparkSession).where(F.col(BATCH_COLUMN) == batch_id)
-    missing = df if stored.isEmpty() else df.exceptAll(stored.select(columns))
+    missing = df if stored.isEmpty() else df.exceptAll(without_repeats(stored, columns))
     write_jdbc(_tagged(missing, batch_id), target, **options)
 
 
 def _tagged(df: DataFrame, batch_id: int) -> DataFrame:
-    return df.withColumns(
+    """Sorted inside each partition, so that a task that runs again numbers rows the same way."""
+    return df.sortWithinPartitions(*df.columns).withColumns(
         {
             BATCH_COLUMN: F.lit(batch_id).cast("long"),
+            DELIVERY_COLUMN: F.lit(uuid.uuid4().int >> 65).cast("long"),
+            ROW_COLUMN: F.monotonically_increasing_id(),
             SPREAD_COLUMN: F.floor(F.rand() * SPREAD_VALUES).cast("int"),
         }
     )

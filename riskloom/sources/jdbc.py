@@ -11,6 +11,12 @@ from riskloom import schemas
 from riskloom.constants import PREDICTIONS_TABLE
 
 SETTING = "spark.riskloom.jdbc."
+
+# Columns that append_batch_jdbc adds: the micro-batch, the delivery of it that wrote the row,
+# the row's number in that delivery, and an even spread for parallel reads.
+BATCH_COLUMN = "batch_id"
+DELIVERY_COLUMN = "delivery"
+ROW_COLUMN = "row_id"
 SPREAD_COLUMN = "spread"
 SPREAD_VALUES = 64
 
@@ -49,7 +55,7 @@ def read_predictions(
     partitions: int = 16,
     predicates: list[str] | None = None,
 ) -> DataFrame:
-    """The five prediction columns, read by several tasks at once.
+    """The five prediction columns, read by several tasks at once, repeated writes left out.
 
     Tables written by this library are split by their spread column, which is even whatever
     the data; others by date range, from first to last date. Conditions of the caller's own
@@ -79,4 +85,16 @@ def read_predictions(
                 upperBound=str(last),
                 numPartitions=str(partitions),
             )
-    return split.withColumn("date", F.to_date("date")).select(schemas.PREDICTION_COLUMNS)
+    rows = without_repeats(split, schemas.PREDICTION_COLUMNS)
+    return rows.withColumn("date", F.to_date("date"))
+
+
+def without_repeats(stored: DataFrame, columns: list[str]) -> DataFrame:
+    """The given columns, each row of a delivery once.
+
+    A task whose executor is lost after its commit runs again and writes its rows a second
+    time, under the same numbers. Grouping by all columns lets filters pass to the database.
+    """
+    if ROW_COLUMN not in stored.columns:
+        return stored.select(columns)
+    return stored.select(*columns, DELIVERY_COLUMN, ROW_COLUMN).distinct().select(columns)

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import contextlib
+import datetime as dt
+import decimal
 import io
 import os
 import sys
 import tempfile
 from pathlib import Path
 
+import duckdb
 import pytest
 
 ROOT = Path(__file__).resolve().parent.parent
@@ -59,3 +62,51 @@ def plan_of():
         return out.getvalue()
 
     return text
+
+
+def duck_on(folder):
+    """DuckDB with a view per table; a table is one file or a folder of files."""
+    con = duckdb.connect()
+    con.execute("SET TimeZone = 'UTC'")
+    for name in sorted(os.listdir(folder)):
+        path = f"{folder}/{name}"
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        view = name.removesuffix(".parquet")
+        con.execute(f"CREATE VIEW {view} AS SELECT * FROM read_parquet('{files}')")
+    return con
+
+
+def kind(value):
+    if isinstance(value, bool):
+        return "bool"
+    if isinstance(value, (int, decimal.Decimal)):
+        return "int"
+    if isinstance(value, dt.datetime):
+        return "datetime"
+    return type(value).__name__
+
+
+def normal(rows, names):
+    """Rows with their columns in the order of the names, sorted."""
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted(
+        [tuple(row[i] for i in order) for row in rows],
+        key=lambda row: tuple((v is None, str(v)) for v in row),
+    )
+
+
+def assert_same_result(df, con, sql):
+    """The same column names, rows and kinds of value on both engines."""
+    rows = [tuple(r) for r in df.collect()]
+    result = con.execute(sql)
+    columns = [d[0] for d in result.description]
+    expected = result.fetchall()
+    assert sorted(df.columns) == sorted(columns)
+    mine, theirs = normal(rows, df.columns), normal(expected, columns)
+    assert len(mine) == len(theirs) > 0
+    assert mine == theirs
+    kinds = [
+        [{kind(v) for v in column if v is not None} for column in zip(*side)]
+        for side in (mine, theirs)
+    ]
+    assert kinds[0] == kinds[1]

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import datetime as dt
-import decimal
-import os
 import sys
 from pathlib import Path
 
-import duckdb
 import pytest
+from conftest import assert_same_result, duck_on
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
@@ -21,53 +18,18 @@ SQL = oracle_sql()
 
 @pytest.fixture(scope="module")
 def duck(sf_dir):
-    con = duckdb.connect()
-    con.execute("SET TimeZone = 'UTC'")
-    for name in sorted(os.listdir(sf_dir)):
-        con.execute(
-            f"CREATE VIEW {name.removesuffix('.parquet')} AS "
-            f"SELECT * FROM read_parquet('{sf_dir}/{name}')"
-        )
+    con = duck_on(sf_dir)
     yield con
     con.close()
 
 
-def kind(value):
-    if isinstance(value, bool):
-        return "bool"
-    if isinstance(value, (int, decimal.Decimal)):
-        return "int"
-    if isinstance(value, dt.datetime):
-        return "datetime"
-    return type(value).__name__
-
-
-def normal(rows, names):
-    order = sorted(range(len(names)), key=lambda i: names[i])
-    return sorted(
-        [tuple(row[i] for i in order) for row in rows],
-        key=lambda row: tuple((v is None, str(v)) for v in row),
-    )
-
-
 def test_every_statement_has_a_query():
     assert set(SQL) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_matches_sql(spark, duck, sf_dir, name):
-    got = QUERIES[name](spark, sf_dir)
-    rows = [tuple(r) for r in got.collect()]
-    result = duck.execute(SQL[name])
-    columns = [d[0] for d in result.description]
-    expected = result.fetchall()
-    assert sorted(got.columns) == sorted(columns)
-    mine, theirs = normal(rows, got.columns), normal(expected, columns)
-    assert len(mine) == len(theirs)
-    assert len(mine) > 0
-    assert mine == theirs
-    kinds = [[{kind(v) for v in col if v is not None} for col in zip(*side)] for side in (mine, theirs)]
-    assert kinds[0] == kinds[1]
+    assert_same_result(QUERIES[name](spark, sf_dir), duck, SQL[name])
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
