@@ -131,15 +131,18 @@ def high_risk(df: DataFrame) -> DataFrame:
     return df.where(F.col("risk_category") >= HIGH_RISK_CODE)
 
 
+def high_risk_by_state(df: DataFrame, distinct: bool = False) -> DataFrame:
+    """High-risk predictions, or distinct high-risk counties, per state that has any."""
+    risky = high_risk(df).where(F.col("state").isNotNull()).groupBy("state")
+    if distinct:
+        return risky.agg(F.count_distinct("county").alias("high_risk_counties"))
+    return risky.agg(_rows(df).alias("high_risk_rows"))
+
+
 def top_high_risk_states(df: DataFrame, k: int = 10, distinct: bool = False) -> DataFrame:
     """The k states with most high-risk predictions, or with most high-risk counties."""
-    risky = high_risk(df).where(F.col("state").isNotNull())
-    if distinct:
-        value = F.count_distinct("county").alias("high_risk_counties")
-        counts = risky.groupBy("state").agg(value)
-        return counts.orderBy(F.desc("high_risk_counties"), "state").limit(k)
-    counts = risky.groupBy("state").agg(_rows(df).alias("high_risk_rows"))
-    return counts.orderBy(F.desc("high_risk_rows"), "state").limit(k)
+    counts = high_risk_by_state(df, distinct)
+    return counts.orderBy(F.desc(counts.columns[-1]), "state").limit(k)
 
 
 def _label_of(df: DataFrame, code: str) -> Column | None:
@@ -177,6 +180,21 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)
 
 
+def risk_options(df: DataFrame) -> DataFrame:
+    """The labels that occur, null left out.
+
+    In alphabetical order where the table carries label text, else in order of the codes. The
+    distinct runs over codes where there are any, and labels the few that remain.
+    """
+    text = "risk_category_text"
+    if "risk_category" not in df.columns:
+        return distinct_values(df, text)
+    codes = df.select("risk_category").distinct()
+    labels = codes.withColumn(text, category_label(F.col("risk_category")))
+    known = labels.where(F.col(text).isNotNull())
+    return known.orderBy(text if text in df.columns else "risk_category").select(text)
+
+
 def date_bounds(df: DataFrame) -> DataFrame:
     return df.agg(F.min("date").alias("min_date"), F.max("date").alias("max_date"))
 
@@ -222,6 +240,12 @@ def filter_predictions(
     return kept
 
 
+def filtered_count(df: DataFrame, **filters) -> DataFrame:
+    """One row: how many predictions pass the filters; the summary suffices for this."""
+    rows = F.coalesce(_rows(df), F.lit(0).cast("long"))
+    return filter_predictions(df, **filters).agg(rows.alias("n"))
+
+
 def _risk_is(df: DataFrame, risk: str | int) -> Column:
     if isinstance(risk, str) and "risk_category" not in df.columns:
         return F.col("risk_category_text") == risk

@@ -14,7 +14,7 @@ from riskloom.functions.dates import parse_iso_date, partition_parts
 from riskloom.operators import cleaning, learning, lookups, report, scoring
 from riskloom.operators import profile as statistics
 from riskloom.plans import jobs
-from riskloom.session import shared_folder
+from riskloom.session import materialize, shared_folder
 from riskloom.sinks.files import export_csv as write_csv
 from riskloom.sinks.jdbc import write_jdbc
 from riskloom.sinks.messages import to_messages, write_message_files
@@ -208,8 +208,7 @@ def state_options(spark, sf_dir):
 
 @query
 def category_options(spark, sf_dir):
-    rows = sample.predictions(spark, sf_dir).transform(scoring.with_labels)
-    return report.distinct_values(rows, "risk_category_text")
+    return report.risk_options(sample.predictions(spark, sf_dir))
 
 
 @query
@@ -229,6 +228,21 @@ def filtered_predictions(spark, sf_dir):
     return report.display_view(rows)
 
 
+@query
+def filtered_count(spark, sf_dir):
+    return report.filtered_count(
+        sample.predictions(spark, sf_dir), risk="Very High", start="1998-01-01", end="1999-12-31"
+    )
+
+
+@query
+def dashboard_from_summary(spark, sf_dir):
+    """Mean category and number of high-risk reports per state, both from the summary."""
+    summary = materialize(report.summarise(sample.predictions(spark, sf_dir)), "summary")
+    means = report.mean_risk_by_state(summary, with_codes=False)
+    return means.join(report.high_risk_by_state(summary), "state", "left")
+
+
 @query
 def display_view(spark, sf_dir):
     return report.display_view(sample.predictions(spark, sf_dir))

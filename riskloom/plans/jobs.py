@@ -127,12 +127,22 @@ class Dashboard:
     def mean_risk_by_state(self, with_codes: bool = True) -> DataFrame:
         return report.mean_risk_by_state(self.summary, with_codes=with_codes)
 
-    def top_high_risk_states(self, k: int = 10) -> DataFrame:
-        return report.top_high_risk_states(self.summary, k)
+    def top_high_risk_states(self, k: int = 10, distinct: bool = False) -> DataFrame:
+        rows = self.predictions if distinct else self.summary
+        return report.top_high_risk_states(rows, k, distinct)
 
     def filter_options(self) -> DataFrame:
         return report.filter_options(self.summary)
 
+    def state_options(self) -> DataFrame:
+        return report.distinct_values(self.summary, "state")
+
+    def risk_options(self) -> DataFrame:
+        return report.risk_options(self.summary)
+
+    def details_count(self, **filters) -> DataFrame:
+        return report.filtered_count(self.summary, **filters)
+
     def details(self, **filters) -> DataFrame:
         return report.display_view(report.filter_predictions(self.predictions, **filters))
 

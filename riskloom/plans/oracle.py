@@ -13,7 +13,8 @@ WITH facts AS (
                   JOIN nation n ON s.s_nationkey = n.n_nationkey),
 scored AS (
   SELECT f.*, CAST(cases AS BIGINT) + CAST(deaths AS BIGINT) * 10 AS risk_score
-  FROM facts f WHERE deaths IS NOT NULL),
+  FROM facts f WHERE state IS NOT NULL AND county IS NOT NULL AND date IS NOT NULL
+                 AND cases IS NOT NULL AND deaths IS NOT NULL),
 preds AS (
   SELECT state, county, date, risk_score,
     CASE WHEN risk_score < 0 THEN 0 WHEN risk_score < 1000 THEN 1 WHEN risk_score < 10000 THEN 2
@@ -126,6 +127,13 @@ ON_FACTS = {
                      JOIN labels5 b ON p.predicted_risk_category = b.code
         WHERE state = 'NATION_3' AND a.label = 'High'
           AND date BETWEEN DATE '1998-01-01' AND DATE '1999-12-31'""",
+    "filtered_count": """
+        SELECT COUNT(*) AS n FROM preds
+        WHERE risk_category = 4 AND date BETWEEN DATE '1998-01-01' AND DATE '1999-12-31'""",
+    "dashboard_from_summary": """
+        SELECT state, AVG(risk_category) AS risk_level,
+               NULLIF(COUNT(*) FILTER (WHERE risk_category >= 3), 0) AS high_risk_rows
+        FROM preds GROUP BY state""",
     "display_view": """
         SELECT state AS "State", county AS "County", date AS "Date",
                a.label AS "Risk Category", b.label AS "Predicted Risk"

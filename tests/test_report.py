@@ -195,6 +195,17 @@ def test_options(frames):
     assert states == sorted(pdf["state"].dropna().unique())
 
 
+def test_risk_options(frames):
+    df, pdf = frames
+    seen = set(pdf["risk_category_text"].dropna())
+    by_code = [label for label in RISK_LABELS.values() if label in seen]
+    text = report.enrich_predictions(df)
+    labels = lambda options: [r.risk_category_text for r in options.collect()]
+    assert labels(report.risk_options(df)) == by_code
+    assert labels(report.risk_options(text)) == sorted(seen)
+    assert labels(report.risk_options(text.drop("risk_category"))) == sorted(seen)
+
+
 @pytest.mark.parametrize(
     "filters",
     [
@@ -221,6 +232,8 @@ def test_filters(frames, filters):
         low, high = pd.Timestamp(filters["start"]), pd.Timestamp(filters["end"])
         kept = kept[(kept["date"] >= low) & (kept["date"] <= high)]
     assert report.filter_predictions(df, **filters).count() == len(kept)
+    for side in sides(df):
+        assert report.filtered_count(side, **filters).first().n == len(kept)
     text = report.enrich_predictions(df).drop("risk_category")
     if not isinstance(risk, int):
         assert report.filter_predictions(text, **filters).count() == len(kept)
@@ -272,6 +285,11 @@ def test_dashboard(spark, rows):
         assert board.actual_vs_predicted().collect() == report.actual_vs_predicted(df).collect()
         assert board.filter_options().collect() == report.filter_options(df).collect()
         assert board.details(state="A").count() == df.where("state = 'A'").count()
+        assert board.details_count(state="A").first().n == df.where("state = 'A'").count()
+        distinct = board.top_high_risk_states(distinct=True).collect()
+        assert distinct == report.top_high_risk_states(df, distinct=True).collect()
+        assert board.risk_options().collect() == report.risk_options(df).collect()
+        assert board.state_options().count() == 4
         assert board.high_risk_table().count() == df.where("risk_category >= 3").count()
     finally:
         board.close()
