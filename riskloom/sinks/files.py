@@ -17,7 +17,7 @@ def write_partitioned(
     keys: Sequence[str] = tuple(PARTITION_COLUMNS),
     inputs: Iterable[str] = (),
     touched_only: bool = False,
-    sort: Sequence[str] = ("state", "county"),
+    sort: Sequence[str] = ("state",),
 ) -> None:
     """Overwrite a Parquet dataset laid out by keys; with touched_only just the folders df has.
 

@@ -31,7 +31,6 @@ def spark():
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
-            "spark.checkpoint.dir": f"{SCRATCH}/shared",
             "spark.sql.warehouse.dir": f"{SCRATCH}/warehouse",
             "spark.driver.extraJavaOptions": f"-Dderby.system.home={SCRATCH}/derby",
         },

@@ -67,6 +67,11 @@ def inbox(folder):
     return folder
 
 
+def test_messages_are_parsed_once(spark, inbox, plan_of):
+    plan = plan_of(scored(spark.read.text(f"{inbox}/in")))
+    assert plan.count("from_json(") == 1
+
+
 @pytest.mark.parametrize("start", ["batches", "files"])
 def test_stream_equals_batch_and_a_restart_adds_nothing(spark, inbox, start):
     expected = rows(scored(spark.read.text(f"{inbox}/in")))
