@@ -35,8 +35,12 @@ def append_batch_jdbc(df: DataFrame, target: JdbcTable, batch_id: int, **options
     """
     columns = df.columns
     write_jdbc(_tagged(df.limit(0), batch_id), target, **options)
-    stored = target.scan(df.sparkSession).where(F.col(BATCH_COLUMN) == batch_id)
-    missing = df if stored.isEmpty() else df.exceptAll(without_repeats(stored, columns))
+    spark = df.sparkSession
+    (present,) = target.ask(spark, ["COUNT(*)"], f"{target.name(BATCH_COLUMN)} = {int(batch_id)}")
+    missing = df
+    if present:
+        stored = target.scan(spark).where(F.col(BATCH_COLUMN) == batch_id)
+        missing = df.exceptAll(without_repeats(stored, columns))
     write_jdbc(_tagged(missing, batch_id), target, **options)
 
 

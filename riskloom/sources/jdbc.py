@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom import schemas
@@ -48,6 +48,18 @@ class JdbcTable:
         reader = spark.read.format("jdbc").option("url", self.url).option("dbtable", self.table)
         return reader.options(**self.options).options(**options).load()
 
+    def ask(self, spark: SparkSession, aggregates: list[str], condition: str = "") -> Row:
+        """One row of aggregates, computed by the database itself."""
+        select = f"SELECT {', '.join(f'{a} AS a{i}' for i, a in enumerate(aggregates))}"
+        text = f"{select} FROM {self.table}" + (f" WHERE {condition}" if condition else "")
+        reader = spark.read.format("jdbc").option("url", self.url).option("query", text)
+        return reader.options(**self.options).load().first()
+
+    def name(self, column: str) -> str:
+        """A column name as the database expects it in SQL text."""
+        mark = "`" if self.url.startswith(("jdbc:mysql:", "jdbc:mariadb:")) else '"'
+        return f"{mark}{column}{mark}"
+
 
 def read_predictions(
     spark: SparkSession,
@@ -75,7 +87,8 @@ def read_predictions(
             numPartitions=str(min(partitions, SPREAD_VALUES)),
         )
     else:
-        first, last = whole.agg(F.min("date"), F.max("date")).first()
+        date = source.name("date")
+        first, last = source.ask(spark, [f"MIN({date})", f"MAX({date})"])
         split = whole
         if first is not None and first < last:
             split = source.scan(

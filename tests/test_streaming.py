@@ -179,6 +179,11 @@ def test_filters_reach_the_table(spark, inbox, plan_of):
     assert "GreaterThanOrEqual(risk_category,3)" in plan and "EqualTo(state,S1)" in plan
 
 
+def test_column_names_in_sql_text():
+    assert JdbcTable("jdbc:postgresql://h/d").name("date") == '"date"'
+    assert JdbcTable("jdbc:mysql://h/d").name("date") == "`date`"
+
+
 def test_table_named_by_the_session(spark):
     assert JdbcTable.from_settings(spark) is None
     spark.conf.set("spark.riskloom.jdbc.url", "jdbc:derby:memory:tests")
