@@ -5,11 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom import schemas
-from riskloom.constants import PARTITION_COLUMNS, RAW_DATE_FORMAT
+from riskloom.constants import FEATURE_COLUMNS, PARTITION_COLUMNS, RAW_DATE_FORMAT
 from riskloom.functions.dates import parse_iso_date, partition_parts
 from riskloom.operators import cleaning, learning, lookups, report, scoring
 from riskloom.operators import profile as statistics
@@ -457,6 +458,26 @@ def _model_reports(spark, sf_dir):
     return sample.reports(spark, sf_dir).drop("note").withColumns(parts)
 
 
+@query
+def feature_rows(spark, sf_dir):
+    rows = learning.training_rows(_model_reports(spark, sf_dir))
+    features = vector_to_array("features")
+    return (
+        scoring.assembler()
+        .transform(rows)
+        .select(
+            *schemas.PREDICTION_COLUMNS[:3],
+            *[features[i].alias(name) for i, name in enumerate(FEATURE_COLUMNS)],
+            "risk_category",
+        )
+    )
+
+
+@query
+def training_weights(spark, sf_dir):
+    return learning.compact(learning.training_rows(_model_reports(spark, sf_dir)))
+
+
 @query
 def train_test_split(spark, sf_dir):
     sides = learning.split(learning.training_rows(_model_reports(spark, sf_dir)))
@@ -505,8 +526,18 @@ def model_svm(spark, sf_dir):
     return _predicted(spark, sf_dir, "svm", maxIter=5)
 
 
+@query
+def model_stream_rows(spark, sf_dir):
+    """What the model was asked: every complete report once, with its actual category."""
+    return _model_scored_stream(spark, sf_dir).drop("predicted_risk_category")
+
+
 @query
 def model_stream_scoring(spark, sf_dir):
+    return _model_scored_stream(spark, sf_dir)
+
+
+def _model_scored_stream(spark, sf_dir):
     """Train, save, load, and score the message stream with the loaded model."""
     folder, messages = _message_stream(spark, sf_dir)
     training = jobs.train_on(_model_reports(spark, sf_dir))

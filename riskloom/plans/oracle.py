@@ -190,6 +190,16 @@ ON_FACTS = {
     "stream_restarted": PREDICTED_ROWS,
     "live_distribution_of_risk": """
         SELECT date AS day, risk_category, COUNT(*) AS n FROM preds GROUP BY 1, 2""",
+    "feature_rows": """
+        SELECT state, county, date, CAST(MONTH(date) AS DOUBLE) AS mois,
+               CAST(DAY(date) AS DOUBLE) AS jour, CAST(risk_score AS DOUBLE) AS risk_score,
+               CAST(risk_category AS DOUBLE) AS risk_category
+        FROM preds""",
+    "training_weights": """
+        SELECT CAST(MONTH(date) AS INT) AS mois, CAST(DAY(date) AS INT) AS jour, risk_score,
+               CAST(risk_category AS DOUBLE) AS risk_category, CAST(COUNT(*) AS DOUBLE) AS weight
+        FROM preds GROUP BY 1, 2, 3, 4""",
+    "model_stream_rows": "SELECT state, county, date, risk_category FROM preds",
     "train_test_split": """
         SELECT s.state, s.county, s.date, s.cases, s.deaths, s.risk_score,
                CASE WHEN risk_score < 0 THEN 0 WHEN risk_score < 1000 THEN 1
