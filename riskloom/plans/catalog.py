@@ -15,7 +15,7 @@ from riskloom.functions.dates import parse_iso_date, partition_parts
 from riskloom.operators import cleaning, learning, lookups, report, scoring
 from riskloom.operators import profile as statistics
 from riskloom.plans import jobs
-from riskloom.session import materialize, shared_folder
+from riskloom.session import is_local, materialize, shared_folder
 from riskloom.sinks.files import export_csv as write_csv
 from riskloom.sinks.jdbc import write_jdbc
 from riskloom.sinks.messages import to_messages, write_message_files
@@ -373,7 +373,7 @@ def _jdbc_table(spark):
     named = JdbcTable.from_settings(spark, name)
     if named is not None:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not is_local(spark):
         raise RuntimeError("set spark.riskloom.jdbc.url to a database every executor can reach")
     embedded = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
     return JdbcTable("jdbc:derby:memory:riskloom;create=true", name, embedded)

@@ -17,6 +17,7 @@ from riskloom.operators import learning, report
 from riskloom.operators.cleaning import measure_fill
 from riskloom.session import materialize
 from riskloom.sinks.files import write_partitioned
+from riskloom.sinks.paths import check_output
 from riskloom.sources.jdbc import JdbcTable, read_predictions
 from riskloom.sources.reports import read_reports, read_reports_csv
 from riskloom.streaming.scoring import decode_reports, score_reports
@@ -33,7 +34,7 @@ class IngestReport:
 
 def ingest(
     spark: SparkSession,
-    csv_path: str,
+    csv_paths: str | list[str],
     output_path: str,
     min_fill: float = 0.5,
     keys: Sequence[str] = tuple(PARTITION_COLUMNS),
@@ -45,15 +46,15 @@ def ingest(
     The second writes. Dates that cannot be read are kept as null and counted. Fewer keys,
     such as year and month, give fewer and larger files; the other parts stay columns.
     """
-    raw = read_reports_csv(spark, csv_path)
+    inputs = [csv_paths] if isinstance(csv_paths, str) else list(csv_paths)
+    check_output(output_path, inputs)
+    raw = read_reports_csv(spark, inputs)
     date = parse_raw_date(F.col("date"))
     fill = measure_fill(raw, unparsed_dates=F.col("date").isNotNull() & date.isNull())
     dropped = fill.sparse_columns(min_fill, keep=["date"])
     dated = raw.drop(*dropped).withColumn("date", date)
     curated = dated.withColumns(partition_parts(F.col("date")))
-    write_partitioned(
-        curated, output_path, keys=keys, inputs=[csv_path], touched_only=touched_only
-    )
+    write_partitioned(curated, output_path, keys, inputs, touched_only)
     return IngestReport(fill.rows, len(curated.columns), dropped, fill.extra["unparsed_dates"])
 
 

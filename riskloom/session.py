@@ -20,7 +20,9 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "riskloom", master: str | None = None, **settings: str) -> SparkSession:
+def build_session(
+    app: str = "riskloom", master: str | None = None, **settings: str
+) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -29,6 +31,11 @@ def build_session(app: str = "riskloom", master: str | None = None, **settings:
     return builder.getOrCreate()
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether all tasks run in this process and so see its disk."""
+    return spark.conf.get("spark.master", "").startswith("local")
+
+
 @lru_cache(maxsize=1)
 def _local_base() -> str:
     return tempfile.mkdtemp(prefix="run-riskloom-")
@@ -41,7 +48,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not is_local(spark):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = _local_base()
     return f"{base.rstrip('/')}/riskloom/{purpose}-{uuid.uuid4().hex}"

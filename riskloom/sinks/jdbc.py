@@ -30,12 +30,14 @@ def append_batch_jdbc(df: DataFrame, target: JdbcTable, batch_id: int, **options
 
     A batch delivered again writes only the rows the table lacks for it, counted with copies,
     which also completes a batch that was cut off half-way. A first delivery finds none and is
-    written as it is. Inside a delivery every row has a number, by which read_predictions
-    tells rows that a task wrote twice from rows that are equal.
+    written as it is. Inside a delivery every row has a number, by which read_predictions tells
+    rows that a task wrote twice from rows that are equal. Writing no rows first creates the
+    table where there is none.
     """
     columns = df.columns
-    write_jdbc(_tagged(df.limit(0), batch_id), target, **options)
     spark = df.sparkSession
+    no_rows = spark.createDataFrame([], df.schema)
+    write_jdbc(_tagged(no_rows, batch_id), target, **options)
     (present,) = target.ask(spark, ["COUNT(*)"], f"{target.name(BATCH_COLUMN)} = {int(batch_id)}")
     missing = df
     if present:

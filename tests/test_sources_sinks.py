@@ -253,14 +253,22 @@ def test_shared_folder_follows_the_session(spark):
 def test_a_cluster_must_name_its_shared_folder():
     class Conf:
         def get(self, key, default):
-            return default
-
-    class Context:
-        master = "yarn"
+            return {"spark.master": "yarn"}.get(key, default)
 
     class Session:
         conf = Conf()
-        sparkContext = Context()
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Session(), "x")
+
+
+def test_ingest_of_several_files(spark, folder):
+    paths = [
+        put(f"{folder}/raw", f"{i}.csv", f"date,county,state,cases,deaths\n1/{i}/2023,x,A,{i},0\n")
+        for i in (1, 2, 3)
+    ]
+    assert ingest(spark, paths[:2], f"{folder}/out").rows == 2
+    assert read_reports(spark, f"{folder}/out").count() == 2
+    with pytest.raises(ValueError):
+        ingest(spark, [paths[0], f"{folder}/out/annee=2023"], f"{folder}/out")
+    assert read_reports(spark, f"{folder}/out").count() == 2
