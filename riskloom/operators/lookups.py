@@ -25,13 +25,16 @@ def lookup_join(
     dim: DataFrame,
     on: str | list[str],
     limit_bytes: int = BROADCAST_LIMIT_BYTES,
+    within: DataFrame | None = None,
 ) -> DataFrame:
     """Left join to a dimension: broadcast if its measured size is below the limit.
 
     A larger dimension is joined by shuffle; adaptive execution then splits the
-    partitions of hot keys between tasks.
+    partitions of hot keys between tasks. Where the dimension is reduced from a table that is
+    cheaper to measure, that table (within) bounds its size.
     """
-    side = F.broadcast(dim) if dimension_bytes(dim) <= limit_bytes else dim
+    size = dimension_bytes(dim if within is None else within)
+    side = F.broadcast(dim) if size <= limit_bytes else dim
     return df.join(side, on, "left")
 
 
@@ -51,5 +54,8 @@ def one_code_per_state(codes: DataFrame) -> DataFrame:
 
 def with_state_code(df: DataFrame, codes: DataFrame | None = None) -> DataFrame:
     """Add state_code, null for a state without one; the fifty states by default."""
-    dim = us_state_codes(df.sparkSession) if codes is None else one_code_per_state(codes)
-    return lookup_join(df.drop("state_code"), dim, "state")
+    bare = df.drop("state_code")
+    if codes is None:
+        return bare.join(F.broadcast(us_state_codes(df.sparkSession)), "state", "left")
+    pairs = codes.select("state", "state_code")
+    return lookup_join(bare, one_code_per_state(pairs), "state", within=pairs)

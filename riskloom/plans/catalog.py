@@ -381,11 +381,14 @@ def _jdbc_table(spark):
 
 # Streams
 
+# A backlog is read in micro-batches of this many bytes.
+MICRO_BATCH = 256 * 1024**3
+
 
 def _message_stream(spark, sf_dir):
     folder = shared_folder(spark, "stream")
     write_message_files(sample.reports(spark, sf_dir), f"{folder}/messages")
-    return folder, file_messages(spark, f"{folder}/messages")
+    return folder, file_messages(spark, f"{folder}/messages", max_bytes_per_trigger=MICRO_BATCH)
 
 
 @query
@@ -410,16 +413,14 @@ def stream_to_files(spark, sf_dir):
 
 @query
 def stream_restarted(spark, sf_dir):
-    """The stream once, then again from its checkpoint, then its only batch once more."""
+    """The stream, then again from its checkpoint, then all its batches once more."""
     folder, messages = _message_stream(spark, sf_dir)
     scored = score_reports(decode_reports(messages), sample.case_scorer)
     writer = parquet_batches(f"{folder}/predictions")
-    for _ in range(2):
+    for checkpoint in ("first", "first", "second"):
         start_batches(
-            scored, writer, f"{folder}/checkpoint", available_now=True
+            scored, writer, f"{folder}/{checkpoint}", available_now=True
         ).awaitTermination()
-    whole = decode_reports(spark.read.text(f"{folder}/messages"))
-    writer(score_reports(whole, sample.case_scorer), 0)
     return read_batches(spark, f"{folder}/predictions")
 
 
@@ -439,7 +440,8 @@ def _live(spark, stream, category, date):
 @query
 def live_distribution_of_events(spark, sf_dir):
     events = sample.table(spark, sf_dir, "events")
-    stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events*.parquet")
+    reader = spark.readStream.schema(events.schema).option("maxBytesPerTrigger", MICRO_BATCH)
+    stream = reader.parquet(f"{sf_dir}/events*.parquet")
     return _live(spark, stream, "event_type", "ts")
 
 

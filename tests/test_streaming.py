@@ -94,6 +94,19 @@ def test_stream_equals_batch_and_a_restart_adds_nothing(spark, inbox, start):
     assert len(run()) == 501
 
 
+def test_a_backlog_is_cut_into_batches_by_size(spark, inbox):
+    for i in range(4):
+        put(f"{inbox}/in", f"more{i}.json", [report(1000 + 100 * i + j) for j in range(100)])
+    expected = rows(scored(spark.read.text(f"{inbox}/in")))
+    stream = scored(file_messages(spark, f"{inbox}/in", max_bytes_per_trigger=20_000))
+    query = start_batches(
+        stream, parquet_batches(f"{inbox}/out"), f"{inbox}/checkpoint", available_now=True
+    )
+    query.awaitTermination()
+    assert len(os.listdir(f"{inbox}/out")) > 1
+    assert rows(read_batches(spark, f"{inbox}/out")) == expected
+
+
 def test_replayed_folder_batch_is_overwritten(spark, inbox):
     batch = scored(spark.read.text(f"{inbox}/in"))
     write = parquet_batches(f"{inbox}/out")
