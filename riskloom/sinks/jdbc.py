@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.operators.copies import rows_beyond
 from riskloom.sources.jdbc import (
     BATCH_COLUMN,
     DELIVERY_COLUMN,
@@ -42,7 +43,7 @@ def append_batch_jdbc(df: DataFrame, target: JdbcTable, batch_id: int, **options
     missing = df
     if present:
         stored = target.scan(spark).where(F.col(BATCH_COLUMN) == batch_id)
-        missing = df.exceptAll(without_repeats(stored, columns))
+        missing = rows_beyond(df, without_repeats(stored, columns))
     write_jdbc(_tagged(missing, batch_id), target, **options)
 
 
