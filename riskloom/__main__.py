@@ -13,7 +13,7 @@ from riskloom.plans import jobs
 from riskloom.session import build_session
 from riskloom.sinks.files import export_csv
 from riskloom.sinks.messages import publish_reports, write_message_files
-from riskloom.sources.jdbc import JdbcTable, read_predictions
+from riskloom.sources.jdbc import JdbcTable
 from riskloom.sources.reports import read_reports
 from riskloom.streaming.sinks import jdbc_batches, parquet_batches, read_batches
 from riskloom.streaming.sources import file_messages, kafka_messages
@@ -107,14 +107,13 @@ def main(argv: Sequence[str] | None = None) -> None:
         ).awaitTermination()
     else:
         if args.predictions:
-            predictions = read_batches(spark, args.predictions)
+            board = jobs.open_dashboard(read_batches(spark, args.predictions))
         else:
-            predictions = read_predictions(spark, _jdbc(spark))
-        show_report(predictions, args)
+            board = jobs.open_jdbc_dashboard(spark, _jdbc(spark))
+        show_report(board, args)
 
 
-def show_report(predictions: DataFrame, args: argparse.Namespace) -> None:
-    board = jobs.open_dashboard(predictions)
+def show_report(board: jobs.Dashboard, args: argparse.Namespace) -> None:
     if board.is_empty():
         print("no predictions")
         return

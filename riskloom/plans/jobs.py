@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -24,6 +24,9 @@ from riskloom.streaming.scoring import decode_reports, score_reports
 from riskloom.streaming.sinks import BatchWriter, start_batches
 
 
+Source = DataFrame | Callable[[], DataFrame]
+
+
 @dataclass(frozen=True)
 class IngestReport:
     rows: int
@@ -115,6 +118,8 @@ class Dashboard:
 
     predictions: DataFrame
     summary: DataFrame
+    source: Source
+    codes: DataFrame | None = None
 
     def category_distribution(self) -> DataFrame:
         return report.category_distribution(self.summary)
@@ -156,15 +161,21 @@ class Dashboard:
     def close(self) -> None:
         self.summary.unpersist()
 
+    def refresh(self) -> Dashboard:
+        """Close this one and open the same source again, with what it holds by now."""
+        self.close()
+        return open_dashboard(self.source, self.codes)
+
 
-def open_dashboard(predictions: DataFrame, codes: DataFrame | None = None) -> Dashboard:
-    """Call again after close to see new predictions."""
+def open_dashboard(source: Source, codes: DataFrame | None = None) -> Dashboard:
+    """A dashboard on predictions, or on what a function reads each time it is opened."""
+    predictions = source() if callable(source) else source
     enriched = report.enrich_predictions(predictions, codes)
     summary = report.summarise(predictions, codes).persist(StorageLevel.MEMORY_AND_DISK)
-    return Dashboard(enriched, summary)
+    return Dashboard(enriched, summary, source, codes)
 
 
 def open_jdbc_dashboard(
-    spark: SparkSession, source: JdbcTable, codes: DataFrame | None = None
+    spark: SparkSession, table: JdbcTable, codes: DataFrame | None = None
 ) -> Dashboard:
-    return open_dashboard(read_predictions(spark, source), codes)
+    return open_dashboard(lambda: read_predictions(spark, table), codes)

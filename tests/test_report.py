@@ -295,6 +295,17 @@ def test_dashboard(spark, rows):
         board.close()
 
 
+def test_refreshed_dashboard_sees_new_predictions(spark, rows, folder):
+    df = spark.createDataFrame(rows, SCHEMA)
+    df.write.parquet(f"{folder}/p")
+    board = open_dashboard(lambda: spark.read.parquet(f"{folder}/p"), codes(spark))
+    assert board.details_count().first().n == len(rows)
+    df.write.mode("append").parquet(f"{folder}/p")
+    board = board.refresh()
+    assert board.details_count().first().n == board.details().count() == 2 * len(rows)
+    board.close()
+
+
 def test_distinct_counties_need_the_predictions(spark, rows):
     summary = report.summarise(spark.createDataFrame(rows, SCHEMA))
     with pytest.raises(Exception, match="county"):

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import learning
-from riskloom.plans.jobs import score_stream, train_on
+from riskloom.plans.jobs import open_jdbc_dashboard, score_stream, train_on
 from riskloom.sinks.jdbc import _tagged, append_batch_jdbc, write_jdbc
 from riskloom.sources.jdbc import JdbcTable, read_predictions
 from riskloom.sources.sample_tables import case_scorer
@@ -192,6 +192,18 @@ def test_filters_reach_the_table(spark, inbox, plan_of):
     assert "GreaterThanOrEqual(risk_category,3)" in plan and "EqualTo(state,S1)" in plan
 
 
+def test_dashboard_on_a_table(spark, inbox):
+    target = table("predictions_board")
+    batch = scored(spark.read.text(f"{inbox}/in"))
+    append_batch_jdbc(batch, target, 0, **TEXT)
+    board = open_jdbc_dashboard(spark, target)
+    assert board.details_count().first().n == 500
+    append_batch_jdbc(batch, target, 1, **TEXT)
+    board = board.refresh()
+    assert board.details_count().first().n == 1000
+    board.close()
+
+
 def test_column_names_in_sql_text():
     assert JdbcTable("jdbc:postgresql://h/d").name("date") == '"date"'
     assert JdbcTable("jdbc:mysql://h/d").name("date") == "`date`"
