@@ -33,7 +33,8 @@ def build_session(
 
 def is_local(spark: SparkSession) -> bool:
     """Whether all tasks run in this process and so see its disk."""
-    return spark.conf.get("spark.master", "").startswith("local")
+    master = spark.conf.get("spark.master", "")
+    return master == "local" or master.startswith("local[")
 
 
 @lru_cache(maxsize=1)

@@ -250,10 +250,11 @@ def test_shared_folder_follows_the_session(spark):
     assert first != second
 
 
-def test_a_cluster_must_name_its_shared_folder():
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[2,1,1024]"])
+def test_a_cluster_must_name_its_shared_folder(master):
     class Conf:
         def get(self, key, default):
-            return {"spark.master": "yarn"}.get(key, default)
+            return {"spark.master": master}.get(key, default)
 
     class Session:
         conf = Conf()
