@@ -127,6 +127,13 @@ def mean_risk_by_state(
     return coded.select("state", "state_code", "risk_level").orderBy("state", "state_code")
 
 
+def unmatched_states(df: DataFrame, codes: DataFrame) -> DataFrame:
+    """States without a code, which the means by state leave out, and their predictions."""
+    counts = df.where(F.col("state").isNotNull()).groupBy("state").agg(_rows(df).alias("n"))
+    coded = with_state_code(counts, codes)
+    return coded.where(F.col("state_code").isNull()).select("state", "n").orderBy("state")
+
+
 def high_risk(df: DataFrame) -> DataFrame:
     return df.where(F.col("risk_category") >= HIGH_RISK_CODE)
 

@@ -134,6 +134,12 @@ def state_codes(spark, sf_dir):
     return lookups.with_state_code(states, sample.state_codes(spark, sf_dir))
 
 
+@query
+def unmatched_states(spark, sf_dir):
+    codes = sample.state_codes(spark, sf_dir)
+    return report.unmatched_states(sample.predictions(spark, sf_dir), codes)
+
+
 @query
 def enriched_predictions(spark, sf_dir):
     return report.enrich_predictions(

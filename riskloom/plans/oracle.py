@@ -71,6 +71,9 @@ ON_FACTS = {
     "state_codes": """
         SELECT DISTINCT p.state, c.state_code
         FROM preds p LEFT JOIN codes c ON p.state = c.state""",
+    "unmatched_states": """
+        SELECT p.state, COUNT(*) AS n FROM preds p LEFT JOIN codes c ON p.state = c.state
+        WHERE c.state_code IS NULL GROUP BY p.state""",
     "enriched_predictions": """
         SELECT p.state, p.county, p.date, p.risk_category, p.predicted_risk_category,
                '2024-01-01 00:00:00' AS timestamp, a.label AS risk_category_text,

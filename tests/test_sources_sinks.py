@@ -97,6 +97,17 @@ def test_year_restriction_prunes_folders(spark, folder, plan_of):
     assert "PartitionFilters: [isnotnull(annee" in plan
 
 
+def test_folders_read_as_text(spark, folder):
+    ingest(spark, put(f"{folder}/raw", "in.csv", CSV), f"{folder}/out")
+    setting = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        (row,) = read_reports(spark, f"{folder}/out", year=2024).collect()
+    finally:
+        spark.conf.unset(setting)
+    assert (row.county, row.mois, row.jour) == ("q, r", 2, 29)
+
+
 def days(spark, rows, start="2023-01-01", hot=False):
     offset = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7) if hot else F.col("id") % 7
     df = spark.range(0, rows, 1, 8).select(
