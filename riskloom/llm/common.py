@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 # [\x20\x09-\x0D], which is also what bytes.split() and bytes.strip() take as white space.
 WHITE = b" \t\n\x0b\x0c\r"
-MEMO_LIMIT = 400_000
+MEMO_LIMIT = 600_000
 SLICE = 512
 
 
@@ -66,17 +66,19 @@ def add_by_text(
     return df.mapInArrow(run, T.StructType([*df.schema.fields, *fields]))
 
 
-class WordHashes(dict):
+class WordHashes:
     """64-bit hashes of words, remembered until there are too many."""
 
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+    def __init__(self) -> None:
+        self.known: dict[bytes, int] = {}
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > MEMO_LIMIT:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+        known = self.known
+        if len(known) > MEMO_LIMIT:
+            known.clear()
+        for word in set(words).difference(known):
+            known[word] = xxhash.xxh3_64_intdigest(word)
+        return np.fromiter(map(known.get, words), np.uint64, len(words))
 
 
 # Shared by the tasks of a worker process; hashes do not depend on it.

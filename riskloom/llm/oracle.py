@@ -29,4 +29,17 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
 FROM judged GROUP BY doc_id
 """
 
-STATEMENTS = {"op3_line_dedup": OP3}
+OP5 = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes
+  FROM pages
+), firsts AS (
+  SELECT html, min(page_id) AS first FROM payloads WHERE payload_bytes >= 100 GROUP BY html
+)
+SELECT page_id, payload_bytes, sha256(html) AS payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM payloads LEFT JOIN firsts USING (html)
+"""
+
+STATEMENTS = {"op3_line_dedup": OP3, "op5_warc": OP5}

@@ -7,17 +7,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import line_dedup
+from riskloom.llm import line_dedup, packing, quality_rules, warc
 from riskloom.llm.common import table, text_or_empty
+from riskloom.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+def tokenizer_path(name: str) -> str:
+    """Where this machine, and every other one of the cluster, has a vocabulary file."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def query(run: Callable[[SparkSession, str], DataFrame]):
     QUERIES[run.__name__] = run
     return run
 
 
+@query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted, names = quality_rules.with_counts(docs)
+    counted = materialize(counted.drop("text"), "quality-counts")
+    scored, _ = quality_rules.judged(counted, names)
+    return scored.select(
+        "doc_id", *quality_rules.COUNTS[:5], "base_failed", "kept", "quality"
+    )
+
+
 @query
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_lines, n_dropped, kept_sha256."""
@@ -25,3 +45,17 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select(
         "doc_id", "n_lines", "n_dropped", F.sha2(text_or_empty("text"), 256).alias("kept_sha256")
     )
+
+
+@query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, tokenizer_path("word_bpe_49k.json"))
+
+
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return warc.read(warc.archive(pages), payloads=False).drop("url")
