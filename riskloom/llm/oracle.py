@@ -10,6 +10,34 @@ def lowered(column: str) -> str:
     return f"translate({column}, '{UPPER}', '{LOWER}')"
 
 
+OP1 = rf"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id,
+         regexp_extract_all({lowered("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i
+        FROM texts WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_both
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id
+  GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * n_both >= 80 * (x.n + y.n - n_both)
+), reach AS (
+  SELECT doc_id, doc_id AS node FROM documents
+  UNION
+  SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.node = links.a
+)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(node) AS component_id,
+       doc_id = min(node) AS kept
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
 OP3 = rf"""
 WITH lines AS (
   SELECT doc_id, i, l[i] AS line,
@@ -42,4 +70,4 @@ SELECT page_id, payload_bytes, sha256(html) AS payload_digest,
 FROM payloads LEFT JOIN firsts USING (html)
 """
 
-STATEMENTS = {"op3_line_dedup": OP3, "op5_warc": OP5}
+STATEMENTS = {"op1_minhash_near_dedup": OP1, "op3_line_dedup": OP3, "op5_warc": OP5}

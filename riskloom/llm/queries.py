@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import line_dedup, packing, quality_rules, warc
+from riskloom.llm import line_dedup, near_dedup, packing, quality_rules, warc
 from riskloom.llm.common import table, text_or_empty
 from riskloom.session import materialize
 
@@ -26,6 +26,13 @@ def query(run: Callable[[SparkSession, str], DataFrame]):
     return run
 
 
+@query
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept. The contract asks for 4-word shingles."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dedup.near_duplicates(docs, shingle=4, percent=80)
+
+
 @query
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept."""
