@@ -70,4 +70,81 @@ SELECT page_id, payload_bytes, sha256(html) AS payload_digest,
 FROM payloads LEFT JOIN firsts USING (html)
 """
 
-STATEMENTS = {"op1_minhash_near_dedup": OP1, "op3_line_dedup": OP3, "op5_warc": OP5}
+OP9 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+), ranked AS (
+  SELECT query_id, vec_id, score,
+         row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+  FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+def _op10(margins: tuple[str, ...], sweeps: int, power: float, seed: str) -> str:
+    """The sweeps written out one after the other."""
+
+    def marks(mark: str) -> str:
+        return f"(length(t) - length(replace(t, {mark}, '')))"
+
+    parts = [
+        f"""described AS (
+  SELECT doc_id, source, lang,
+         CASE WHEN {marks("'|'")} >= 5 THEN 'table' WHEN {marks("'!'")} >= 5 THEN 'loud'
+              WHEN {marks("'#'")} + {marks("'%'")} + {marks("'$'")} >= 5 THEN 'symbols'
+              WHEN regexp_matches(t, '[0-9]') THEN 'numbers'
+              WHEN {marks("chr(10)")} >= 5 THEN 'long form' ELSE 'short form' END AS topic,
+         len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')) AS tokens
+  FROM (SELECT *, coalesce(text, '') AS t FROM documents))""",
+        """c0 AS MATERIALIZED (
+  SELECT source, lang, topic, sum(tokens) AS w, 1.0 / sum(sum(tokens)) OVER () AS f
+  FROM described GROUP BY ALL)""",
+    ]
+    for m in margins:
+        parts.append(
+            f"""want_{m} AS MATERIALIZED (
+  SELECT {m}, have / sum(have) OVER () AS want
+  FROM (SELECT {m}, pow(sum(w), {power}) AS have FROM c0 GROUP BY {m}) WHERE have > 0)"""
+        )
+    n = 0
+    for _ in range(sweeps):
+        for m in margins:
+            parts.append(
+                f"""c{n + 1} AS MATERIALIZED (
+  SELECT source, lang, topic, w,
+         f * CASE WHEN have > 0 THEN coalesce(want, 0) / have ELSE 1 END AS f
+  FROM (SELECT *, sum(w * f) OVER (PARTITION BY {m}) AS have FROM c{n}) x
+  LEFT JOIN want_{m} y ON x.{m} IS NOT DISTINCT FROM y.{m})""".replace(
+                    "SELECT source, lang, topic, w,", "SELECT x.source, x.lang, x.topic, w,"
+                )
+            )
+            n += 1
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, d.source, d.lang, d.topic, tokens, p AS probability,
+       ('0x' || substr(md5('{seed}/' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT
+         / 4294967296.0 < p AS kept
+FROM described d JOIN (
+  SELECT source, lang, topic, round(least(f / max(f) FILTER (WHERE w > 0) OVER (), 1.0), 6) AS p
+  FROM c{n}
+) c ON d.source IS NOT DISTINCT FROM c.source AND d.lang IS NOT DISTINCT FROM c.lang
+   AND d.topic = c.topic
+"""
+
+
+OP10 = _op10(("source", "lang", "topic"), 12, 0.8, "mix-1")
+
+STATEMENTS = {
+    "op1_minhash_near_dedup": OP1,
+    "op3_line_dedup": OP3,
+    "op5_warc": OP5,
+    "op9_topk_search": OP9,
+    "op10_mixing": OP10,
+}

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import line_dedup, near_dedup, packing, quality_rules, warc
+from riskloom.llm import (
+    license_scan,
+    line_dedup,
+    mixing,
+    near_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    token_counts,
+    topk_search,
+    warc,
+)
 from riskloom.llm.common import table, text_or_empty
 from riskloom.session import materialize
 
@@ -66,3 +77,49 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return warc.read(warc.archive(pages), payloads=False).drop("url")
+
+
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.scan(docs)
+
+
+@query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_pretokens, n_tokens."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.with_token_counts(docs, tokenizer_path("piece_bpe_32k.model")).drop("text")
+
+
+@query
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted."""
+    docs = table(spark, sf_dir, "documents")
+    scored, _ = quality_classifier.classify(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """query_id, rank, vec_id, score."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk_search.search(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
+@query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, source, lang, topic, tokens, probability, kept."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    described = docs.select(
+        "doc_id",
+        "source",
+        "lang",
+        mixing.topic_of("text").alias("topic"),
+        mixing.words_of("text").alias("n_words"),
+    )
+    described = materialize(described, "mix-documents")
+    margins = {m: F.col(m) for m in ("source", "lang", "topic")}
+    mixed, _ = mixing.mix(described, margins, F.col("n_words"))
+    return mixed.select("doc_id", "source", "lang", "topic", "tokens", "probability", "kept")
