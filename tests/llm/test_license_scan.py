@@ -1,0 +1,121 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+from conftest import duck_on
+
+from riskloom.llm import license_scan as ls
+from riskloom.llm.queries import QUERIES
+
+SCHEMA = "doc_id long, text string"
+UPPER = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+
+
+def words_of(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(UPPER))
+
+
+def brute(text):
+    words = words_of(text)
+    base, labels = [], set()
+    for phrase, label in ls.PHRASES.items():
+        own = phrase.split()
+        at = [i for i in range(len(words)) if words[i : i + len(own)] == own]
+        base += at
+        labels |= {label} if at else set()
+    own, score = set(labels), 1.0 if base else 0.0
+    for label, template in ls.TEMPLATES:
+        t = template.split()
+        grams = {}
+        for p in range(len(t) - 2):
+            grams.setdefault(tuple(t[p : p + 3]), []).append(p)
+        votes = sorted(
+            (i - p, i, p) for i in range(len(words) - 2) for p in grams.get(tuple(words[i : i + 3]), [])
+        )
+        spans = []
+        for vote in votes:
+            if not spans or vote[0] - spans[-1][-1][0] > ls.GAP:
+                spans.append([])
+            spans[-1].append(vote)
+        for span in spans:
+            covered = len({p for _, _, p in span}) / (len(t) - 2)
+            size = max(i for _, i, _ in span) + 3 - min(i for _, i, _ in span)
+            equal = max(
+                sum(0 <= d + j < len(words) and words[d + j] == t[j] for j in range(len(t)))
+                for d, _, _ in span
+            )
+            score = max(score, min(covered, 1.0))
+            longest = -(-round(len(t) * ls.LONGER * 1000) // 1000)
+            if covered >= ls.COVERED and size <= longest and equal >= len(t) * ls.ALIGNED:
+                own.add(label)
+    return (
+        len(words), len(base), min(base, default=None), max(base, default=None),
+        ",".join(sorted(labels)), ",".join(sorted(own)), score,
+    )
+
+
+MIT = ls.TEMPLATES[1][1]
+TEXTS = [
+    None,
+    "",
+    "  ..  ",
+    "mit license",
+    "Released UNDER-the\nMIT (license), and again under the mit license!",
+    "under the mit x license",
+    "Licensed under CC BY-NC 4.0.",
+    "cc-by-nc cc by nc",
+    "Apache License, Version 2.0 apache license version 2",
+    "This work is licensed under the GNU General Public License, version 3",
+    "före " + MIT.upper() + " efter",
+    "under the Kmit license under the mİt license under the ﬀ mit license",
+    MIT.replace("free of charge", "free of any charge"),
+    MIT.replace("charge to any", "charge to"),
+    " ".join(MIT.split()[:12]),
+    " ".join(MIT.split()[::-1]),
+    ls.TEMPLATES[5][1],
+    ls.TEMPLATES[6][1],
+    ls.TEMPLATES[2][1] + " some other words here " + ls.TEMPLATES[2][1],
+    "word " * 60_000 + MIT,
+    "cc by",
+    "a cc",
+]
+
+
+def got(df):
+    columns = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    return [tuple(r) for r in df.orderBy("doc_id").select(*columns).collect()]
+
+
+def same(found, expected):
+    assert [r[:-1] for r in found] == [r[:-1] for r in expected]
+    assert [r[-1] for r in found] == pytest.approx([r[-1] for r in expected])
+
+
+def test_scan_equals_brute_force(spark):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), SCHEMA).repartition(3)
+    same(got(ls.scan(docs)), [brute(t) for t in TEXTS])
+
+
+def test_query_equals_brute_force(spark, sf_dir):
+    con = duck_on(sf_dir)
+    rows = con.execute("SELECT doc_id, text FROM documents ORDER BY doc_id").fetchall()
+    same(got(QUERIES["op6_license_scan"](spark, sf_dir)), [brute(t) for _, t in rows])
+    con.close()
+
+
+def test_repeated_rows_and_null_ids(spark):
+    rows = [(1, MIT), (1, MIT), (1, "cc by nc"), (None, MIT), (None, None)]
+    out = ls.scan(spark.createDataFrame(rows, SCHEMA)).select("doc_id", "labels", "score").collect()
+    assert sorted((tuple(r) for r in out), key=str) == sorted(
+        [(1, "mit", 1.0), (1, "mit", 1.0), (1, "cc-by-nc", 1.0), (None, "mit", 1.0), (None, "", 0.0)],
+        key=str,
+    )
+
+
+def test_empty_table_and_other_columns(spark, plan_of):
+    assert ls.scan(spark.createDataFrame([], SCHEMA)).count() == 0
+    docs = spark.createDataFrame([(1, "cc by nc", "x", 2)], SCHEMA + ", words string, score int")
+    assert got(ls.scan(docs)) == [brute("cc by nc")]
+    for name in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"):
+        assert name not in plan_of(ls.places(docs)) + plan_of(ls.spans(ls.places(docs)))

@@ -1,0 +1,126 @@
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from riskloom.llm import mixing
+
+SCHEMA = "doc_id long, source string, lang string, topic string, n long"
+
+
+def rows(n=3000, seed=3):
+    rnd = random.Random(seed)
+    out = []
+    for i in range(n):
+        source = "hot" if rnd.random() < 0.4 else f"s{rnd.randrange(5)}"
+        lang = rnd.choices(["en", "de", "fr", None], [6, 2, 1, 1])[0]
+        out.append((i, source, lang, rnd.choice("xyz"), rnd.randint(0, 50)))
+    return out
+
+
+MARGINS = ("source", "lang", "topic")
+
+
+def mixed(spark, data, targets=None, **options):
+    docs = spark.createDataFrame(data, SCHEMA).repartition(4)
+    margins = {m: F.col(m) for m in MARGINS}
+    out, _ = mixing.mix(docs, margins, F.col("n"), targets, **options)
+    return out.collect()
+
+
+def plain_ipf(data, wants, sweeps):
+    cells = defaultdict(float)
+    for r in data:
+        cells[r[1:4]] += r[4]
+    factor = {c: 1.0 for c in cells}
+    for _ in range(sweeps):
+        for i, m in enumerate(MARGINS):
+            have = defaultdict(float)
+            for c, w in cells.items():
+                have[c[i]] += w * factor[c]
+            for c in cells:
+                if have[c[i]] > 0:
+                    factor[c] *= wants[m].get(c[i], 0) / have[c[i]]
+    top = max(f for c, f in factor.items() if cells[c] > 0)
+    return {c: min(1.0, f / top) for c, f in factor.items()}
+
+
+def tempered(data, i, power):
+    have = defaultdict(float)
+    for r in data:
+        have[r[i]] += r[4]
+    total = sum(h**power for h in have.values())
+    return {v: h**power / total for v, h in have.items()}
+
+
+def test_probabilities_equal_plain_fitting(spark):
+    data = rows()
+    wants = {m: tempered(data, i + 1, mixing.TEMPER) for i, m in enumerate(MARGINS)}
+    want = plain_ipf(data, wants, mixing.SWEEPS)
+    for r in mixed(spark, data):
+        assert r.probability == pytest.approx(want[r.source, r.lang, r.topic], abs=1e-6)
+
+
+def test_expected_tokens_meet_the_targets(spark):
+    data = rows()
+    given = {"source": {"hot": 0.1, "s0": 0.3, "s1": 0.2, "s2": 0.2, "s3": 0.1, "s4": 0.1, "absent": 5.0}}
+    targets = {
+        m: spark.createDataFrame(list(w.items()), "value string, want double") for m, w in given.items()
+    }
+    out = mixed(spark, data, targets)
+    expected, sampled = defaultdict(float), defaultdict(float)
+    for r in out:
+        expected[r.source] += r.n * r.probability
+        sampled[r.source] += r.n * r.kept
+    for value, share in given["source"].items():
+        if value != "absent":
+            assert expected[value] / sum(expected.values()) == pytest.approx(share, abs=1e-3)
+            assert sampled[value] / sum(sampled.values()) == pytest.approx(share, abs=0.08)
+    assert max(r.probability for r in out) == 1.0
+    langs = defaultdict(float)
+    for r in out:
+        langs[r.lang] += r.n * r.probability
+    for value, share in tempered(data, 2, mixing.TEMPER).items():
+        assert langs[value] / sum(langs.values()) == pytest.approx(share, abs=1e-3)
+
+
+def test_a_value_without_a_target_gets_nothing(spark):
+    data = [(1, "a", "en", "x", 5), (2, "b", "en", "x", 5), (3, "a", "en", "x", 0)]
+    targets = {"source": spark.createDataFrame([("a", 1.0)], "value string, want double")}
+    got = {r.doc_id: (r.probability, r.kept) for r in mixed(spark, data, targets)}
+    assert got == {1: (1.0, True), 2: (0.0, False), 3: (1.0, True)}
+
+
+def test_edge_cases(spark):
+    assert mixed(spark, []) == []
+    assert [r.kept for r in mixed(spark, [(1, None, None, None, 0)])] == [True]
+    data = [(1, "a", None, "x", 5), (1, "a", None, "x", 5), (None, "=", "", "", 3), (None, "=", "", "", 3)]
+    out = mixed(spark, data)
+    assert len(out) == 4
+    for pair in ([r for r in out if r.doc_id == 1], [r for r in out if r.doc_id is None]):
+        assert pair[0] == pair[1]
+
+
+def test_clashing_columns_and_no_python(spark, plan_of):
+    docs = spark.createDataFrame(
+        [(1, "a b", "en", 1, 2)], "doc_id long, text string, source string, tokens int, kept int"
+    )
+    out, names = mixing.mix(docs, {"source": F.col("source")}, mixing.words_of("text"))
+    row = out.first()
+    assert (row.tokens, row.kept, row[names["tokens"]], row[names["kept"]]) == (1, 2, 2, True)
+    assert names["tokens"] == "_tokens"
+    for name in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"):
+        assert name not in plan_of(out)
+
+
+def test_topics(spark):
+    texts = ["a|b|c|d|e|f", "HEY!!!!!", "### %% $$", "room 7", "l\n" * 6, "plain", None, ""]
+    want = ["table", "loud", "symbols", "numbers", "long form", "short form", "short form", "short form"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = docs.select("i", mixing.topic_of("text").alias("t"), mixing.words_of("text").alias("n"))
+    rows = sorted(got.collect())
+    assert [r.t for r in rows] == want
+    assert [r.n for r in rows] == [len((t or "").split()) for t in texts]

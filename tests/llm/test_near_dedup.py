@@ -1,0 +1,155 @@
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+
+from riskloom.llm import near_dedup as nd
+from riskloom.llm.components import components
+
+SCHEMA = "doc_id long, text string"
+
+
+def shingle_set(text, size):
+    lowered = (text or "").translate({ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    if not words:
+        return frozenset()
+    size = min(size, len(words))
+    return frozenset(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
+
+
+def brute(rows, size, percent=80):
+    """Components over ids by comparing all pairs."""
+    sets = [shingle_set(t, size) for _, t in rows]
+    up = {}
+
+    def top(x):
+        up.setdefault(x, x)
+        return x if up[x] == x else top(up[x])
+
+    nodes = [d if d is not None else f"row {i}" for i, (d, _) in enumerate(rows)]
+    for i, a in enumerate(sets):
+        top(nodes[i])
+        for j in range(i):
+            b = sets[j]
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
+                # A row without an id joins its copies only, and links nothing to others.
+                if None in (rows[i][0], rows[j][0]) and a != b:
+                    continue
+                x, y = top(nodes[i]), top(nodes[j])
+                up[x] = y
+    smallest = {}
+    for node in nodes:
+        if not isinstance(node, str):
+            t = top(node)
+            smallest[t] = min(smallest.get(t, node), node)
+    out = []
+    for (doc_id, _), node, own in zip(rows, nodes, sets):
+        component = smallest.get(top(node))
+        out.append((doc_id, len(own), component, doc_id == component))
+    return sorted(out, key=str)
+
+
+def result(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def near_copies(seed, groups=12):
+    """Texts with copies that differ in a few words, a shared passage, and odd cases."""
+    rnd = random.Random(seed)
+    word = lambda: "".join(rnd.choices("abcdefgh", k=4))
+    passage = [word() for _ in range(12)]
+    rows = []
+    for _ in range(groups):
+        base = [word() for _ in range(rnd.randint(5, 150))] + passage
+        for _ in range(rnd.randint(1, 6)):
+            text = list(base)
+            for _ in range(rnd.randint(0, 5)):
+                text[rnd.randrange(len(text))] = word()
+            rows.append((len(rows) * 3 + 1, " ".join(text).capitalize()))
+    rows += [(1000 + i, " ".join(passage)) for i in range(5)]
+    return rows
+
+
+ODD = [
+    (2000, None),
+    (2001, ""),
+    (2002, " \t\n"),
+    (2003, "one two"),
+    (2004, "ONE  two"),
+    (2005, "one"),
+    (2006, "É one two three four five six"),
+    (2007, "é one two three four five six"),
+]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_equal_brute_force(spark, seed):
+    rows = near_copies(seed) + ODD
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    assert result(nd.near_duplicates(docs, 4)) == brute(rows, 4)
+
+
+def test_lists_cut_into_blocks_lose_nothing(spark):
+    rnd = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(40):
+        text = list(base)
+        for _ in range(rnd.randint(0, 4)):
+            text[rnd.randrange(60)] = f"x{rnd.randrange(1000)}"
+        rows.append((i, " ".join(text)))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = nd.linked(docs, 3, 80, block=4)
+    got = sorted((r.doc_id, r.component_id) for r in found.collect())
+    assert got == [(d, c) for d, _, c, _ in sorted(brute(rows, 3))]
+
+
+def test_repeated_rows_and_ids(spark):
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    rows = [(7, a), (7, b), (9, a), (8, b), (5, a + " c"), (9, a), (None, b), (None, "alone here")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in nd.near_duplicates(docs, 5).collect()), key=str)
+    assert got == sorted(
+        [(7, 5, False), (7, 5, False), (9, 5, False), (8, 5, False), (5, 5, True), (9, 5, False),
+         (None, 5, False), (None, None, True)], key=str)
+    left = nd.without_near_duplicates(docs).collect()
+    assert sorted((r.doc_id for r in left if r.doc_id is not None)) == [5]
+
+
+def test_empty_table_and_other_columns(spark):
+    assert nd.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+    docs = spark.createDataFrame(
+        [(1, "a b c d e f", 1, "x"), (2, "a b c d e f", 2, "y"), (3, None, 3, "z")],
+        "doc_id long, text string, component_id int, gone_id string",
+    )
+    left = nd.without_near_duplicates(docs)
+    assert left.columns == docs.columns
+    assert sorted(r.component_id for r in left.collect()) == [1, 3]
+
+
+def test_very_long_text(spark):
+    words = [f"w{i}" for i in range(60_000)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:-3000])), (3, "w1 " * 50_000), (4, "w" * 200_000)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert [r.component_id for r in nd.near_duplicates(docs).orderBy("doc_id").collect()] == [1, 1, 3, 4]
+
+
+def test_thresholds_keep_pairs_at_the_limit():
+    from math import comb
+
+    for n in (32, 256):
+        least = nd.least_matches(n, 80)
+        missed = sum(comb(n, i) * 0.8**i * 0.2 ** (n - i) for i in range(least))
+        assert missed <= 1e-6 and least > n // 3
+
+
+def test_components(spark):
+    path = [(i, i + 1) for i in range(40, 0, -1)]
+    star = [(100, i) for i in range(101, 130)] + [(129, 90)]
+    edges = spark.createDataFrame(path + star + [(200, 200), (300, 301), (301, 300)], "a long, b long")
+    got = {r.id: r.component for r in components(edges).collect()}
+    want = {i: 1 for i in range(1, 42)} | {i: 90 for i in [90, *range(100, 130)]} | {300: 300, 301: 300}
+    assert got == want

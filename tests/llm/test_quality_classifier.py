@@ -1,0 +1,97 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pytest
+from conftest import duck_on
+
+from riskloom.llm import quality_classifier as qc
+from riskloom.llm.queries import QUERIES
+
+SCHEMA = "doc_id long, text string"
+
+
+def held(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 4 == 2
+
+
+
+
+@pytest.fixture(scope="module")
+def scored(spark):
+    return QUERIES["op8_quality_classifier"](spark, "/root/testdata/sf0.01").collect()
+
+
+def test_held_out_accuracy(scored):
+    con = duck_on("/root/testdata/sf0.01")
+    quality = dict(con.execute("SELECT doc_id, quality FROM labels").fetchall())
+    n = con.execute("SELECT count(*) FROM documents").fetchone()[0]
+    con.close()
+    assert len(scored) == n
+    for r in scored:
+        assert r.held_out == held(r.doc_id) and 0 <= r.score <= 1
+        assert r.predicted == int(r.score >= 0.7)
+    test = [r for r in scored if r.held_out and r.doc_id in quality]
+    right = sum(r.predicted == quality[r.doc_id] for r in test)
+    assert len(test) > 50 and right >= 0.95 * len(test)
+
+
+def test_fit_and_scores_equal_a_plain_version(spark):
+    random = np.random.default_rng(4)
+    n = len(qc.STATISTICS)
+    x = random.normal(size=(300, n))
+    y = (random.random(300) < 0.7).astype(int)
+    x[y == 0] = x[y == 0] * 2 + 1
+    rows = spark.createDataFrame([(r.tolist(), int(k)) for r, k in zip(x, y)], "s array<double>, y int")
+    model = qc.fit(rows.repartition(5), "s", "y")
+    covs = [np.cov(x[y == k].T, bias=True) for k in (0, 1)]
+    share = [(y == 0).mean(), (y == 1).mean()]
+    pooled = share[0] * covs[0] + share[1] * covs[1]
+    logs = []
+    for k in (0, 1):
+        c = 0.7 * covs[k] + 0.3 * pooled
+        c = 0.9 * c + 0.1 * np.diag(np.diag(c)) + 1e-3 * np.eye(n)
+        d = x - x[y == k].mean(axis=0)
+        mahalanobis = (d @ np.linalg.inv(c) * d).sum(axis=1)
+        logs.append(np.log(share[k]) - 0.5 * (mahalanobis + np.linalg.slogdet(c)[1]))
+    assert model.scores(x) == pytest.approx(1 / (1 + np.exp(logs[0] - logs[1])), abs=1e-6)
+
+
+def texts(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_edge_cases(spark):
+    rows = [(i, f"some plain words number {i} " * 20) for i in range(40)]
+    rows += [(100 + i, f"BAD {i} ### ***" * 30) for i in range(40)]
+    rows += [(500, None), (501, ""), (None, "x"), (1, "repeated id"), (502, "w " * 100_000)]
+    docs = texts(spark, rows)
+    labels = spark.createDataFrame(
+        [(r[0], int(r[0] < 100), 0) for r in rows[:80]] + [(3, None, 0), (4, 9, 0), (None, 1, 0)],
+        "doc_id long, quality int, score int",
+    )
+    out, model = qc.classify(docs, labels)
+    got = out.collect()
+    assert len(got) == len(rows)
+    assert all(0 <= r.score <= 1 for r in got)
+    assert all(r.held_out == (r.doc_id is not None and held(r.doc_id)) for r in got)
+    by = {r.doc_id: r.score for r in got if r.doc_id not in (1, None)}
+    assert all(by[i] > 0.5 for i in range(2, 40)) and all(by[100 + i] < 0.5 for i in range(40))
+
+
+@pytest.mark.parametrize("labels,score", [([], 0.5), ([(1, 1), (5, 1)], 1.0), ([(1, 0)], 0.0)])
+def test_too_few_labels(spark, labels, score):
+    docs = texts(spark, [(1, "a b"), (5, "c"), (7, None)])
+    known = spark.createDataFrame(labels, "doc_id long, quality int")
+    out, _ = qc.classify(docs, known)
+    assert [r.score for r in out.collect()] == [score] * 3
+
+
+def test_empty_table_and_held_out_labels_are_not_read(spark):
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    assert qc.classify(texts(spark, []), labels)[0].count() == 0
+    out = next(i for i in range(100) if held(i))
+    known = spark.createDataFrame([(out, 0)], "doc_id long, quality int")
+    scored, _ = qc.classify(texts(spark, [(out, "a b c")]), known)
+    assert scored.first().score == 0.5

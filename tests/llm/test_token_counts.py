@@ -1,0 +1,76 @@
+from __future__ import annotations
+
+from conftest import duck_on
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from riskloom.llm import token_counts as tc
+from riskloom.llm.queries import QUERIES, tokenizer_path
+
+SCHEMA = "doc_id long, text string"
+PATH = tokenizer_path("piece_bpe_32k.model")
+
+
+def brute(word, pieces):
+    """Every word by itself, without a trie."""
+    text, unknown = "▁" + word, min(pieces.values()) - 10.0
+    best = [(0.0, 0)]
+    for end in range(1, len(text) + 1):
+        options = [
+            (best[s][0] + pieces[text[s:end]], best[s][1] - 1)
+            for s in range(end)
+            if text[s:end] in pieces
+        ]
+        if text[end - 1] not in pieces:
+            n = len(text[end - 1].encode())
+            options.append((best[end - 1][0] + n * unknown, best[end - 1][1] - n))
+        best.append(max(options))
+    return -best[-1][1]
+
+
+TOY = {"▁": -3.0, "a": -2.0, "b": -2.5, "ab": -3.0, "▁a": -2.0, "aba": -3.5, "bab": -4.5, "é": -5.0}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.text(alphabet="abcé中", min_size=1, max_size=12), max_size=30))
+def test_trie_equals_brute_force(words):
+    counter = tc.TrieCounter(TOY)
+    counter.learn({w.encode() for w in words})
+    for w in words:
+        assert counter.counts[w.encode()] == brute(w, TOY) == counter.long(w.encode())
+
+
+def test_shared_prefixes_are_scored_once():
+    counter = tc.TrieCounter(TOY)
+    counter.learn([b"abab", b"ababa", b"ababb", b"b"])
+    assert counter.nodes == len({("▁" + w)[:i] for w in ("abab", "ababa", "ababb", "b") for i in range(1, 7)})
+
+
+def test_query_equals_brute_force(spark, sf_dir):
+    pieces = tc.vocabulary(PATH)
+    con = duck_on(sf_dir)
+    texts = dict(con.execute("SELECT doc_id, text FROM documents").fetchall())
+    con.close()
+    known = {}
+    for r in QUERIES["op7_token_counts"](spark, sf_dir).collect():
+        words = [w.decode() for w in texts[r.doc_id].encode().split()]
+        assert r.n_pretokens == len(words)
+        for w in set(words) - set(known):
+            known[w] = brute(w, pieces)
+        assert r.n_tokens == sum(known[w] for w in words)
+
+
+def test_edge_cases(spark):
+    rows = [(1, None), (2, ""), (3, " \n"), (4, "a b"), (4, "a b"), (None, "a"), (5, "ab" * 50_000)]
+    docs = spark.createDataFrame(
+        [(*r, "x") for r in rows], SCHEMA + ", n_tokens string"
+    )
+    pieces = tc.vocabulary(PATH)
+    out = tc.with_token_counts(docs, PATH)
+    assert out.columns == ["doc_id", "text", "n_tokens", "n_pretokens", "_n_tokens"]
+    got = sorted(((r.doc_id, r.n_pretokens, r._n_tokens) for r in out.collect()), key=str)
+    a, b = brute("a", pieces), brute("b", pieces)
+    long = tc.counter(PATH).long(b"ab" * 50_000)
+    want = [(1, 0, 0), (2, 0, 0), (3, 0, 0), (4, 2, a + b), (4, 2, a + b), (None, 1, a), (5, 1, long)]
+    assert got == sorted(want, key=str)
+    assert tc.with_token_counts(spark.createDataFrame([], SCHEMA), PATH).count() == 0

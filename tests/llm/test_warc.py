@@ -1,0 +1,99 @@
+from __future__ import annotations
+
+import gzip
+import hashlib
+import io
+import random
+
+import pytest
+
+from riskloom.llm import warc
+from riskloom.session import shared_folder
+
+SCHEMA = "page_id long, url string, html string"
+SAME = "<html>" + "same " * 40 + "</html>"
+ROWS = [
+    (5, "http://a/5", SAME),
+    (3, "http://a/3\r\nWARC-Type: x", SAME),
+    (9, None, SAME),
+    (None, "http://a", SAME),
+    (10, "u", None),
+    (11, "ü", ""),
+    (12, "u", "short"),
+    (13, "u", "short"),
+    (14, "u", "\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\n\x00 é中" * 20),
+    (15, "u", "é" * 50),
+    (16, "u", "é" * 50),
+    (17, "u", "x" * 99),
+    (18, "u", "x" * 99),
+    (3, "http://a/3b", SAME),
+    (19, "u", "".join(random.Random(1).choices("abc<>/ \n", k=3_000_000))),
+]
+
+
+def expected(rows):
+    payloads = [(h or "").encode() for _, _, h in rows]
+    out = []
+    for (page, _, _), p in zip(rows, payloads):
+        ids = [r[0] for r, q in zip(rows, payloads) if q == p and r[0] is not None]
+        first = min(ids, default=None) if len(p) >= 100 else None
+        refers = first if first is not None and first != page else None
+        kind = "response" if refers is None else "revisit"
+        out.append((page, len(p), hashlib.sha256(p).hexdigest(), kind, refers))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("archive_bytes", [1, 1000, warc.ARCHIVE_BYTES])
+def test_round_trip(spark, archive_bytes):
+    pages = spark.createDataFrame(ROWS, SCHEMA).repartition(3)
+    archives = warc.archive(pages, archive_bytes)
+    back = warc.read(archives).collect()
+    columns = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert sorted((tuple(r[c] for c in columns) for r in back), key=str) == expected(ROWS)
+    html = {(r[0], (r[2] or "").encode()) for r in ROWS}
+    for r in back:
+        if r.record_type == "response":
+            assert (r.page_id, bytes(r.payload)) in html
+        else:
+            assert r.payload is None
+    assert archives.agg({"n_records": "sum"}).first()[0] == len(ROWS)
+
+
+def test_one_member_per_record(spark):
+    pages = spark.createDataFrame(ROWS, SCHEMA).coalesce(1)
+    for row in warc.archive(pages).collect():
+        data = open(row.path.removeprefix("file:"), "rb").read()
+        found = list(warc.members(io.BytesIO(data), chunk=7))
+        assert len(found) == row.n_records and len(data) == row.n_bytes
+        assert gzip.decompress(data) == b"".join(found)
+        assert all(m.startswith(b"WARC/1.1\r\n") for m in found)
+
+
+def test_what_an_attempt_left_is_not_read(spark):
+    pages = spark.createDataFrame(ROWS[:3], SCHEMA).coalesce(1)
+    folder = shared_folder(spark, "warc-test")
+    lost = warc.write(warc.planned(pages), folder)
+    lost.collect()
+    kept = spark.createDataFrame(lost.collect())
+    assert warc.read(kept).count() == 3
+
+
+def test_damage_is_noticed():
+    good = warc.record(1, "u", b"payload", hashlib.sha256(b"payload").hexdigest(), None)
+    assert warc.parse(good)["payload"] == b"payload"
+    for bad in (
+        good.replace(b"payload", b"payloaD"),
+        good[:-3],
+        good + b"x",
+        good.replace(b"WARC/1.1", b"WARC/9.9"),
+    ):
+        with pytest.raises(warc.WarcError):
+            warc.parse(bad)
+    with pytest.raises(warc.WarcError):
+        list(warc.members(io.BytesIO(warc.member(good)[:-9])))
+
+
+def test_empty_table_and_other_columns(spark):
+    assert warc.read(warc.archive(spark.createDataFrame([], SCHEMA))).count() == 0
+    pages = spark.createDataFrame([(1, "u", "h", "x", 2)], SCHEMA + ", digest string, payload int")
+    assert warc.read(warc.archive(pages)).first().payload_bytes == 1
