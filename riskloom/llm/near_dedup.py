@@ -1,24 +1,25 @@
 """Near-duplicate documents by an inverted join over MinHash coordinates.
 
-1. Each text becomes a set of word shingles and a signature of two parts: coordinates that
-   are posted, and a sketch with one byte for each of further coordinates.
+1. Each text becomes a set of word shingles and a signature of coordinates to be posted.
 2. Texts with the same set form a class; from here on a class is its smallest doc_id.
 3. A class is posted under its coordinate-value pairs. A pair of classes has to collide in
    `least` of the coordinates; so, if each leaves out its least - 1 most frequent ones, the
    pair still meets under one of the others (prefix filter), and a class with fewer than
    `least` shared coordinates needs no posting at all. Frequent coordinate-value pairs, as
    a passage in very many documents gives, are thus left out first.
-4. The lists are merged in tasks. Lists longer than a block are cut into blocks, and each
-   pair of blocks is merged by itself. Collisions are counted on the sketch; pairs below
-   the match threshold go no further. A pair is handled under its first common list only.
-5. First each class is paired with its best partner of a list, and these pairs are verified
-   and joined to components. Then all pairs that are still in different components follow:
-   merging skips pairs that are already joined. So a group of copies costs about one pair
-   per member, and no link between components is lost.
+4. Posted classes, a small part of all, get a sketch with a byte for each of many further
+   coordinates. The lists are merged in tasks. Lists longer than a block are cut into blocks,
+   and each pair of blocks is merged by itself. Collisions are counted on the sketch; pairs
+   below the match threshold go no further. A pair is handled under its first common list.
+5. First each class is paired with its best partner of a list, by the first part of the
+   sketch, and these pairs are verified and joined to components. Then all pairs that are
+   still in different components follow, by the whole sketch: merging skips lists and pairs
+   that are already joined. So a group of copies costs about one pair per member, and no link
+   between components is lost.
 6. Pairs are verified on the full shingle sets.
 
-The two thresholds are set so that a pair at the similarity limit is missed with a
-probability of 1e-6 each; above the limit it falls further.
+The thresholds are set so that a pair at the similarity limit is missed with a probability
+of 1e-6 each; above the limit it falls further.
 
 Defined cases: a text without words (null, empty, white space) has no shingles and links
 with nothing. A shorter text than a shingle is one shingle. Rows that share a doc_id are
@@ -46,11 +47,12 @@ from riskloom.session import materialize
 SHINGLE = 5
 PERCENT = 80
 POSTED = 32
-SKETCH = 256
+SKETCH = 1024
+FIRST_PART = 256
 MISS = 1e-6
 BLOCK = 512
 SEED = 7
-STEP = 256
+STEP = 1 << 16
 
 
 def least_matches(coordinates: int, percent: int, miss: float = MISS) -> int:
@@ -63,9 +65,9 @@ def least_matches(coordinates: int, percent: int, miss: float = MISS) -> int:
     return coordinates
 
 
-def _factors() -> np.ndarray:
-    random = np.random.default_rng(SEED)
-    return random.integers(0, 2**63, POSTED + SKETCH, np.uint64) * np.uint64(2) + np.uint64(1)
+def _factors(count: int, seed: int) -> np.ndarray:
+    random = np.random.default_rng(seed)
+    return random.integers(0, 2**63, count, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def shingles(text: bytes | None, size: int) -> np.ndarray:
@@ -73,37 +75,44 @@ def shingles(text: bytes | None, size: int) -> np.ndarray:
     return np.unique(windows(WORDS.of((text or b"").lower().split()), size))
 
 
-def signature(own: np.ndarray, factors: np.ndarray) -> tuple[np.ndarray, bytes]:
-    """Posted coordinate-value pairs as longs, and the sketch, a byte each."""
+def _least(own: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """Per factor the smallest product with a shingle hash."""
     least = np.full(len(factors), 2**64 - 1, np.uint64)
-    for start in range(0, len(own), STEP):
-        products = factors[:, None] * own[None, start : start + STEP]
+    step = max(1, STEP // len(factors))
+    for start in range(0, len(own), step):
+        products = factors[:, None] * own[None, start : start + step]
         np.minimum(least, products.min(axis=1), out=least)
-    posted = mixed(least[:POSTED] ^ mixed(factors[:POSTED]))
-    return signed(posted), (least[POSTED:] >> np.uint64(40)).astype(np.uint8).tobytes()
+    return least
+
+
+def posted_values(own: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """A long per coordinate, different for equal values of different coordinates."""
+    return signed(mixed(_least(own, factors) ^ mixed(factors)))
+
+
+def sketch_bytes(own: np.ndarray, factors: np.ndarray) -> bytes:
+    return (_least(own, factors) >> np.uint64(40)).astype(np.uint8).tobytes()
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles, hi, lo (of the set), tokens, sketch."""
+    """doc_id, n_shingles, hi, lo (of the set), tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        factors = _factors()
-        known: OrderedDict[bytes, tuple[np.ndarray, bytes]] = OrderedDict()
+        factors = _factors(POSTED, SEED)
+        known: OrderedDict[bytes, np.ndarray] = OrderedDict()
         nothing = np.empty(0, np.int64)
         for batch in batches:
-            counts, keys, tokens, sketches = [], [], [], []
+            counts, keys, tokens = [], [], []
             for text in byte_values(batch.column(1)):
                 own = shingles(text, size)
                 key = xxhash.xxh3_128_digest(own.tobytes())
                 counts.append(len(own))
                 keys.append(key)
                 if len(own) and key not in known:
-                    known[key] = signature(own, factors)
+                    known[key] = posted_values(own, factors)
                     if len(known) > 1000:
                         known.popitem(last=False)
-                posted, sketch = known[key] if len(own) else (nothing, None)
-                tokens.append(posted)
-                sketches.append(sketch)
+                tokens.append(known[key] if len(own) else nothing)
             ends = np.cumsum([0, *map(len, tokens)], dtype=np.int32)
             pairs = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays(
@@ -113,13 +122,12 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                     pa.array(pairs[:, 0]),
                     pa.array(pairs[:, 1]),
                     pa.ListArray.from_arrays(ends, np.concatenate([nothing, *tokens])),
-                    pa.array(sketches, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "hi", "lo", "tokens", "sketch"],
+                names=["doc_id", "n_shingles", "hi", "lo", "tokens"],
             )
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, hi long, lo long, tokens array<long>, sketch binary"
+        run, "doc_id long, n_shingles long, hi long, lo long, tokens array<long>"
     )
 
 
@@ -137,15 +145,14 @@ def prefixes(reps: DataFrame, least: int) -> DataFrame:
     )
 
 
-def posted_lists(prefix: DataFrame, reps: DataFrame, block: int) -> DataFrame:
-    """A row per list, pair of its blocks, and member: token, i, j, own, id, size, sketch, prefix."""
+def posted_lists(prefix: DataFrame, block: int) -> DataFrame:
+    """A row per list, pair of its blocks, and member: token, i, j, own, id."""
     rows = prefix.select("id", F.explode("prefix").alias("token"))
     lengths = rows.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    blocks = F.ceil(F.col("n") / F.lit(block)).cast("int")
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    dealt = (
+    return (
         rows.join(lengths, "token")
-        .withColumn("blocks", blocks)
+        .withColumn("blocks", F.ceil(F.col("n") / F.lit(block)).cast("int"))
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
@@ -156,10 +163,6 @@ def posted_lists(prefix: DataFrame, reps: DataFrame, block: int) -> DataFrame:
             "id",
         )
     )
-    what = reps.select("id", F.col("n_shingles").alias("size"), "sketch").join(prefix, "id")
-    return dealt.join(what, "id").select(
-        "token", "i", "j", "own", "id", "size", "sketch", "prefix"
-    )
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -188,7 +191,9 @@ def _best(matches: np.ndarray, least: int) -> list[int]:
     return [best] if matches[best] >= least else []
 
 
-def merged(lists: DataFrame, percent: int, least: int, across: bool) -> DataFrame:
+def merged(
+    lists: DataFrame, members: DataFrame, percent: int, least: int, across: bool
+) -> DataFrame:
     """a, b: the best partner of each member, or all pairs across components."""
     extra = ["component"] if across else []
 
@@ -203,13 +208,14 @@ def merged(lists: DataFrame, percent: int, least: int, across: bool) -> DataFram
         if pairs:
             yield _pair_batch(pairs)
 
-    columns = ["token", "i", "j", "own", "id", "size", "sketch", "prefix", *extra]
-    sorted_lists = (
-        lists.select(*columns)
+    what = members.select("id", "size", "sketch", "prefix", *extra)
+    dealt = (
+        lists.join(what, "id")
+        .select("token", "i", "j", "own", *what.columns)
         .repartition(F.col("token"), F.col("i"), F.col("j"))
         .sortWithinPartitions("token", "i", "j", "id")
     )
-    return sorted_lists.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
 def _pair_batch(pairs: set[tuple[int, int]]) -> pa.RecordBatch:
@@ -288,62 +294,87 @@ def linked(
     """doc_id, hi, lo, n_shingles and component_id, a row per document row."""
     rows = materialize(signatures(docs, shingle), "near-signatures")
     # Copies are reduced to one row per class and task before they are shuffled.
-    smallest = F.min(F.struct("doc_id", "n_shingles", "tokens", "sketch")).alias("x")
+    smallest = F.min(F.struct("doc_id", "n_shingles", "tokens")).alias("x")
     full = rows.where("n_shingles > 0 AND doc_id IS NOT NULL")
     reps = materialize(full.groupBy("hi", "lo").agg(smallest).select("hi", "lo", "x.*"), "near-classes")
     # An id that stands for several classes (rows with one id, different texts) is posted
     # and verified for each of them, under a number of its own.
     nodes = reps.withColumnRenamed("doc_id", "doc").withColumn("id", F.xxhash64("hi", "lo"))
-    posted, least = least_matches(POSTED, percent), least_matches(SKETCH, percent)
-    prefix = materialize(prefixes(nodes, posted), "near-prefixes")
-    lists = materialize(posted_lists(prefix, nodes, block), "near-lists")
-    texts = materialize(_texts(docs, prefix, nodes, shingle), "near-texts")
-
-    pairs = merged(lists, percent, least, across=False)
+    prefix = materialize(prefixes(nodes, least_matches(POSTED, percent)), "near-prefixes")
+    lists = materialize(posted_lists(prefix, block), "near-lists")
+    texts = materialize(posted_texts(docs, prefix, nodes, shingle), "near-texts")
+    members = texts.select("id", "size", "sketch").join(prefix, "id")
+
+    part = members.withColumn("sketch", F.substring("sketch", 1, FIRST_PART))
+    least = least_matches(FIRST_PART, percent)
+    pairs = merged(lists, part, percent, least, across=False)
     near = materialize(verified(pairs, texts, shingle, percent), "near-links")
     joined = components(near)
-    lists = lists.join(joined.withColumnRenamed("component", "known"), "id", "left").withColumn(
-        "component", F.coalesce("known", "id")
+    known = joined.withColumnRenamed("component", "known")
+    known = prefix.select("id").join(known, "id", "left")
+    known = known.select("id", F.coalesce("known", "id").alias("component"))
+    # Lists whose members are all in one component have nothing left to join.
+    mixed_lists = lists.join(known, "id").groupBy("token").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
     )
-    pairs = merged(lists, percent, least, across=True)
+    mixed_lists = mixed_lists.where("low <> high").select("token")
+    rest = materialize(lists.join(mixed_lists, "token", "left_semi"), "near-lists")
+    members = members.join(known, "id")
+    least = least_matches(SKETCH, percent)
+    pairs = merged(rest, members, percent, least, across=True)
     more = verified(pairs, texts, shingle, percent)
-    links = near.union(more)
-    # From classes to documents: a class is the smallest doc_id of its rows.
-    doc = nodes.select("id", "doc")
-    edges = links.join(doc.toDF("a", "x"), "a").join(doc.toDF("b", "y"), "b").select("x", "y")
-    classes = reps.select("hi", "lo", F.col("doc_id").alias("id"))
+
+    # Rows with one id and different texts tie the classes of these texts.
+    node = F.xxhash64("hi", "lo")
+    several = full.groupBy("doc_id").agg(F.min(node).alias("b"), F.max(node).alias("high"))
+    several = several.where("b <> high").select("doc_id", "b")
+    tied = full.select("doc_id", node.alias("a")).join(several, "doc_id").select("a", "b")
+    stars = joined.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    found = components(stars.union(more).union(tied))
+    # The smallest document of a component stands for it.
+    grouped = nodes.select("id", "doc").join(found, "id")
+    lowest = grouped.groupBy("component").agg(F.min("doc").alias("low"))
+    of_node = grouped.join(lowest, "component").select("id", "low")
+    classes = nodes.select("id", "hi", "lo", "doc").join(of_node, "id", "left")
+    classes = classes.select("hi", "lo", F.coalesce("low", "doc").alias("component_id"))
     member = rows.select("doc_id", "n_shingles", "hi", "lo").join(classes, ["hi", "lo"], "left")
-    twice = rows.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL")
-    repeated = member.where("id IS NOT NULL").join(twice, "doc_id", "left_semi")
-    repeated = repeated.select("doc_id", "id")
-    found = components(edges.toDF("a", "b").union(repeated.toDF("a", "b")))
-    return member.join(found.toDF("id", "component"), "id", "left").select(
-        "doc_id",
-        "hi",
-        "lo",
-        "n_shingles",
-        F.coalesce("component", "id", "doc_id").alias("component_id"),
+    return member.withColumn("component_id", F.coalesce("component_id", "doc_id")).select(
+        "doc_id", "hi", "lo", "n_shingles", "component_id"
     )
 
 
-def _texts(docs: DataFrame, prefix: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
-    """id, text of the classes that are posted; any row of the class will do."""
+def posted_texts(
+    docs: DataFrame, prefix: DataFrame, nodes: DataFrame, shingle: int
+) -> DataFrame:
+    """id, text, size and sketch of the classes that are posted; any row of a class will do."""
     wanted = prefix.select("id").join(nodes.select("id", "doc", "hi", "lo"), "id")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), "text").join(wanted, "doc")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        factors = _factors(SKETCH, SEED + 1)
         for batch in batches:
-            keys = [
-                xxhash.xxh3_128_digest(shingles(t, shingle).tobytes())
-                for t in byte_values(batch.column(1))
-            ]
-            pairs = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
+            sets = [shingles(t, shingle) for t in byte_values(batch.column(1))]
+            keys = b"".join(xxhash.xxh3_128_digest(own.tobytes()) for own in sets)
+            pairs = np.frombuffer(keys, np.int64).reshape(-1, 2)
+            # Another row with the same id may have another text.
             same = (pairs[:, 0] == batch.column(2).to_numpy()) & (
                 pairs[:, 1] == batch.column(3).to_numpy()
             )
-            yield batch.select(["id", "text"]).filter(pa.array(same))
+            kept = batch.filter(pa.array(same))
+            sets = [own for own, ok in zip(sets, same) if ok]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    kept.column(0),
+                    kept.column(1),
+                    pa.array([len(own) for own in sets], pa.int64()),
+                    pa.array([sketch_bytes(own, factors) for own in sets], pa.binary()),
+                ],
+                names=["id", "text", "size", "sketch"],
+            )
 
-    own = rows.select("id", "text", "hi", "lo").mapInArrow(run, "id long, text string")
+    own = rows.select("id", "text", "hi", "lo").mapInArrow(
+        run, "id long, text string, size long, sketch binary"
+    )
     return own.dropDuplicates(["id"])
 
 
