@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom import schemas
 from riskloom.constants import PREDICTIONS_TABLE
+from riskloom.functions.dates import with_date
 
 SETTING = "spark.riskloom.jdbc."
 
-# Columns that append_batch_jdbc adds: the micro-batch, the delivery of it that wrote the row,
-# the row's number in that delivery, and an even spread for parallel reads.
+# Columns that append_batch_jdbc adds: the stream and its micro-batch, the delivery of it that
+# wrote the row, the row's number in that delivery, and an even spread for parallel reads.
+STREAM_COLUMN = "stream_id"
 BATCH_COLUMN = "batch_id"
 DELIVERY_COLUMN = "delivery"
 ROW_COLUMN = "row_id"
 SPREAD_COLUMN = "spread"
-SPREAD_VALUES = 64
+SPREAD_VALUES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -55,6 +57,10 @@ class JdbcTable:
         reader = spark.read.format("jdbc").option("url", self.url).option("query", text)
         return reader.options(**self.options).load().first()
 
+    def beside(self, purpose: str) -> JdbcTable:
+        """A table of this library next to this one."""
+        return replace(self, table=f"{self.table}_{purpose}")
+
     def name(self, column: str) -> str:
         """A column name as the database expects it in SQL text."""
         mark = "`" if self.url.startswith(("jdbc:mysql:", "jdbc:mariadb:")) else '"'
@@ -84,7 +90,7 @@ def read_predictions(
             partitionColumn=SPREAD_COLUMN,
             lowerBound="0",
             upperBound=str(SPREAD_VALUES),
-            numPartitions=str(min(partitions, SPREAD_VALUES)),
+            numPartitions=str(partitions),
         )
     else:
         date = source.name("date")
@@ -99,7 +105,7 @@ def read_predictions(
                 numPartitions=str(partitions),
             )
     rows = without_repeats(split, schemas.PREDICTION_COLUMNS)
-    return rows.withColumn("date", F.to_date("date"))
+    return with_date(rows)
 
 
 def without_repeats(stored: DataFrame, columns: list[str]) -> DataFrame:

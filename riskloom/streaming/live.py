@@ -12,17 +12,25 @@ def live_distribution(
     stream: DataFrame,
     category: str = "risk_category",
     date: str = "date",
-    lateness: str = "1 day",
+    lateness: str | None = None,
 ) -> DataFrame:
-    """Rows per day and category. State for a day is released once the watermark passes it.
+    """Rows per day and category, for the update and complete modes.
+
+    Reports may come in any order of their days, so all days stay in the state by default; it
+    has a row per day and category. With a lateness, state for a day is released once the
+    watermark passes it, the append mode is possible, and later reports of that day are
+    dropped; Spark counts them in numRowsDroppedByWatermark of the query's progress.
 
     Days are instants at UTC midnight, so the result does not depend on the session's time
     zone. Counts are combined per task before the shuffle and in the state store.
     """
+    days = stream.where(F.col(category).isNotNull()).withColumn(
+        "event_day", day_instant(F.col(date))
+    )
+    if lateness is not None:
+        days = days.withWatermark("event_day", lateness)
     return (
-        stream.where(F.col(category).isNotNull())
-        .withColumn("event_day", day_instant(F.col(date)))
-        .withWatermark("event_day", lateness)
+        days.where(F.col("event_day").isNotNull())
         .groupBy(F.window("event_day", "1 day").alias("day_window"), category)
         .agg(F.count(F.lit(1)).alias("n"))
         .select(day_of_instant(F.col("day_window.start")).alias("day"), category, "n")

@@ -1,16 +1,32 @@
-"""Checkpointed writes whose effect a replay does not repeat."""
+"""Checkpointed writes whose effect a replay does not repeat.
+
+A micro-batch is known by its stream and its number. The stream's id is the one that its
+checkpoint holds, so a restart from the checkpoint is the same stream and a new checkpoint
+is another one, whose batches start at 0 again.
+"""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.sinks.jdbc import append_batch_jdbc
 from riskloom.sources.jdbc import JdbcTable
 
-BatchWriter = Callable[[DataFrame, int], None]
+# Gets a micro-batch, its number and the id of its stream; says whether it wrote anything.
+BatchWriter = Callable[[DataFrame, int, str], bool]
+
+OWNER = "_stream"
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a checkpoint gives to its stream."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
 
 
 def start_batches(
@@ -22,7 +38,14 @@ def start_batches(
     output_mode: str = "append",
 ) -> StreamingQuery:
     """Hand every micro-batch to write_batch; with available_now stop after what is there."""
-    writer = stream.writeStream.foreachBatch(write_batch).outputMode(output_mode)
+    known: list[str] = []
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        if not known:
+            known.append(stream_id(batch.sparkSession, checkpoint))
+        write_batch(batch, batch_id, known[0])
+
+    writer = stream.writeStream.foreachBatch(handle).outputMode(output_mode)
     return _start(writer.option("checkpointLocation", checkpoint), available_now, interval)
 
 
@@ -46,11 +69,41 @@ def _start(writer, available_now: bool, interval: str | None) -> StreamingQuery:
     return writer.start()
 
 
+def _owner(spark: SparkSession, path: str) -> str | None:
+    try:
+        return spark.read.text(f"{path}/{OWNER}").first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def claim(spark: SparkSession, path: str, stream: str) -> None:
+    """Bind a folder to one stream; raise if it belongs to another."""
+    owner = _owner(spark, path)
+    if owner is None:
+        mark = spark.createDataFrame([(stream,)], "value STRING").coalesce(1)
+        mark.write.mode("overwrite").text(f"{path}/{OWNER}")
+    elif owner != stream:
+        raise ValueError(
+            f"{path} holds the batches of stream {owner}; stream {stream} needs a folder of its own"
+        )
+
+
 def parquet_batches(path: str) -> BatchWriter:
-    """Each micro-batch becomes one folder, overwritten if the batch comes again."""
+    """Each micro-batch becomes one folder, overwritten if the batch comes again.
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    The folder belongs to the stream that wrote to it first; another one is refused, since
+    its batches have the same numbers.
+    """
+    claimed: set[str] = set()
+
+    def write(batch: DataFrame, batch_id: int, stream: str) -> bool:
+        if stream not in claimed:
+            claim(batch.sparkSession, path, stream)
+            claimed.add(stream)
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        return True
 
     return write
 
@@ -62,16 +115,22 @@ def read_batches(spark: SparkSession, path: str) -> DataFrame:
 def jdbc_batches(target: JdbcTable, **options: str) -> BatchWriter:
     """Each micro-batch is appended to a table once, however often it comes."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        append_batch_jdbc(batch, target, batch_id, **options)
+    def write(batch: DataFrame, batch_id: int, stream: str) -> bool:
+        return append_batch_jdbc(batch, target, batch_id, stream, **options)
 
     return write
 
 
 def latest_result(path: str) -> BatchWriter:
-    """Keep the whole current result of a query in complete mode."""
+    """Keep the whole result of a query in complete mode, a new folder for each micro-batch.
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    read_latest takes the last complete one, so a reader never meets a result being replaced.
+    """
+    return parquet_batches(path)
 
-    return write
+
+def read_latest(spark: SparkSession, path: str) -> DataFrame:
+    """The result of the last micro-batch that was written whole."""
+    batches = spark.read.parquet(path)
+    last = batches.agg(F.max("batch_id")).first()[0]
+    return batches.where(F.col("batch_id") == F.lit(last)).drop("batch_id")

@@ -5,22 +5,26 @@ import json
 import os
 
 import pytest
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from riskloom.operators import learning
 from riskloom.plans.jobs import open_jdbc_dashboard, score_stream, train_on
-from riskloom.sinks.jdbc import _tagged, append_batch_jdbc, write_jdbc
-from riskloom.sources.jdbc import JdbcTable, read_predictions
+from riskloom.sinks.jdbc import STARTED, _note, _tagged, append_batch_jdbc, write_jdbc
+from riskloom.sources.jdbc import SPREAD_VALUES, JdbcTable, read_predictions
 from riskloom.sources.sample_tables import case_scorer
 from riskloom.streaming.live import live_distribution
 from riskloom.streaming.scoring import decode_reports, score_reports
 from riskloom.streaming.sinks import (
+    claim,
     jdbc_batches,
     latest_result,
     parquet_batches,
     read_batches,
+    read_latest,
     start_batches,
     start_files,
+    stream_id,
 )
 from riskloom.streaming.sources import file_messages
 
@@ -110,9 +114,9 @@ def test_a_backlog_is_cut_into_batches_by_size(spark, inbox):
 def test_replayed_folder_batch_is_overwritten(spark, inbox):
     batch = scored(spark.read.text(f"{inbox}/in"))
     write = parquet_batches(f"{inbox}/out")
-    write(batch.limit(3), 0)
-    write(batch, 0)
-    write(batch.limit(10), 1)
+    write(batch.limit(3), 0, "s")
+    write(batch, 0, "s")
+    write(batch.limit(10), 1, "s")
     assert read_batches(spark, f"{inbox}/out").count() == 510
 
 
@@ -125,18 +129,50 @@ def test_stream_into_a_table_and_redelivery(spark, inbox):
     back = read_predictions(spark, target, partitions=4)
     assert rows(back) == expected
     assert dict(back.dtypes)["date"] == "date"
+    own = stream_id(spark, f"{inbox}/checkpoint")
     for name, number in (("a.json", 0), ("b.json", 1)):
-        write(scored(spark.read.text(f"{inbox}/in/{name}")), number)
+        assert not write(scored(spark.read.text(f"{inbox}/in/{name}")), number, own)
     assert read_predictions(spark, target).count() == 500
 
 
+def test_equal_rows_of_two_streams_are_both_kept(spark, inbox):
+    target = table("predictions_two")
+    expected = rows(scored(spark.read.text(f"{inbox}/in")))
+    for checkpoint in ("one", "two", "two"):
+        stream = scored(file_messages(spark, f"{inbox}/in"))
+        start_batches(
+            stream, jdbc_batches(target, **TEXT), f"{inbox}/{checkpoint}", available_now=True
+        ).awaitTermination()
+    assert rows(read_predictions(spark, target)) == sorted(expected * 2)
+
+
+def test_a_fresh_checkpoint_on_a_used_folder_is_refused(spark, inbox):
+    def run(checkpoint):
+        stream = scored(file_messages(spark, f"{inbox}/in", max_files_per_trigger=1))
+        start_batches(
+            stream, parquet_batches(f"{inbox}/out"), f"{inbox}/{checkpoint}", available_now=True
+        ).awaitTermination()
+
+    run("first")
+    before = rows(read_batches(spark, f"{inbox}/out"))
+    with pytest.raises(StreamingQueryException, match="folder of its own"):
+        run("second")
+    assert rows(read_batches(spark, f"{inbox}/out")) == before
+    run("first")
+    with pytest.raises(ValueError, match="folder of its own"):
+        claim(spark, f"{inbox}/out", "another")
+
+
 def test_batch_cut_off_half_way_is_completed_with_its_copies(spark, inbox):
     batch = scored(spark.read.text(f"{inbox}/in"))
     batch = batch.union(batch.limit(20)).union(batch.limit(20))
     target = table("predictions_cut")
-    append_batch_jdbc(batch.limit(100), target, 7, **TEXT)
-    append_batch_jdbc(batch, target, 7, **TEXT)
-    append_batch_jdbc(batch, target, 8, **TEXT)
+    append_batch_jdbc(batch.limit(0), target, 6, "s", **TEXT)
+    _note(spark, target.beside("batches"), 7, "s", STARTED)
+    write_jdbc(_tagged(batch.limit(100), 7, "s"), target)
+    assert append_batch_jdbc(batch, target, 7, "s", **TEXT)
+    assert not append_batch_jdbc(batch, target, 7, "s", **TEXT)
+    assert append_batch_jdbc(batch, target, 8, "s", **TEXT)
     assert rows(read_predictions(spark, target)) == sorted(rows(batch) * 2)
 
 
@@ -144,28 +180,28 @@ def test_rows_of_a_task_that_ran_twice_are_read_once(spark, inbox):
     batch = scored(spark.read.text(f"{inbox}/in"))
     batch = batch.union(batch.limit(20))
     target = table("predictions_repeat")
-    append_batch_jdbc(batch, target, 0, **TEXT)
+    append_batch_jdbc(batch, target, 0, "s", **TEXT)
     written = target.scan(spark)
-    again = written.where("spread < 32").withColumn("spread", F.lit(5)).collect()
+    again = written.where(f"spread < {SPREAD_VALUES // 2}").withColumn("spread", F.lit(5)).collect()
     assert 0 < len(again) < 520
     write_jdbc(spark.createDataFrame(again, written.schema), target)
     assert target.scan(spark).count() == 520 + len(again)
     assert rows(read_predictions(spark, target)) == rows(batch)
-    append_batch_jdbc(batch, target, 0, **TEXT)
+    append_batch_jdbc(batch, target, 0, "s", **TEXT)
     assert target.scan(spark).count() == 520 + len(again)
 
 
 def test_rows_are_numbered_alike_whatever_their_order(spark):
     df = spark.range(1000).select((F.col("id") % 50).alias("a"), (F.col("id") % 7).alias("b"))
     numbered = lambda d: d.select("a", "b", "row_id").collect()
-    first = numbered(_tagged(df.coalesce(1), 0))
-    other = numbered(_tagged(df.coalesce(1).sortWithinPartitions(F.desc("b")), 0))
+    first = numbered(_tagged(df.coalesce(1), 0, "s"))
+    other = numbered(_tagged(df.coalesce(1).sortWithinPartitions(F.desc("b")), 0, "s"))
     assert first == other
 
 
 def test_filters_pass_the_removal_of_repeats(spark, inbox, plan_of):
     target = table("predictions_push")
-    append_batch_jdbc(scored(spark.read.text(f"{inbox}/in")), target, 0, **TEXT)
+    append_batch_jdbc(scored(spark.read.text(f"{inbox}/in")), target, 0, "s", **TEXT)
     kept = read_predictions(spark, target).where("risk_category >= 3")
     assert "GreaterThanOrEqual(risk_category,3)" in plan_of(kept)
 
@@ -195,10 +231,10 @@ def test_filters_reach_the_table(spark, inbox, plan_of):
 def test_dashboard_on_a_table(spark, inbox):
     target = table("predictions_board")
     batch = scored(spark.read.text(f"{inbox}/in"))
-    append_batch_jdbc(batch, target, 0, **TEXT)
+    append_batch_jdbc(batch, target, 0, "s", **TEXT)
     board = open_jdbc_dashboard(spark, target)
     assert board.details_count().first().n == 500
-    append_batch_jdbc(batch, target, 1, **TEXT)
+    append_batch_jdbc(batch, target, 1, "s", **TEXT)
     board = board.refresh()
     assert board.details_count().first().n == 1000
     board.close()
@@ -223,18 +259,29 @@ def test_table_named_by_the_session(spark):
         spark.conf.unset("spark.riskloom.jdbc.password")
 
 
-def test_stream_scored_by_a_trained_model(spark, inbox):
+@pytest.mark.parametrize("kind,params", [("forest", {}), ("logistic", {}), ("svm", {"maxIter": 3})])
+def test_stream_scored_by_a_saved_model(spark, inbox, kind, params):
     reports = decode_reports(spark.read.text(f"{inbox}/in"))
-    model = train_on(reports).model
+    trained = train_on(reports, kind, **params).model
+    learning.save(trained, f"{inbox}/model")
+    seen = {}
     score_stream(
-        file_messages(spark, f"{inbox}/in"),
-        model,
+        file_messages(spark, f"{inbox}/in", max_files_per_trigger=1),
+        learning.load(spark, f"{inbox}/model"),
         parquet_batches(f"{inbox}/out"),
         f"{inbox}/checkpoint",
         available_now=True,
+        rejected=parquet_batches(f"{inbox}/rejected"),
+        on_counts=lambda batch_id, counts: seen.update({batch_id: counts}),
     ).awaitTermination()
-    batch = score_reports(reports, lambda df: learning.predict(model, df))
+    batch = score_reports(reports, lambda df: learning.predict(trained, df))
     assert rows(read_batches(spark, f"{inbox}/out")) == rows(batch)
+    assert len(seen) == 2 and sum(c["messages"] for c in seen.values()) == 505
+    assert sum(c["good"] for c in seen.values()) == 500
+    kept = [r.fault for r in read_batches(spark, f"{inbox}/rejected").collect()]
+    assert sorted(kept) == sorted(
+        ["undecodable", "bad_date", "missing_count", "missing_count", "undecodable"]
+    )
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles", "Asia/Kolkata"])
@@ -254,12 +301,51 @@ def test_live_counts_follow_the_calendar_day_in_any_zone(spark, folder, zone):
             available_now=True,
             output_mode="complete",
         ).awaitTermination()
-        got = {(r.day, r.kind): r.n for r in spark.read.parquet(f"{folder}/out").collect()}
+        got = {(r.day, r.kind): r.n for r in read_latest(spark, f"{folder}/out").collect()}
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == {(dt.date(2023, 3, d), k): 2 for d in (11, 12, 13) for k in ("c0", "c1")}
 
 
+def test_days_in_any_order_are_counted_in_update_mode(spark, folder):
+    schema = "date DATE, risk_category INT"
+    counts = {}
+
+    def keep(batch, batch_id, stream):
+        counts.update({(r.day.day, r.risk_category): r.n for r in batch.collect()})
+        return True
+
+    for name, days in (("a", [20, 20]), ("b", [1, 2, 3]), ("c", [4, 5, 1]), ("d", [31, 20])):
+        data = [(dt.date(2023, 1, d), 3) for d in days] + [(None, 3), (dt.date(2023, 1, 9), None)]
+        spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{folder}/in/{name}")
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(
+            f"{folder}/in"
+        )
+        start_batches(
+            live_distribution(stream), keep, f"{folder}/checkpoint", available_now=True,
+            output_mode="update",
+        ).awaitTermination()
+    assert counts == {(20, 3): 3, (1, 3): 2, (2, 3): 1, (3, 3): 1, (4, 3): 1, (5, 3): 1, (31, 3): 1}
+    with pytest.raises(AnalysisException):
+        start_files(live_distribution(stream), f"{folder}/out", f"{folder}/append")
+
+
+def test_offsets_and_limits_reach_the_source(monkeypatch):
+    from riskloom.__main__ import _messages, arguments
+
+    handed = {}
+    monkeypatch.setattr("riskloom.__main__.kafka_messages", lambda *a, **k: handed.update(k))
+    monkeypatch.setattr("riskloom.__main__.file_messages", lambda *a: handed.update(files=a[2:]))
+    score = ["score", "m", "--checkpoint", "c"]
+    _messages(None, arguments().parse_args([*score, "--servers", "h:1", "--min-partitions", "7"]))
+    assert handed["max_offsets_per_trigger"] > 0 and handed["min_partitions"] == 7
+    assert handed["fail_on_data_loss"] is True
+    _messages(None, arguments().parse_args([*score, "--folder", "f"]))
+    assert handed["files"][0] is None and handed["files"][1] > 0
+    _messages(None, arguments().parse_args([*score, "--folder", "f", "--max-files", "3"]))
+    assert handed["files"] == (3, None)
+
+
 def test_late_rows_are_counted_until_the_watermark_passes(spark, folder):
     schema = "date DATE, risk_category INT"
 
