@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.constants import CLOCK_FORMAT, ISO_DATE_FORMAT, RAW_DATE_FORMAT
 
@@ -20,6 +21,15 @@ def parse_iso_date(text: Column) -> Column:
     return F.try_to_date(text, ISO_DATE_FORMAT)
 
 
+def with_date(df: DataFrame, column: str = "date") -> DataFrame:
+    """The column as a date: text that is no ISO date becomes null, a time loses its clock."""
+    if column not in df.columns or isinstance(df.schema[column].dataType, T.DateType):
+        return df
+    if isinstance(df.schema[column].dataType, T.StringType):
+        return df.withColumn(column, parse_iso_date(F.col(column)))
+    return df.withColumn(column, F.col(column).cast("date"))
+
+
 def iso_text(date: Column) -> Column:
     return F.date_format(date, ISO_DATE_FORMAT)
 

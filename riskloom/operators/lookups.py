@@ -7,35 +7,15 @@ from pyspark.sql import functions as F
 
 from riskloom.constants import US_STATE_CODES
 
-BROADCAST_LIMIT_BYTES = 32 * 1024 * 1024
-ROW_OVERHEAD_BYTES = 32
 
+def lookup_join(df: DataFrame, dim: DataFrame, on: str | list[str]) -> DataFrame:
+    """Left join to a dimension.
 
-def dimension_bytes(dim: DataFrame) -> int:
-    """Size of a dimension as text plus a fixed overhead per row, measured in one aggregate."""
-    width = sum(
-        (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in dim.columns),
-        F.lit(ROW_OVERHEAD_BYTES),
-    )
-    return dim.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()[0]
-
-
-def lookup_join(
-    df: DataFrame,
-    dim: DataFrame,
-    on: str | list[str],
-    limit_bytes: int = BROADCAST_LIMIT_BYTES,
-    within: DataFrame | None = None,
-) -> DataFrame:
-    """Left join to a dimension: broadcast if its measured size is below the limit.
-
-    A larger dimension is joined by shuffle; adaptive execution then splits the
-    partitions of hot keys between tasks. Where the dimension is reduced from a table that is
-    cheaper to measure, that table (within) bounds its size.
+    No hint: Catalyst broadcasts a side whose size is below the session's threshold, and
+    adaptive execution measures what it does not know. A larger dimension is joined by
+    shuffle, with the partitions of hot keys split between tasks.
     """
-    size = dimension_bytes(dim if within is None else within)
-    side = F.broadcast(dim) if size <= limit_bytes else dim
-    return df.join(side, on, "left")
+    return df.join(dim, on, "left")
 
 
 def us_state_codes(spark: SparkSession) -> DataFrame:
@@ -45,8 +25,20 @@ def us_state_codes(spark: SparkSession) -> DataFrame:
     )
 
 
+def conflicting_codes(codes: DataFrame) -> DataFrame:
+    """States that a dimension gives several codes, and those codes; none if it is sound."""
+    known = codes.where("state IS NOT NULL AND state_code IS NOT NULL")
+    per_state = known.groupBy("state").agg(
+        F.min("state_code").alias("used"), F.max("state_code").alias("other")
+    )
+    return per_state.where("used <> other").orderBy("state")
+
+
 def one_code_per_state(codes: DataFrame) -> DataFrame:
-    """A dimension whose key is unique, so a lookup cannot multiply rows."""
+    """A dimension whose key is unique, so a lookup cannot multiply rows.
+
+    Of several codes the smallest is used; conflicting_codes lists such states.
+    """
     return codes.where(F.col("state").isNotNull()).groupBy("state").agg(
         F.min("state_code").alias("state_code")
     )
@@ -58,4 +50,4 @@ def with_state_code(df: DataFrame, codes: DataFrame | None = None) -> DataFrame:
     if codes is None:
         return bare.join(F.broadcast(us_state_codes(df.sparkSession)), "state", "left")
     pairs = codes.select("state", "state_code")
-    return lookup_join(bare, one_code_per_state(pairs), "state", within=pairs)
+    return lookup_join(bare, one_code_per_state(pairs), "state")

@@ -51,6 +51,30 @@ def quantiles(
     return df.agg(F.array(*[measures(n) for n in names]).alias("m")).select(F.inline("m"))
 
 
+def quantile_ranks(
+    df: DataFrame, columns: list[str] | None = None, accuracy: int = 10_000
+) -> DataFrame:
+    """One row per column and quartile: whether its rank is within the error of quantiles().
+
+    Two passes: the few quartiles are constants of the second.
+    """
+    found = quantiles(df, columns, accuracy).collect()
+
+    def measure(name: str, point: str, value: float | None):
+        column, n = F.col(name), F.count(name)
+        share, slack = QUANTILES[point], n / accuracy + 1
+        below, to = F.count_if(column < value), F.count_if(column <= value)
+        inside = (below <= share * n + slack) & (to >= share * n - slack)
+        return F.struct(
+            F.lit(name).alias("column_name"),
+            F.lit(point).alias("quantile"),
+            (F.lit(True) if value is None else inside).alias("within"),
+        )
+
+    rows = [measure(r["column_name"], q, r[q]) for r in found for q in QUANTILES]
+    return df.agg(F.array(*rows).alias("m")).select(F.inline("m"))
+
+
 def correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """One row per pair of columns: Pearson correlation over rows that have both."""
 

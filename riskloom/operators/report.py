@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.constants import HIGH_RISK_CODE, NO_FILTER
-from riskloom.functions.dates import clock_text
+from riskloom.functions.dates import clock_text, with_date
 from riskloom.functions.risk import category_label, code_of_label
 from riskloom.operators.cleaning import drop_incomplete
 from riskloom.operators.lookups import one_code_per_state, with_state_code
@@ -29,8 +29,7 @@ def enrich_predictions(
 ) -> DataFrame:
     """Add load time, category labels and state code."""
     stamp = clock_text() if loaded_at is None else F.lit(loaded_at)
-    dated = df.withColumn("date", F.to_date("date")) if "date" in df.columns else df
-    labelled = with_labels(dated.withColumn("timestamp", stamp))
+    labelled = with_labels(with_date(df).withColumn("timestamp", stamp))
     return with_state_code(labelled, codes) if "state" in df.columns else labelled
 
 
@@ -98,10 +97,28 @@ def confusion_matrix(df: DataFrame) -> DataFrame:
     )
 
 
+def available(df: DataFrame) -> set[str]:
+    """The questions that the columns of a table allow, by the name of their function."""
+    has = set(df.columns)
+    category = bool(has & {"risk_category", "risk_category_text"})
+    needs = {
+        "category_distribution": category,
+        "actual_vs_predicted": {"risk_category", "predicted_risk_category"} <= has,
+        "risk_over_time": category and "date" in has,
+        "mean_risk_by_state": {"state", "risk_category"} <= has,
+        "top_high_risk_states": {"state", "risk_category"} <= has,
+        "filter_options": {"state", "risk_category", "date"} <= has,
+        "details": {"state", "county", "date"} <= has,
+    }
+    return {name for name, enough in needs.items() if enough}
+
+
 def risk_over_time(df: DataFrame) -> DataFrame:
-    """Predictions per day and category label; days without any are not filled in."""
-    by_day = df.withColumn("date", F.to_date("date"))
-    return _labelled(by_day, "date").orderBy("date", "risk_category_text")
+    """Predictions per day and category label; days without any are not filled in.
+
+    A date that is text and no ISO date counts as missing, and its row is left out.
+    """
+    return _labelled(with_date(df), "date").orderBy("date", "risk_category_text")
 
 
 def mean_risk_by_state(
@@ -111,11 +128,12 @@ def mean_risk_by_state(
 
     With codes, states without a code are left out and the result is sorted by state;
     without, the highest mean comes first. A code table is joined to the few state
-    rows after the aggregate, never to the predictions.
+    rows after the aggregate, never to the predictions. If there are no codes at all, the
+    form without codes is given.
     """
     known = df.where(F.col("state").isNotNull())
     level = _mean(df, "risk_category").alias("risk_level")
-    if not with_codes:
+    if not with_codes or (codes is None and "state_code" not in df.columns):
         return known.groupBy("state").agg(level).orderBy(F.desc_nulls_last("risk_level"), "state")
     if codes is not None:
         means = known.drop("state_code").groupBy("state").agg(level)
@@ -146,6 +164,19 @@ def high_risk_by_state(df: DataFrame, distinct: bool = False) -> DataFrame:
     return risky.agg(_rows(df).alias("high_risk_rows"))
 
 
+def state_overview(df: DataFrame) -> DataFrame:
+    """Mean category and number of high-risk predictions (null for none) per state."""
+    high = _rows(df, F.col("risk_category") >= HIGH_RISK_CODE)
+    return (
+        df.where(F.col("state").isNotNull())
+        .groupBy("state")
+        .agg(
+            _mean(df, "risk_category").alias("risk_level"),
+            F.nullif(high, F.lit(0)).alias("high_risk_rows"),
+        )
+    )
+
+
 def top_high_risk_states(df: DataFrame, k: int = 10, distinct: bool = False) -> DataFrame:
     """The k states with most high-risk predictions, or with most high-risk counties."""
     counts = high_risk_by_state(df, distinct)
@@ -234,14 +265,15 @@ def filter_predictions(
 
     The category may be a label or a code. A label is turned into its code when the plan is
     built, so that the scan filters an integer. The date range is inclusive and applies
-    only if both ends are given.
+    only if both ends are given and the table has dates.
     """
     kept = df
     if state not in (None, NO_FILTER):
         kept = kept.where(F.col("state") == state)
     if risk not in (None, NO_FILTER):
         kept = kept.where(_risk_is(df, risk))
-    if start is not None and end is not None:
+    if start is not None and end is not None and "date" in df.columns:
+        kept = with_date(kept)
         low, high = (F.lit(str(day)).cast("date") for day in (start, end))
         kept = kept.where(F.col("date").between(low, high))
     return kept

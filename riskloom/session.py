@@ -20,6 +20,12 @@ SETTINGS = {
 }
 
 
+# Adaptive execution merges small shuffle partitions but splits no large ones of a sort, so a
+# session that names no number of its own starts with many.
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+
+
 def build_session(
     app: str = "riskloom", master: str | None = None, **settings: str
 ) -> SparkSession:
@@ -28,7 +34,13 @@ def build_session(
         builder = builder.master(master)
     for key, value in {**SETTINGS, **settings}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    named = {SHUFFLE_PARTITIONS, INITIAL_PARTITIONS} & (
+        set(settings) | {key for key, _ in session.sparkContext.getConf().getAll()}
+    )
+    if not named and not is_local(session):
+        session.conf.set(INITIAL_PARTITIONS, "4000")
+    return session
 
 
 def is_local(spark: SparkSession) -> bool:

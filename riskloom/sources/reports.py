@@ -10,20 +10,31 @@ from pyspark.sql import functions as F
 from riskloom import schemas
 
 
+UNREADABLE = "_unreadable"
+
+
 def read_reports_csv(
-    spark: SparkSession, path: str | list[str], check_header: bool = True
+    spark: SparkSession,
+    path: str | list[str],
+    check_header: bool = True,
+    keep_unreadable: bool = False,
 ) -> DataFrame:
     """Raw reports with their declared schema; a count that is no integer becomes null.
 
     Columns bind by position. With check_header a file whose header names other columns, or
-    the same ones in another order, fails instead of swapping values.
+    the same ones in another order, fails instead of swapping values. With keep_unreadable a
+    line that does not fit the schema is also kept as text, so that such lines can be counted.
     """
+    schema = schemas.RAW_REPORT
+    if keep_unreadable:
+        schema = f"{schema}, {UNREADABLE} STRING"
     return spark.read.csv(
         path,
-        schema=schemas.RAW_REPORT,
+        schema=schema,
         header=True,
         enforceSchema=not check_header,
         mode="PERMISSIVE",
+        columnNameOfCorruptRecord=UNREADABLE,
     )
 
 

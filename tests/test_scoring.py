@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from riskloom.constants import RISK_LABELS, US_STATE_CODES
 from riskloom.functions.risk import category_label, code_of_label, risk_category
-from riskloom.operators.lookups import dimension_bytes, lookup_join, with_state_code
+from riskloom.operators.lookups import conflicting_codes, lookup_join, with_state_code
 from riskloom.operators.scoring import bucketizer, with_labels, with_risk_category, with_risk_score
 
 EDGES = [
@@ -66,32 +66,32 @@ def test_repeated_state_in_the_codes_does_not_multiply_rows(spark):
     assert got == [("A", "a0"), ("A", "a0")]
 
 
-def test_lookup_above_the_limit_is_a_shuffle_join_with_the_same_rows(spark):
+def test_lookup_gives_the_same_rows_broadcast_or_shuffled(spark):
     df = spark.range(1000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("state")
     )
     dim = spark.range(0, 500).select(
         F.col("id").cast("string").alias("state"), F.concat(F.lit("c"), "id").alias("state_code")
     ).union(spark.createDataFrame([("hot", "h")], "state STRING, state_code STRING"))
+    key = lambda r: (r.state, r.state_code or "")
     threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    found = []
     try:
-        small = lookup_join(df, dim, "state")
-        large = lookup_join(df, dim, "state", limit_bytes=10)
-        plans = [j._jdf.queryExecution().executedPlan().toString() for j in (small, large)]
-        assert "BroadcastHashJoin" in plans[0]
-        assert "BroadcastHashJoin" not in plans[1]
-        key = lambda r: (r.state, r.state_code or "")
-        assert sorted(small.collect(), key=key) == sorted(large.collect(), key=key)
-        assert small.where("state = 'hot' and state_code = 'h'").count() == 334
+        for limit in (threshold, "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            found.append(sorted(lookup_join(df, dim, "state").collect(), key=key))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert found[0] == found[1]
+    assert sum(r.state == "hot" and r.state_code == "h" for r in found[0]) == 334
 
 
-def test_dimension_bytes(spark):
-    dim = spark.createDataFrame([("ab", "c"), (None, "d")], "state STRING, state_code STRING")
-    assert dimension_bytes(dim) == 2 * 32 + 4
-    assert dimension_bytes(dim.limit(0)) == 0
+def test_conflicting_codes_are_listed(spark):
+    codes = spark.createDataFrame(
+        [("A", "a1"), ("A", "a0"), ("B", "b"), ("B", "b"), (None, "x"), ("C", None)],
+        "state STRING, state_code STRING",
+    )
+    assert [tuple(r) for r in conflicting_codes(codes).collect()] == [("A", "a0", "a1")]
 
 
 def test_hot_key_of_a_shuffle_join_is_split_between_tasks(spark):
@@ -110,7 +110,7 @@ def test_hot_key_of_a_shuffle_join_is_split_between_tasks(spark):
             F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 997).alias("k"), "id"
         )
         dim = spark.range(997).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-        joined = lookup_join(facts, dim, "k", limit_bytes=0)
+        joined = lookup_join(facts, dim, "k")
         sums = joined.agg(F.count(F.lit(1)), F.sum("v"))
         expected = facts.agg(F.count(F.lit(1)), F.sum(F.col("k") * 2)).first()
         assert sums.first() == expected
@@ -121,8 +121,7 @@ def test_hot_key_of_a_shuffle_join_is_split_between_tasks(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-@pytest.mark.parametrize("limit", [0, 10**9])
-def test_lookup_in_an_empty_dimension(spark, limit):
+def test_lookup_in_an_empty_dimension(spark):
     df = spark.createDataFrame([("A",)], "state STRING")
     dim = spark.createDataFrame([], "state STRING, state_code STRING")
-    assert lookup_join(df, dim, "state", limit).collect()[0].state_code is None
+    assert lookup_join(df, dim, "state").collect()[0].state_code is None

@@ -159,12 +159,17 @@ def test_touched_only_keeps_other_days(spark, folder):
         ("/data/p", "/data/p/in.csv"),
         ("/data", "/data/p/in.csv"),
         ("/data/p/out", "/data/p"),
-        ("hdfs://host:9000/data", "/data/in.csv"),
         ("hdfs://host:9000/data/p", "hdfs://host:9000/data/p/*.csv"),
+        ("hdfs://a:9000/data", "hdfs://b:8020/data"),
+        ("file:/data/p", "/data/p/in.csv"),
+        ("file:///data", "/data/p/in.csv"),
         ("/data/x/../p", "/data/p/in.csv"),
+        ("data/raw", f"{os.getcwd()}/data/raw/x.csv"),
+        (f"{os.getcwd()}/data", "data/raw/*.csv"),
+        (".", "raw.csv"),
     ],
 )
-def test_overlapping_paths_are_refused(output, source):
+def test_overlapping_paths_are_refused(spark, output, source):
     with pytest.raises(ValueError, match="overlaps"):
         check_output(output, [source])
 
@@ -174,11 +179,13 @@ def test_overlapping_paths_are_refused(output, source):
     [
         ("/data/curated", "/data/raw/in.csv"),
         ("/data/p2", "/data/p"),
-        ("hdfs://a:9000/data", "hdfs://b:9000/data"),
+        ("hdfs://a:9000/data", "/data/in.csv"),
         ("/data/p/out", "/data/p/in.csv"),
+        ("data/out", "data/raw/*.csv"),
+        ("/data/out", "data/out"),
     ],
 )
-def test_separate_paths_are_allowed(output, source):
+def test_separate_paths_are_allowed(spark, output, source):
     check_output(output, [source])
 
 
