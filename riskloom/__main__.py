@@ -18,6 +18,13 @@ from riskloom.sources.reports import read_reports
 from riskloom.streaming.sinks import jdbc_batches, parquet_batches, read_batches
 from riskloom.streaming.sources import file_messages, kafka_messages
 
+# What one micro-batch may hold, and how many tasks may write to the database at once.
+MAX_OFFSETS = 1_000_000
+MAX_BYTES = 1 << 30
+CONNECTIONS = 8
+
+LONGEST_TABLE = 1000
+
 JDBC_HINT = "the table named by the spark.riskloom.jdbc.* settings"
 
 
@@ -30,6 +37,8 @@ def arguments() -> argparse.ArgumentParser:
     ingest.add_argument("output")
     ingest.add_argument("--keys", nargs="+", default=PARTITION_COLUMNS, choices=PARTITION_COLUMNS)
     ingest.add_argument("--touched-only", action="store_true")
+    ingest.add_argument("--quarantine", help="folder for unusable reports and their reasons")
+    ingest.add_argument("--latest", action="store_true", help="one report per county and day")
 
     train = commands.add_parser("train", help="fit, evaluate and save a model")
     train.add_argument("reports")
@@ -53,6 +62,14 @@ def arguments() -> argparse.ArgumentParser:
     score.add_argument("--output", help=f"folder of the predictions; default: {JDBC_HINT}")
     score.add_argument("--checkpoint", required=True)
     score.add_argument("--available-now", action="store_true", help="stop after what is there")
+    score.add_argument("--interval", help="time between micro-batches, such as '1 minute'")
+    score.add_argument("--rejected", help="folder for messages that give no prediction")
+    score.add_argument("--max-offsets", type=int, default=MAX_OFFSETS, help="per micro-batch")
+    score.add_argument("--max-bytes", type=int, default=MAX_BYTES, help="per micro-batch, files")
+    score.add_argument("--max-files", type=int, help="per micro-batch, instead of bytes")
+    score.add_argument("--min-partitions", type=int, help="tasks that share the topic")
+    score.add_argument("--allow-data-loss", action="store_true", help="go on if offsets are gone")
+    score.add_argument("--connections", type=int, default=CONNECTIONS, help="to the database")
 
     view = commands.add_parser("report", help="show the dashboard's answers, export the details")
     view.add_argument("--predictions", help=f"folder of the predictions; default: {JDBC_HINT}")
@@ -60,7 +77,7 @@ def arguments() -> argparse.ArgumentParser:
     view.add_argument("--risk")
     view.add_argument("--start")
     view.add_argument("--end")
-    view.add_argument("--export", help="folder for the filtered details as CSV")
+    view.add_argument("--export", help="folder for the details and the daily series as CSV")
     return parser
 
 
@@ -73,8 +90,17 @@ def _jdbc(spark: SparkSession) -> JdbcTable:
 
 def _messages(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.folder:
-        return file_messages(spark, args.folder)
-    return kafka_messages(spark, args.servers, args.topic, args.starting_offsets)
+        by_bytes = None if args.max_files else args.max_bytes
+        return file_messages(spark, args.folder, args.max_files, by_bytes)
+    return kafka_messages(
+        spark,
+        args.servers,
+        args.topic,
+        args.starting_offsets,
+        fail_on_data_loss=not args.allow_data_loss,
+        min_partitions=args.min_partitions,
+        max_offsets_per_trigger=args.max_offsets,
+    )
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -83,11 +109,16 @@ def main(argv: Sequence[str] | None = None) -> None:
         raise SystemExit("name --servers or --folder")
     spark = build_session(f"riskloom-{args.command}")
     if args.command == "ingest":
-        print(
-            jobs.ingest(
-                spark, args.input, args.output, keys=args.keys, touched_only=args.touched_only
-            )
+        done = jobs.ingest(
+            spark,
+            args.input,
+            args.output,
+            keys=args.keys,
+            touched_only=args.touched_only,
+            quarantine_path=args.quarantine,
+            latest=args.latest,
         )
+        print(done)
     elif args.command == "train":
         jobs.train(spark, args.reports, args.model, args.year, args.kind).quality().show()
     elif args.command == "publish":
@@ -97,13 +128,19 @@ def main(argv: Sequence[str] | None = None) -> None:
         else:
             publish_reports(rows, args.servers, args.topic)
     elif args.command == "score":
-        write = parquet_batches(args.output) if args.output else jdbc_batches(_jdbc(spark))
+        if args.output:
+            write = parquet_batches(args.output)
+        else:
+            write = jdbc_batches(_jdbc(spark), numPartitions=str(args.connections))
         jobs.score_stream(
             _messages(spark, args),
             learning.load(spark, args.model),
             write,
             args.checkpoint,
             args.available_now,
+            args.interval,
+            parquet_batches(args.rejected) if args.rejected else None,
+            lambda batch_id, counts: print(f"batch {batch_id}: {counts}"),
         ).awaitTermination()
     else:
         if args.predictions:
@@ -113,20 +150,38 @@ def main(argv: Sequence[str] | None = None) -> None:
         show_report(board, args)
 
 
+def _print(title: str, rows: DataFrame) -> None:
+    """A table whole and untruncated, if it is not longer than a reader would read."""
+    print(title)
+    count = rows.count()
+    rows.show(min(count, LONGEST_TABLE), truncate=False)
+    if count > LONGEST_TABLE:
+        print(f"the first {LONGEST_TABLE} of {count} rows; --export writes all of them")
+
+
 def show_report(board: jobs.Dashboard, args: argparse.Namespace) -> None:
+    """Every answer that the columns at hand allow."""
     if board.is_empty():
         print("no predictions")
         return
-    board.category_distribution().show()
-    board.actual_vs_predicted().show(25)
-    board.risk_over_time().show()
-    board.mean_risk_by_state().show()
-    board.top_high_risk_states().show()
-    board.filter_options().show()
-    details = board.details(state=args.state, risk=args.risk, start=args.start, end=args.end)
-    details.show()
-    if args.export:
-        export_csv(details, args.export)
+    can = board.available()
+    for question in (
+        "category_distribution",
+        "actual_vs_predicted",
+        "risk_over_time",
+        "mean_risk_by_state",
+        "top_high_risk_states",
+        "filter_options",
+    ):
+        if question in can:
+            _print(question.replace("_", " "), getattr(board, question)())
+    if "details" in can:
+        details = board.details(state=args.state, risk=args.risk, start=args.start, end=args.end)
+        _print("details", details)
+        if args.export:
+            export_csv(details, f"{args.export}/details")
+    if args.export and "risk_over_time" in can:
+        export_csv(board.risk_over_time(), f"{args.export}/risk_over_time")
     board.close()
 
 

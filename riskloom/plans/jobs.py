@@ -2,37 +2,44 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.constants import PARTITION_COLUMNS
 from riskloom.functions.dates import parse_raw_date, partition_parts
 from riskloom.operators import learning, report
-from riskloom.operators.cleaning import measure_fill
+from riskloom.operators.cleaning import latest_reports, measure_fill, quarantine
 from riskloom.session import materialize
 from riskloom.sinks.files import write_partitioned
 from riskloom.sinks.paths import check_output
 from riskloom.sources.jdbc import JdbcTable, read_predictions
-from riskloom.sources.reports import read_reports, read_reports_csv
-from riskloom.streaming.scoring import decode_reports, score_reports
+from riskloom.sources.reports import UNREADABLE, read_reports, read_reports_csv
+from riskloom.streaming.scoring import fault_counts, judged_messages, score_reports
 from riskloom.streaming.sinks import BatchWriter, start_batches
 
+LOG = logging.getLogger("riskloom")
 
 Source = DataFrame | Callable[[], DataFrame]
 
 
 @dataclass(frozen=True)
 class IngestReport:
+    """Rows read and written, and what was found on the way."""
+
     rows: int
+    written_rows: int
     columns: int
     dropped_columns: list[str]
     unparsed_dates: int
+    unreadable_lines: int = 0
+    quarantined_rows: int = 0
 
 
 def ingest(
@@ -42,23 +49,59 @@ def ingest(
     min_fill: float = 0.5,
     keys: Sequence[str] = tuple(PARTITION_COLUMNS),
     touched_only: bool = False,
+    quarantine_path: str | None = None,
+    latest: bool = False,
 ) -> IngestReport:
     """Raw CSV to partitioned Parquet in two jobs.
 
     The first reads the files once for everything the report and the choice of columns need.
-    The second writes. Dates that cannot be read are kept as null and counted. Fewer keys,
-    such as year and month, give fewer and larger files; the other parts stay columns.
+    The second writes, and counts what it writes. Dates that cannot be read are kept as null
+    and counted, and so are lines that do not fit the schema. Fewer keys, such as year and
+    month, give fewer and larger files; the other parts stay columns.
+
+    With a quarantine_path unusable reports go there, with the reason, instead. With latest
+    one report per state, county and date is kept, which needs the unusable ones gone.
     """
     inputs = [csv_paths] if isinstance(csv_paths, str) else list(csv_paths)
-    check_output(output_path, inputs)
-    raw = read_reports_csv(spark, inputs)
+    for path in filter(None, (output_path, quarantine_path)):
+        check_output(path, inputs)
+    if latest and not quarantine_path:
+        raise ValueError("latest reports need a quarantine_path for the unusable ones")
+    raw = read_reports_csv(spark, inputs, keep_unreadable=True)
     date = parse_raw_date(F.col("date"))
-    fill = measure_fill(raw, unparsed_dates=F.col("date").isNotNull() & date.isNull())
-    dropped = fill.sparse_columns(min_fill, keep=["date"])
-    dated = raw.drop(*dropped).withColumn("date", date)
+    fill = measure_fill(
+        raw,
+        unparsed_dates=F.col("date").isNotNull() & date.isNull(),
+        unreadable=F.col(UNREADABLE).isNotNull(),
+    )
+    dropped = fill.sparse_columns(min_fill, keep=["date", UNREADABLE])
+    dated = raw.drop(*dropped, UNREADABLE).withColumn("date", date)
+    quarantined = 0
+    if quarantine_path:
+        dated, bad = quarantine(dated)
+        quarantined = _counted_write(bad, lambda df: df.write.mode("overwrite").parquet(quarantine_path))
+        if latest:
+            dated = latest_reports(dated).drop("copies")
     curated = dated.withColumns(partition_parts(F.col("date")))
-    write_partitioned(curated, output_path, keys, inputs, touched_only)
-    return IngestReport(fill.rows, len(curated.columns), dropped, fill.extra["unparsed_dates"])
+    written = _counted_write(
+        curated, lambda df: write_partitioned(df, output_path, keys, inputs, touched_only)
+    )
+    return IngestReport(
+        fill.rows,
+        written,
+        len(curated.columns),
+        dropped,
+        fill.extra["unparsed_dates"],
+        fill.extra["unreadable"],
+        quarantined,
+    )
+
+
+def _counted_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
+    """Rows that a write wrote, counted by the write itself."""
+    seen = Observation()
+    write(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return seen.get["rows"]
 
 
 @dataclass(frozen=True)
@@ -70,12 +113,16 @@ class Training:
         return learning.evaluate(learning.predict(self.model, self.held_out))
 
 
-def train_on(reports: DataFrame, kind: str = "forest", weighted: bool = True, **params) -> Training:
+def train_on(
+    reports: DataFrame, kind: str = "forest", weighted: bool | None = None, **params
+) -> Training:
     """Fit on the training share of the reports; the held-out rows remain for evaluation.
 
     Rows are prepared once and written to the shared folder, weighted ones after identical
-    feature rows have become one.
+    feature rows have become one. A forest is fitted to plain rows unless asked otherwise.
     """
+    if weighted is None:
+        weighted = learning.weighted_by_default(kind)
     chosen, held_out = learning.split(learning.training_rows(reports))
     rows = learning.compact(chosen) if weighted else chosen.select(*learning.TRAINING_COLUMNS)
     return Training(learning.train(materialize(rows, "training"), kind, **params), held_out)
@@ -102,11 +149,31 @@ def score_stream(
     checkpoint: str,
     available_now: bool = False,
     interval: str | None = None,
+    rejected: BatchWriter | None = None,
+    on_counts: Callable[[int, dict[str, int]], None] | None = None,
 ) -> StreamingQuery:
-    """Messages to predictions to a sink; the model is loaded once, before the stream starts."""
-    reports = decode_reports(messages)
-    scored = score_reports(reports, lambda rows: learning.predict(model, rows))
-    return start_batches(scored, write_batch, checkpoint, available_now, interval)
+    """Messages to predictions to a sink; the model is loaded once, before the stream starts.
+
+    The model is applied to each micro-batch as a plain table, which every kind of model
+    allows. What a batch drops is counted while it is written, by kind of fault, and handed to
+    on_counts, by default the log; with rejected the messages themselves are kept as well.
+    """
+    tell = on_counts or (lambda batch_id, counts: LOG.info("batch %s: %s", batch_id, counts))
+
+    def write(batch: DataFrame, batch_id: int, stream: str) -> bool:
+        judged = judged_messages(batch)
+        if rejected is not None:
+            bad = judged.where(F.col("fault").isNotNull()).select("value", "fault")
+            rejected(bad, batch_id, stream)
+        seen = Observation()
+        reports = judged.observe(seen, *fault_counts()).drop("value", "fault")
+        scored = score_reports(reports, lambda rows: learning.predict(model, rows))
+        wrote = write_batch(scored, batch_id, stream)
+        if wrote:
+            tell(batch_id, seen.get)
+        return wrote
+
+    return start_batches(messages.select("value"), write, checkpoint, available_now, interval)
 
 
 @dataclass(frozen=True)
@@ -155,6 +222,10 @@ class Dashboard:
     def high_risk_table(self) -> DataFrame:
         return report.high_risk_table(self.predictions)
 
+    def available(self) -> set[str]:
+        """The questions that the columns at hand allow."""
+        return report.available(self.predictions)
+
     def is_empty(self) -> bool:
         return self.summary.isEmpty()
 

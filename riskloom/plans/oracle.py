@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from riskloom.constants import SPLIT_SEED, TRAIN_FRACTION
+
 FACTS = """
 WITH facts AS (
   SELECT n.n_name AS state, s.s_name AS county, CAST(l.l_shipdate AS DATE) AS date,
@@ -28,6 +30,20 @@ codes AS (SELECT n_name AS state, 'N' || LPAD(CAST(n_nationkey AS VARCHAR), 2, '
           FROM nation WHERE n_nationkey < 20)
 """
 
+# The hash of a report's text decides its side.
+SIDES = f"""
+    SELECT *, CASE WHEN CAST('0x' || substr(md5(concat_ws('|', '{SPLIT_SEED}', state, county,
+        CAST(date AS VARCHAR), CAST(cases AS VARCHAR), CAST(deaths AS VARCHAR))), 1, 8) AS BIGINT)
+        % 10000 < {int(TRAIN_FRACTION * 10000)} THEN 'train' ELSE 'held_out' END AS side,
+      CASE WHEN risk_score < 0 THEN 0 WHEN risk_score < 1000 THEN 1
+           WHEN risk_score < 10000 THEN 2 WHEN risk_score < 100000 THEN 3
+           ELSE 4 END AS risk_category
+    FROM (SELECT * EXCLUDE (note) FROM scored)"""
+
+HELD_OUT = f"""
+    SELECT state, county, date, risk_category, TRUE AS accurate FROM ({SIDES})
+    WHERE side = 'held_out'"""
+
 PREDICTED_ROWS = """
     SELECT state, county, date, risk_category, predicted_risk_category FROM preds"""
 
@@ -170,7 +186,8 @@ ON_FACTS = {
                CAST(DAY(date) AS INT) AS jour FROM facts WHERE YEAR(date) = 2000""",
     "ingest_report": """
         SELECT COUNT(*) AS read_rows, COUNT(*) AS written_rows, 8 AS n_columns, 0 AS dropped,
-               CAST(0 AS BIGINT) AS unparsed_dates FROM facts""",
+               CAST(0 AS BIGINT) AS unparsed_dates, CAST(0 AS BIGINT) AS unreadable_lines
+        FROM facts""",
     "export_csv": """
         SELECT state AS "State", county AS "County", date AS "Date",
                a.label AS "Risk Category", b.label AS "Predicted Risk"
@@ -186,8 +203,6 @@ ON_FACTS = {
     "json_round_trip": """
         SELECT state, county, date, cases, deaths, CAST(MONTH(date) AS INT) AS mois,
                CAST(DAY(date) AS INT) AS jour FROM scored""",
-    "jdbc_round_trip": PREDICTED_ROWS,
-    "jdbc_redelivered_batches": PREDICTED_ROWS,
     "stream_scoring": PREDICTED_ROWS,
     "stream_to_files": PREDICTED_ROWS,
     "stream_restarted": PREDICTED_ROWS,
@@ -202,13 +217,35 @@ ON_FACTS = {
         SELECT CAST(MONTH(date) AS INT) AS mois, CAST(DAY(date) AS INT) AS jour, risk_score,
                CAST(risk_category AS DOUBLE) AS risk_category, CAST(COUNT(*) AS DOUBLE) AS weight
         FROM preds GROUP BY 1, 2, 3, 4""",
-    "model_stream_rows": "SELECT state, county, date, risk_category FROM preds",
-    "train_test_split": """
-        SELECT s.state, s.county, s.date, s.cases, s.deaths, s.risk_score,
-               CASE WHEN risk_score < 0 THEN 0 WHEN risk_score < 1000 THEN 1
-                    WHEN risk_score < 10000 THEN 2 WHEN risk_score < 100000 THEN 3
-                    ELSE 4 END AS risk_category
-        FROM (SELECT * EXCLUDE (note) FROM scored) s""",
+    "train_test_split": SIDES,
+    "model_train_predict": HELD_OUT,
+    "model_unweighted_forest": HELD_OUT,
+    "model_logistic": HELD_OUT,
+    "model_svm": HELD_OUT,
+    "model_evaluate": f"""
+        SELECT COUNT(*) AS scored_rows, TRUE AS accuracy, TRUE AS weighted_precision,
+               TRUE AS weighted_recall, TRUE AS f1 FROM ({HELD_OUT})""",
+    "model_stream_scoring": """
+        SELECT risk_category, COUNT(*) AS agreeing FROM preds GROUP BY risk_category""",
+    "quantile_ranks": """
+        SELECT column_name, quantile, TRUE AS within
+        FROM (VALUES ('cases'), ('deaths'), ('risk_score')) AS c(column_name),
+             (VALUES ('p25'), ('p50'), ('p75')) AS q(quantile)""",
+    "ingest_latest": """
+        SELECT state, county, date, cases, deaths, CAST(MONTH(date) AS INT) AS mois,
+               CAST(DAY(date) AS INT) AS jour
+        FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY state, county, date
+                                           ORDER BY cases DESC, deaths DESC) AS place
+              FROM facts WHERE cases >= 0 AND deaths >= 0) WHERE place = 1""",
+    "message_quality": """
+        SELECT COUNT(*) AS messages,
+               COUNT(*) FILTER (WHERE NOT gone AND cases >= 0 AND deaths IS NOT NULL) AS good,
+               COUNT(*) FILTER (WHERE gone) AS undecodable,
+               COUNT(*) FILTER (WHERE NOT gone AND cases < 0) AS bad_date,
+               COUNT(*) FILTER (WHERE NOT gone AND cases >= 0 AND deaths IS NULL)
+                 AS missing_count,
+               CAST(0 AS BIGINT) AS missing_key
+        FROM (SELECT *, coalesce(note = 'F', FALSE) AS gone FROM facts)""",
     "evaluation_metrics": """
         , pairs AS (SELECT risk_category AS a, predicted_risk_category AS p, COUNT(*) AS n
                     FROM preds GROUP BY 1, 2),
