@@ -191,7 +191,7 @@ def write(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES) -
                 for r in batch.slice(start, SLICE).to_pylist():
                     if out is None:
                         path = f"{uuid.uuid4().hex}.warc.gz"
-                        out, size = fs.open_output_stream(f"{base}/{path}"), 0
+                        out, size = fs.open_output_stream(f"{base}/{path}", compression=None), 0
                         done.append([f"{folder}/{path}", 0, 0])
                     content = member(
                         record(r["page_id"], r["url"], r["payload"], r["digest"], r["refers_to"])
@@ -226,7 +226,7 @@ def read(archives: DataFrame, payloads: bool = True) -> DataFrame:
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 fs, at = _open(path)
-                with fs.open_input_stream(at) as stream:
+                with fs.open_input_stream(at, compression=None) as stream:
                     for content in members(stream):
                         rows.append(parse(content))
                         held += len(content) if payloads else 200

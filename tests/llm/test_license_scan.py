@@ -113,9 +113,11 @@ def test_repeated_rows_and_null_ids(spark):
     )
 
 
-def test_empty_table_and_other_columns(spark, plan_of):
+def test_empty_table_and_other_columns(spark, plan_of, folder):
     assert ls.scan(spark.createDataFrame([], SCHEMA)).count() == 0
     docs = spark.createDataFrame([(1, "cc by nc", "x", 2)], SCHEMA + ", words string, score int")
     assert got(ls.scan(docs)) == [brute("cc by nc")]
+    docs.write.parquet(f"{folder}/docs")
+    found = ls.places(spark.read.parquet(f"{folder}/docs"))
     for name in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"):
-        assert name not in plan_of(ls.places(docs)) + plan_of(ls.spans(ls.places(docs)))
+        assert name not in plan_of(found) + plan_of(ls.spans(found))

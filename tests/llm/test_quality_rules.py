@@ -78,17 +78,23 @@ def judged(spark, rows):
     return qr.judged(counted, names)[0]
 
 
-GOOD = " ".join(f"Word{i} and so on" if i % 9 == 0 else f"word{i}" for i in range(120)) + "."
-BAD = " ".join(f"WORD{i}!!" for i in range(120))
+def _word(i):
+    return "".join("abcdefghij"[int(d)] for d in f"{i:03d}") + "el"
+
+
+GOOD = " ".join(_word(i).capitalize() if i % 9 == 0 else _word(i) for i in range(120)) + "."
+BAD = " ".join(f"{_word(i).upper()}!!" for i in range(120))
+TABLE = " | ".join(_word(i) for i in range(100))
 
 
 def test_verdicts(spark):
-    rows = [(i, GOOD.replace("word", f"w{i}")) for i in range(30)]
-    rows += [(100 + i, BAD.replace("WORD", f"W{i}X")) for i in range(5)]
+    rows = [(i, GOOD + " " + _word(200 + i)) for i in range(60)]
+    rows += [(100 + i, BAD + " " + _word(200 + i)) for i in range(5)]
+    rows += [(110 + i, TABLE + " " + _word(200 + i)) for i in range(5)]
     rows += [(200, None), (201, ""), (202, "few words"), (203, "again and again " * 40)]
     out = {r.doc_id: r for r in judged(spark, rows).collect()}
-    assert all(out[i].kept and not out[i].base_failed for i in range(30))
-    assert not any(out[100 + i].kept or out[100 + i].base_failed for i in range(5))
+    assert all(out[i].kept and not out[i].base_failed for i in range(60))
+    assert not any(out[i].kept or out[i].base_failed for i in [*range(100, 105), *range(110, 115)])
     assert all(out[i].base_failed and not out[i].kept for i in (200, 201, 202, 203))
 
 
