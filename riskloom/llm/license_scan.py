@@ -76,8 +76,15 @@ def _gram(words: Column, at: Column, k: int) -> Column:
 
 def template_grams(spark: SparkSession, templates: Sequence[tuple[str, str]], k: int) -> DataFrame:
     """template, label, place, gram, t_words: a row per k-gram of a template."""
-    rows = [(i, label, text.split()) for i, (label, text) in enumerate(templates)]
-    table = spark.createDataFrame(rows, "template int, label string, t_words array<string>")
+    rows = [
+        F.struct(
+            F.lit(i).alias("template"),
+            F.lit(label).alias("label"),
+            F.split(F.lit(text), " +").alias("t_words"),
+        )
+        for i, (label, text) in enumerate(templates)
+    ]
+    table = spark.range(1).select(F.inline(F.array(*rows)))
     places = F.sequence(F.lit(0), F.size("t_words") - k)
     return table.where(F.size("t_words") >= k).select(
         "template", "label", "t_words", F.explode(places).alias("place")

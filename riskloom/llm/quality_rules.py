@@ -8,7 +8,7 @@ corpus. A document's probability to be good replaces the demand to pass every ru
 
 Defined cases: a null or empty text has no words, all its counts are 0 and it fails the
 base test; the rules abstain. Rows are documents. Of an empty table nothing is learned and
-nothing returned. A single pattern leaves the starting values.
+nothing returned; where every document fails the base test, all qualities are 0.5.
 """
 
 from __future__ import annotations
@@ -39,6 +39,7 @@ COUNTS = (
     "n_marks",
     "n_upper",
     "n_letters",
+    "n_bare_symbols",
 )
 ITERATIONS = 100
 TOLERANCE = 1e-9
@@ -78,10 +79,12 @@ def text_counts(text: bytes | None) -> tuple[int, ...]:
     hashes = WORDS.of(words)
     chars = len(text.translate(None, WHITE + CONTINUATION))
     other = len(text.translate(None, bytes(range(0x80)) + CONTINUATION))
+    symbols = _without(text, SYMBOLS)
+    bare = sum(words.count(bytes([symbol])) for symbol in SYMBOLS) if symbols else 0
     return (
         len(words),
         chars,
-        _without(text, SYMBOLS),
+        symbols,
         repeated,
         repeated_words(hashes),
         len(np.unique(hashes)),
@@ -89,6 +92,7 @@ def text_counts(text: bytes | None) -> tuple[int, ...]:
         _without(text, b"!"),
         _without(text, UPPER),
         _without(text, LETTERS) + other,
+        bare,
     )
 
 
@@ -122,6 +126,7 @@ def rules(c: dict[str, Column]) -> dict[str, Column]:
     length = chars / words
     return {
         "symbols": vote(c["n_symbols"] / words > 0.1, c["n_symbols"] / words < 0.01),
+        "bare_symbols": vote(c["n_bare_symbols"] / words > 0.1, c["n_bare_symbols"] / words < 0.01),
         "shouting": vote(c["n_upper"] / letters > 0.3, c["n_upper"] / letters < 0.1),
         "marks": vote(c["n_marks"] / words > 0.1),
         "dup_lines": vote(c["n_dup_lines"] / lines > 0.5),
@@ -194,13 +199,19 @@ def judged(counted: DataFrame, names: dict[str, str]) -> tuple[DataFrame, dict[s
     (pattern,) = fresh(counted, "vote_pattern")
     code = sum((v * 3**i for i, v in enumerate(votes)), F.lit(0)).cast("long")
     voted = counted.withColumn(pattern, code)
-    # At most 3 ** rules rows, however many documents there are.
-    found = sorted((r[0], r[1]) for r in voted.groupBy(pattern).count().collect())
+    # At most 3 ** rules rows, however many documents there are. Documents that fail the base
+    # test are decided and teach nothing.
+    usable = F.count_if(~base_failed(c)).alias("usable")
+    found = sorted((r[0], r[1]) for r in voted.groupBy(pattern).agg(usable).collect())
     rows = []
     if found:
         codes, counts = (np.array(x) for x in zip(*found))
         patterns = _digits(codes, len(votes))
-        quality = posterior(patterns, *estimate(patterns, counts.astype(float)))
+        seen = counts > 0
+        quality = np.full(len(codes), 0.5)
+        if seen.any():
+            model = estimate(patterns[seen], counts[seen].astype(float))
+            quality = posterior(patterns, *model)
         rows = [(int(k), float(q)) for k, q in zip(codes, quality)]
     known = counted.sparkSession.createDataFrame(rows, f"{pattern} long, {out['quality']} double")
     scored = voted.join(F.broadcast(known), pattern, "left").drop(pattern)
