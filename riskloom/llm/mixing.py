@@ -64,12 +64,8 @@ def _shares(targets: DataFrame, cells: DataFrame, margin: str) -> DataFrame:
     """The targets of the values that have tokens, as shares of 1."""
     have = cells.where("tokens > 0").select(F.col(margin).alias("value")).distinct()
     known = targets.join(have, "value").where("want > 0")
-    total = known.agg(F.sum("want").alias("total")).withColumn("one", F.lit(1))
-    return (
-        known.withColumn("one", F.lit(1)).join(total, "one").select(
-            F.col("value").alias(margin), (F.col("want") / F.col("total")).alias("want")
-        )
-    )
+    total = known.agg(F.sum("want")).first()[0] or 1.0
+    return known.select(F.col("value").alias(margin), (F.col("want") / F.lit(total)).alias("want"))
 
 
 def raked(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:

@@ -16,7 +16,7 @@ nor do rows without an id. A shorter vector counts as filled up with zeros; an e
 scores 0 with all. Rows with the query's id are left out; other repeated rows are separate
 candidates, and repeated queries are asked once, with the first of their vectors. Ties go to
 the smaller id. Fewer candidates than k are all returned. Sums beyond 2**53 are computed
-with unbounded integers.
+with unbounded integers; a score that does not fit a long counts as the closest one that does.
 """
 
 from __future__ import annotations
@@ -163,6 +163,8 @@ def _search(index: pa.Table, queries: pa.Table, k: int) -> tuple[list, list, lis
             if least is not None and bounds[q, b] < least:
                 break
             scores = rows[b] @ asked[q]
+            if scores.dtype == object:
+                scores = np.minimum(np.maximum(scores, -(2**63)), 2**63 - 1)
             keep = ids[b] != query_id
             if least is not None:
                 keep &= (scores >= least).astype(bool)

@@ -104,10 +104,12 @@ def test_edge_cases(spark):
         assert pair[0] == pair[1]
 
 
-def test_clashing_columns_and_no_python(spark, plan_of):
+def test_clashing_columns_and_no_python(spark, plan_of, folder):
     docs = spark.createDataFrame(
         [(1, "a b", "en", 1, 2)], "doc_id long, text string, source string, tokens int, kept int"
     )
+    docs.write.parquet(f"{folder}/docs")
+    docs = spark.read.parquet(f"{folder}/docs")
     out, names = mixing.mix(docs, {"source": F.col("source")}, mixing.words_of("text"))
     row = out.first()
     assert (row.tokens, row.kept, row[names["tokens"]], row[names["kept"]]) == (1, 2, 2, True)

@@ -38,7 +38,7 @@ def run(spark, rows, k=5, **limits):
 def test_equals_brute_force(spark, limits):
     rnd = random.Random(2)
     # Halves and quarters are exact in float; many ties.
-    rows = [(i, [rnd.choice([-1, -0.5, 0, 0.25, 0.5, 1]) for _ in range(6)]) for i in range(300)]
+    rows = [(i, [rnd.choice([-1.0, -0.5, 0.0, 0.25, 0.5, 1.0]) for _ in range(6)]) for i in range(300)]
     assert run(spark, rows, **limits) == brute(rows, 5, lambda i: i % 20 == 0)
 
 
@@ -52,8 +52,10 @@ def test_odd_vectors(spark):
 
 
 def test_large_components_stay_exact(spark):
-    rows = [(i, [float(2**26 + 16 * i), float(2**26 - 16 * i), 1.0]) for i in range(25)]
+    rows = [(i, [float(2**20 + i), float(2**20 - i), 1.0]) for i in range(25)]
     assert run(spark, rows, 6) == brute(rows, 6, lambda i: i % 20 == 0)
+    huge = [(i, [2.0**60, 1.0]) for i in range(4)]
+    assert [r[1:] for r in run(spark, huge, 2)] == [(1, 1, 2**63 - 1), (2, 2, 2**63 - 1)]
 
 
 def test_none_or_few(spark):
