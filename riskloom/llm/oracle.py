@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from riskloom.llm import license_scan as ls
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -70,6 +72,68 @@ SELECT page_id, payload_bytes, sha256(html) AS payload_digest,
 FROM payloads LEFT JOIN firsts USING (html)
 """
 
+def _op6() -> str:
+    """The scan with k-grams as text; templates and phrases are the operator's own."""
+    templates = ", ".join(
+        f"({i}, '{label}', '{text}')" for i, (label, text) in enumerate(ls.TEMPLATES)
+    )
+    phrases = ", ".join(f"('{phrase}', '{label}')" for phrase, label in ls.PHRASES.items())
+    return rf"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all({lowered("coalesce(text, '')")},
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), grams AS (
+  SELECT doc_id, w, i, w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] AS gram
+  FROM (SELECT doc_id, w, unnest(range(0, len(w) - 2)) AS i FROM texts WHERE len(w) >= 3)
+), templates AS (
+  SELECT template, label, string_split(t, ' ') AS tw
+  FROM (VALUES {templates}) AS x(template, label, t)
+), t_grams AS (
+  SELECT template, label, tw, place,
+         tw[place + 1] || ' ' || tw[place + 2] || ' ' || tw[place + 3] AS gram
+  FROM (SELECT *, unnest(range(0, len(tw) - 2)) AS place FROM templates)
+), votes AS (
+  SELECT doc_id, template, label, place, i, i - place AS diagonal, len(tw) AS t_size,
+         list_sum(list_transform(range(0, len(tw)), lambda j:
+           CASE WHEN i - place + j >= 0 AND w[i - place + j + 1] = tw[j + 1]
+                THEN 1 ELSE 0 END)) AS equal
+  FROM grams JOIN t_grams USING (gram)
+), apart AS (
+  SELECT *, coalesce(diagonal - lag(diagonal) OVER one > {ls.GAP}, FALSE)::INT AS fresh
+  FROM votes WINDOW one AS (PARTITION BY doc_id, template ORDER BY diagonal, i)
+), spans AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY doc_id, template ORDER BY diagonal, i) AS span
+  FROM apart
+), merged AS (
+  SELECT doc_id, label, count(DISTINCT place) / (any_value(t_size) - 2) AS covered,
+         count(DISTINCT place) / (any_value(t_size) - 2) >= {ls.COVERED}
+           AND max(i) + 3 - min(i) <= ceil(any_value(t_size) * CAST({ls.LONGER} AS DOUBLE))
+           AND max(equal) >= any_value(t_size) * {ls.ALIGNED} AS verified
+  FROM spans GROUP BY doc_id, template, label, span
+), own AS (
+  SELECT doc_id, max(covered) AS covered,
+         coalesce(list(label) FILTER (WHERE verified), []) AS labels
+  FROM merged GROUP BY doc_id
+), base AS (
+  SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
+         list(label) AS labels
+  FROM grams JOIN (VALUES {phrases}) AS p(phrase, label)
+    ON array_to_string(w[i + 1 : i + len(string_split(phrase, ' '))], ' ') = phrase
+  GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       array_to_string(list_sort(list_distinct(coalesce(base.labels, []))), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(
+         list_concat(coalesce(base.labels, []), coalesce(own.labels, [])))), ',') AS labels,
+       CASE WHEN n_base > 0 THEN CAST(1 AS DOUBLE)
+            ELSE least(coalesce(covered, 0), 1) END AS score
+FROM texts LEFT JOIN base USING (doc_id) LEFT JOIN own USING (doc_id)
+"""
+
+
+OP6 = _op6()
+
 OP9 = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e
@@ -145,6 +209,7 @@ STATEMENTS = {
     "op1_minhash_near_dedup": OP1,
     "op3_line_dedup": OP3,
     "op5_warc": OP5,
+    "op6_license_scan": OP6,
     "op9_topk_search": OP9,
     "op10_mixing": OP10,
 }
