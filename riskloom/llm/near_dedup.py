@@ -388,8 +388,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 def without_near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
-    """docs with one document (doc_id) of each component."""
-    found = near_duplicates(docs, shingle, percent).where("NOT kept")
+    """docs with one document (doc_id) of each component. Rows without doc_id cannot be named
+    and stay."""
+    found = near_duplicates(docs, shingle, percent).where("NOT kept AND doc_id IS NOT NULL")
     (gone,) = fresh(docs, "gone_id")
     ids = found.select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col(gone)), "left_anti")
+    return docs.join(ids, F.col("doc_id").cast("long") == F.col(gone), "left_anti")
