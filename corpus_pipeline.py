@@ -15,6 +15,8 @@ from riskloom.llm.common import table
 from riskloom.llm.queries import tokenizer_path
 from riskloom.session import materialize
 
+KEPT = 0.4
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weak-supervision verdict keeps."""
@@ -38,13 +40,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample in which sources, languages and topics have their target shares."""
+    """A sample in which sources, languages and topics have their target shares, of KEPT of the
+    words at least, however rare a value is."""
     margins = {
         "source": F.col("source"),
         "lang": F.col("lang"),
         "topic": mixing.topic_of("text"),
     }
-    mixed, names = mixing.mix(docs, margins, mixing.words_of("text"))
+    mixed, names = mixing.mix(docs, margins, mixing.words_of("text"), least=KEPT)
     return mixed.where(F.col(names["kept"])).select(*docs.columns)
 
 

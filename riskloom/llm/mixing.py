@@ -7,6 +7,12 @@ with the probability its cell's factor has against the largest factor, so the ex
 tokens of the sample have the target shares, and no probability is above 1. Whether it is
 kept is decided by a hash of its id, the same in every run.
 
+That largest factor may be the one of a rare value, and then little is kept of all others.
+`least` names a share of the tokens to keep at least. Where raking keeps less, it is bounded:
+the probability is min(1, factor), a value that has too few tokens for its share is kept
+whole and the shares of the others grow, and cells that reach 1 are kept whole while the
+others are raked again until the margins are met.
+
 Defined cases: a null margin value is a value of its own. Documents without tokens are in
 their cell but weigh nothing; a cell of weight 0 that no margin raises keeps its factor.
 Targets for values that do not occur are left out and the others scaled up; a value without
@@ -16,13 +22,19 @@ an id as well. An empty table gives an empty one. Extra columns are kept.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import fresh, text_or_empty
 from riskloom.session import materialize
 
+log = logging.getLogger(__name__)
+
 SWEEPS = 12
+BOUNDED_SWEEPS = 60
+BOUNDED_ERROR = 1e-6
 TEMPER = 0.8
 SEED = "mix-1"
 
@@ -68,10 +80,14 @@ def _shares(targets: DataFrame, cells: DataFrame, margin: str) -> DataFrame:
     return known.select(F.col("value").alias(margin), (F.col("want") / F.lit(total)).alias("want"))
 
 
-def raked(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
-    """cells (margins, tokens) with factor: tokens * factor has the targets' shares."""
+def targeted(cells: DataFrame, targets: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Per margin the shares wanted of its values, written."""
+    return {m: materialize(_shares(t, cells, m), "mix-targets") for m, t in targets.items()}
+
+
+def raked(cells: DataFrame, shares: dict[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
+    """cells (margins, tokens) with factor: tokens * factor has the wanted shares."""
     total = cells.agg(F.sum("tokens")).first()[0] or 0
-    shares = {m: materialize(_shares(t, cells, m), "mix-targets") for m, t in targets.items()}
     start = F.lit(1.0 / total if total else 1.0)
     state = cells.withColumn("factor", start)
     for _ in range(sweeps):
@@ -89,6 +105,79 @@ def raked(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS)
     return state
 
 
+def _reachable(cells: DataFrame, share: DataFrame, margin: str, size: float) -> DataFrame:
+    """The tokens wanted of each value of a sample of this size, at most what there is."""
+    have = cells.where("factor > 0").groupBy(margin).agg(F.sum("tokens").alias("have"))
+    table = materialize(share.join(have, margin), "mix-targets")
+    each, whole = size, 0
+    while True:
+        over = F.col("have") <= F.col("want") * F.lit(each)
+        n, held, others = table.agg(
+            F.count_if(over),
+            F.sum(F.when(over, F.col("have")).otherwise(0)),
+            F.sum(F.when(over, 0.0).otherwise(F.col("want"))),
+        ).first()
+        if n == whole and whole or not others:
+            break
+        each, whole = (size - held) / others, n
+        if not n:
+            break
+    return table.select(margin, F.least("have", F.col("want") * F.lit(each)).alias("want"))
+
+
+def _largest_miss(state: DataFrame, wants: dict[str, DataFrame], kept: Column) -> float:
+    """How far a value's kept tokens are from the wanted ones at most."""
+    worst = 0.0
+    for margin, want in wants.items():
+        have = state.groupBy(margin).agg(F.sum(F.col("tokens") * kept).alias("have"))
+        off = F.max(F.abs(F.col("have") - F.col("want")))
+        worst = max(worst, have.join(want, margin).agg(off).first()[0] or 0.0)
+    return worst
+
+
+def bounded(
+    state: DataFrame,
+    shares: dict[str, DataFrame],
+    least: float,
+    sweeps: int = BOUNDED_SWEEPS,
+) -> DataFrame:
+    """Raked cells with factor such that tokens * min(1, factor) has the wanted shares of a
+    sample with this share of the tokens. Cells without a chance keep none."""
+    usable, weight = state.where("factor > 0").agg(
+        F.sum("tokens"), F.sum(F.col("tokens") * F.col("factor"))
+    ).first()
+    size = least * usable
+    wants = {
+        m: materialize(_reachable(state, want, m, size), "mix-targets")
+        for m, want in shares.items()
+    }
+    state = state.withColumn("factor", F.col("factor") * F.lit(size / weight))
+    factor, full = F.col("factor"), F.col("factor") >= 1
+    kept = F.least(factor, F.lit(1.0))
+    for _ in range(sweeps):
+        for margin, want in wants.items():
+            sums = state.groupBy(margin).agg(
+                F.sum(F.when(full, F.col("tokens")).otherwise(0)).alias("held"),
+                F.sum(F.when(full, 0.0).otherwise(F.col("tokens") * factor)).alias("free"),
+                F.sum(F.col("tokens") * factor).alias("all"),
+            )
+            rest = F.col("want") - F.col("held")
+            step = (
+                F.when((F.col("free") > 0) & (rest > 0), rest / F.col("free"))
+                .when(rest < 0, F.col("want") / F.col("all"))
+                .otherwise(F.lit(1.0))
+            )
+            step = sums.join(want, margin, "left").select(margin, step.alias("step"))
+            state = state.join(step, margin).withColumn("factor", factor * F.col("step"))
+            state = state.drop("step")
+        state = materialize(state, "mix-cells")  # a sweep is lost at most
+        miss = _largest_miss(state, wants, kept) / size
+        if miss <= BOUNDED_ERROR:
+            return state
+    log.warning("bounded raking: a margin misses its target by %.2g of the sample", miss)
+    return state
+
+
 def drawn(doc_id: str, seed: str = SEED) -> Column:
     """A number in [0, 1) that follows from the id."""
     text = F.concat(F.lit(f"{seed}/"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))
@@ -103,11 +192,13 @@ def mix(
     power: float = TEMPER,
     sweeps: int = SWEEPS,
     seed: str = SEED,
+    least: float | None = None,
 ) -> tuple[DataFrame, dict[str, str]]:
     """docs with tokens, probability and kept, and the (unused) names of these columns.
 
     targets: per margin the wanted share of each value (value as text, want); for a margin
-    without one, shares are the present ones raised to a power.
+    without one, shares are the present ones raised to a power. least: the share of the tokens
+    of wanted values that is kept at least; None leaves the size to the largest factor.
     """
     keys = dict(zip(margins, fresh(docs, *[f"margin_{i}" for i in range(len(margins))])))
     wanted = ("tokens", "probability", "kept")
@@ -126,8 +217,16 @@ def mix(
             wants[key] = given.select(
                 _key(F.col("value")).alias("value"), F.col("want").cast("double").alias("want")
             )
-    state = raked(cells, wants, sweeps)
-    top = state.where("tokens > 0").agg(F.max("factor")).first()[0] or 1.0
+    shares = targeted(cells, wants)
+    state = raked(cells, shares, sweeps)
+    top, weight, usable = state.where("tokens > 0").agg(
+        F.max("factor"),
+        F.sum(F.col("tokens") * F.col("factor")),
+        F.sum(F.when(F.col("factor") > 0, F.col("tokens"))),
+    ).first()
+    top = top or 1.0
+    if least and usable and weight / top < least * usable:
+        state, top = bounded(state, shares, min(least, 1.0)), 1.0
     chance = state.select(
         *keys.values(),
         F.round(F.least(F.col("factor") / F.lit(top), F.lit(1.0)), 6).alias(names["probability"]),

@@ -126,3 +126,29 @@ def test_topics(spark):
     rows = sorted(got.collect())
     assert [r.t for r in rows] == want
     assert [r.n for r in rows] == [len((t or "").split()) for t in texts]
+
+
+def test_a_stray_value_does_not_set_the_size(spark):
+    data = rows(600) + [(9_000, "lone", "xx", "w", 2)]
+    words = sum(r[4] for r in data)
+    wants = {m: tempered(data, i + 1, mixing.TEMPER) for i, m in enumerate(MARGINS)}
+    plain = plain_ipf(data, wants, mixing.SWEEPS)
+    assert sum(r[4] * plain[r[1:4]] for r in data) < 0.3 * words
+    out = mixed(spark, data, least=0.4)
+    assert sum(r.n * r.probability for r in out) == pytest.approx(0.4 * words, rel=1e-4)
+    assert {r.doc_id: r.kept for r in out}[9_000]
+    for m, stray in zip(MARGINS, data[-1][1:4]):
+        have = defaultdict(float)
+        for r in out:
+            have[r[m]] += r.n * r.probability
+        assert have.pop(stray) == 2
+        others = 1 - wants[m].pop(stray)
+        for v, share in wants[m].items():
+            assert have[v] == pytest.approx(share / others * (0.4 * words - 2), rel=1e-3)
+
+
+def test_enough_without_bounds_stays_as_it_is(spark):
+    def chances(**options):
+        return sorted((r.doc_id, r.probability) for r in mixed(spark, rows(200), **options))
+
+    assert chances(least=0.01) == chances()
