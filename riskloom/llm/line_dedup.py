@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,8 +45,9 @@ KICKS = 400
 LOAD = 0.85
 
 
-# Cuckoo filter: buckets of four 16-bit fingerprints, 0 where empty. A shard has a list of
-# filters; when the last is full, one of twice its size follows.
+# Cuckoo filter: buckets of four 16-bit fingerprints, 0 where empty. A list of filters grows by
+# one of twice the size when the last is full. With several it is not certain which one holds a
+# key, so a shard that comes to several is built again, as a single one, from the exact counts.
 
 
 def _fingerprints(hi: np.ndarray) -> np.ndarray:
@@ -72,6 +74,18 @@ class CuckooFilters:
     def blobs(self) -> list[bytes]:
         return [t.tobytes() for t in self.tables]
 
+    @classmethod
+    def of(cls, hi: np.ndarray, lo: np.ndarray) -> CuckooFilters:
+        """Filters of distinct keys: a single one, unless equal fingerprints fill its buckets."""
+        count = len(hi)
+        while True:
+            built = cls()
+            built._grow(max(count, 1))
+            built.insert(hi, lo)
+            if len(built.tables) == 1 or count > 8 * len(hi):
+                return built
+            count = 2 * max(count, 16)
+
     def contains(self, hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
         found = np.zeros(len(hi), bool)
         for table in self.tables:
@@ -86,16 +100,16 @@ class CuckooFilters:
 
     def insert(self, hi: np.ndarray, lo: np.ndarray) -> None:
         """Keys that are not in the shard yet."""
-        left = np.arange(len(hi))
-        while len(left):
-            if self.tables:
-                left = left[[not self._put(hi[i : i + 1], lo[i : i + 1]) for i in left]]
-            if len(left):
-                self._grow(len(left))
+        done = 0
+        while done < len(hi):
+            if self.tables and self._put(hi[done : done + 1], lo[done : done + 1]):
+                done += 1
+            else:  # full: the rest goes to the next
+                self._grow(len(hi) - done)
 
     def _put(self, hi: np.ndarray, lo: np.ndarray) -> bool:
         table = self.tables[-1]
-        if np.count_nonzero(table) >= LOAD * table.size and table.size <= 1 << 12:
+        if table.size <= 1 << 12 and np.count_nonzero(table) >= LOAD * table.size:
             return False
         prints, first, second = _places(hi, lo, len(table))
         print_, path = prints[0], []
@@ -121,21 +135,20 @@ class CuckooFilters:
         return False
 
     def delete(self, hi: np.ndarray, lo: np.ndarray) -> None:
-        """Keys that are in the shard."""
+        """Keys that are in the shard. One whose fingerprint more than one filter holds stays:
+        the other slot belongs to another key, and which is which is not known."""
         for i in range(len(hi)):
+            found = []
             for table in self.tables:
                 prints, first, second = _places(hi[i : i + 1], lo[i : i + 1], len(table))
-                at = next(
-                    (
-                        (int(b), int(s[0]))
-                        for b in (first[0], second[0])
-                        if len(s := np.flatnonzero(table[int(b)] == prints[0]))
-                    ),
-                    None,
-                )
-                if at:
-                    table[at] = 0
-                    break
+                for b in (int(first[0]), int(second[0])):
+                    slots = np.flatnonzero(table[b] == prints[0])
+                    if len(slots):
+                        found.append((table, (b, int(slots[0]))))
+                        break
+            if len(found) == 1:
+                table, at = found[0]
+                table[at] = 0
 
 
 def _split(text: bytes | None) -> list[bytes]:
@@ -184,33 +197,58 @@ def _counted(refs: DataFrame) -> DataFrame:
     )
 
 
+FILTERS = "shard int, filters array<binary>"
+
+
+def _filter_row(shard: int, blobs: list[bytes] | None) -> pa.Table:
+    return pa.table(
+        {
+            "shard": pa.array([shard], pa.int32()),
+            "filters": pa.array([blobs], pa.list_(pa.binary())),
+        }
+    )
+
+
+def _key_arrays(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    hi, lo = rows["hi"].to_numpy(), rows["lo"].to_numpy()
+    order = np.lexsort((lo, hi))
+    return hi[order], lo[order]
+
+
+def _built_filters(keys: DataFrame) -> DataFrame:
+    """A filter per shard of the keys (shard, hi, lo)."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        return _filter_row(rows["shard"][0].as_py(), CuckooFilters.of(*_key_arrays(rows)).blobs())
+
+    return keys.groupBy("shard").applyInArrow(run, FILTERS)
+
+
 def _changed_filters(
-    filters: DataFrame | None, keys: DataFrame, deleting: bool, n_shards: int
+    filters: DataFrame, keys: DataFrame, often: DataFrame, n_shards: int
 ) -> DataFrame:
-    """Filters per shard after keys were put in or taken out."""
-    spark = keys.sparkSession
-    schema = "shard int, filters array<binary>"
-    before = filters if filters is not None else spark.createDataFrame([], schema)
+    """Filters per shard after keys (hi, lo, gone) were put in or taken out; often: all keys
+    that are in afterwards. A shard that has or comes to several filters is built again."""
 
     def run(old: pa.Table, new: pa.Table) -> pa.Table:
-        blobs = old.column("filters").to_pylist()
-        shard = CuckooFilters(blobs[0] if blobs else [])
-        order = np.lexsort((new["lo"].to_numpy(), new["hi"].to_numpy()))
-        hi, lo = (new[c].to_numpy()[order] for c in ("hi", "lo"))
-        (shard.delete if deleting else shard.insert)(hi, lo)
         number = (old if old.num_rows else new)["shard"][0].as_py()
-        return pa.table(
-            {
-                "shard": pa.array([number], pa.int32()),
-                "filters": pa.array([shard.blobs()], pa.list_(pa.binary())),
-            }
-        )
-
-    return (
-        before.groupBy("shard")
-        .cogroup(keys.select(_shard(n_shards).alias("shard"), "hi", "lo").groupBy("shard"))
-        .applyInArrow(run, schema)
+        shard = CuckooFilters(old["filters"][0].as_py() if old.num_rows else [])
+        if len(shard.tables) < 2:
+            gone = new["gone"]
+            shard.delete(*_key_arrays(new.filter(gone)))
+            shard.insert(*_key_arrays(new.filter(pc.invert(gone))))
+        return _filter_row(number, shard.blobs() if len(shard.tables) < 2 else None)
+
+    number = _shard(n_shards).alias("shard")
+    changed = materialize(
+        filters.groupBy("shard")
+        .cogroup(keys.select(number, "hi", "lo", "gone").groupBy("shard"))
+        .applyInArrow(run, FILTERS),
+        "line-filters",
     )
+    outgrown = changed.where("filters IS NULL").select("shard")
+    again = _built_filters(often.select(number, "hi", "lo").join(outgrown, "shard", "left_semi"))
+    return changed.where("filters IS NOT NULL").unionByName(again)
 
 
 @dataclass(frozen=True)
@@ -233,7 +271,8 @@ def build(
     counts = materialize(_counted(refs), "line-counts")
     often = counts.where(F.col("n_docs") >= min_docs)
     n_shards = max(shards, often.count() // ROWS_PER_GROUP)
-    filters = materialize(_changed_filters(None, often, False, n_shards), "line-filters")
+    keys = often.select(_shard(n_shards).alias("shard"), "hi", "lo")
+    filters = materialize(_built_filters(keys), "line-filters")
     return LineIndex(refs, counts, filters, n_shards, min_chars, min_docs)
 
 
@@ -267,11 +306,11 @@ def delete(index: LineIndex, doc_ids: DataFrame) -> LineIndex:
 
 def _replaced(index: LineIndex, refs: DataFrame, joined: DataFrame) -> LineIndex:
     joined = materialize(joined, "line-counts")
-    least, filters = index.min_docs, index.filters
-    up = joined.where((F.col("n0") < least) & (F.col("n_docs") >= least))
-    down = joined.where((F.col("n0") >= least) & (F.col("n_docs") < least))
-    filters = _changed_filters(filters, up, False, index.n_shards)
-    filters = materialize(_changed_filters(filters, down, True, index.n_shards), "line-filters")
+    least = index.min_docs
+    often = F.col("n_docs") >= least
+    changes = joined.where((F.col("n0") >= least) != often).select("hi", "lo", (~often).alias("gone"))
+    filters = _changed_filters(index.filters, changes, joined.where(often), index.n_shards)
+    filters = materialize(filters, "line-filters")
     counts = joined.where(F.col("n_docs") > 0).drop("n0")
     return LineIndex(refs, counts, filters, index.n_shards, index.min_chars, least)
 

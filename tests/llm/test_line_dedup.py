@@ -135,3 +135,30 @@ def test_other_limits(spark):
     docs = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], SCHEMA)
     out = ld.dedup_lines(docs, min_chars=1, min_docs=2)
     assert sorted((r.doc_id, r.text) for r in out.collect()) == [(1, ""), (2, "a"), (3, "b")]
+
+
+def test_deletion_past_one_table_loses_no_other_key():
+    random = np.random.default_rng(4)
+    hi, lo = (random.integers(-(2**63), 2**63, 200_000, np.int64) for _ in range(2))
+    shard = ld.CuckooFilters()
+    for part in (slice(0, 50_000), slice(50_000, 200_000)):
+        shard.insert(hi[part], lo[part])
+    assert len(shard.tables) > 1
+    shard.delete(hi[100_000:], lo[100_000:])
+    assert shard.contains(hi[:100_000], lo[:100_000]).all()
+    whole = ld.CuckooFilters.of(hi, lo)
+    assert len(whole.tables) == 1 and whole.contains(hi, lo).all()
+
+
+def test_an_outgrown_shard_is_built_again(spark):
+    def docs(first, last):
+        data = [(i, f"{LONG} {i}") for i in range(first, last)]
+        return spark.createDataFrame(data, SCHEMA)
+
+    index = ld.insert(ld.build(docs(0, 40), min_docs=1, shards=2), docs(40, 400))
+    for held in (400, 300):
+        shards = [ld.CuckooFilters(r["filters"]) for r in index.filters.collect()]
+        assert [len(f.tables) for f in shards] == [1, 1]
+        assert sum(int((t != 0).sum()) for f in shards for t in f.tables) == held
+        assert index.counts.count() == held
+        index = ld.delete(index, docs(300, 400).select("doc_id"))
