@@ -150,13 +150,14 @@ def main(argv: Sequence[str] | None = None) -> None:
         show_report(board, args)
 
 
-def _print(title: str, rows: DataFrame) -> None:
-    """A table whole and untruncated, if it is not longer than a reader would read."""
+def _print(title: str, rows: DataFrame) -> bool:
+    """A table whole and untruncated, if it is not longer than a reader would read; else true."""
     print(title)
     count = rows.count()
     rows.show(min(count, LONGEST_TABLE), truncate=False)
     if count > LONGEST_TABLE:
         print(f"the first {LONGEST_TABLE} of {count} rows; --export writes all of them")
+    return count > LONGEST_TABLE
 
 
 def show_report(board: jobs.Dashboard, args: argparse.Namespace) -> None:
@@ -174,14 +175,15 @@ def show_report(board: jobs.Dashboard, args: argparse.Namespace) -> None:
         "filter_options",
     ):
         if question in can:
-            _print(question.replace("_", " "), getattr(board, question)())
+            rows = getattr(board, question)()
+            cut = _print(question.replace("_", " "), rows)
+            if args.export and (cut or question == "risk_over_time"):
+                export_csv(rows, f"{args.export}/{question}")
     if "details" in can:
         details = board.details(state=args.state, risk=args.risk, start=args.start, end=args.end)
         _print("details", details)
         if args.export:
             export_csv(details, f"{args.export}/details")
-    if args.export and "risk_over_time" in can:
-        export_csv(board.risk_over_time(), f"{args.export}/risk_over_time")
     board.close()
 
 

@@ -1,0 +1,32 @@
+from __future__ import annotations
+
+from argparse import Namespace
+
+from riskloom import __main__ as command
+
+
+class Board:
+    def __init__(self, rows):
+        self.rows = rows
+
+    def is_empty(self):
+        return False
+
+    def available(self):
+        return {"mean_risk_by_state", "risk_over_time"}
+
+    def mean_risk_by_state(self):
+        return self.rows
+
+    def risk_over_time(self):
+        return self.rows.limit(1)
+
+    def close(self):
+        pass
+
+
+def test_export_writes_every_table_that_was_cut(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(command, "LONGEST_TABLE", 2)
+    command.show_report(Board(spark.range(5)), Namespace(export=str(tmp_path)))
+    for name, count in (("mean_risk_by_state", 5), ("risk_over_time", 1)):
+        assert spark.read.csv(f"{tmp_path}/{name}", header=True).count() == count
