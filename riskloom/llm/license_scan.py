@@ -70,12 +70,20 @@ def words_of(text: str) -> Column:
     return F.filter(F.split(F.lower(value), SEPARATORS), lambda w: w != "")
 
 
+def _refuse_short(texts: Sequence[str], k: int) -> None:
+    """A text of fewer than k words has no k-gram and would never be found."""
+    short = [t for t in texts if len(t.split()) < k]
+    if short:
+        raise ValueError(f"phrases and templates need at least {k} words: {short}")
+
+
 def _gram(words: Column, at: Column, k: int) -> Column:
     return F.xxhash64(*[F.get(words, at + i) for i in range(k)])
 
 
 def template_grams(spark: SparkSession, templates: Sequence[tuple[str, str]], k: int) -> DataFrame:
     """template, label, place, gram, t_words: a row per k-gram of a template."""
+    _refuse_short([t for _, t in templates], k)
     rows = [
         F.struct(
             F.lit(i).alias("template"),
@@ -93,6 +101,7 @@ def template_grams(spark: SparkSession, templates: Sequence[tuple[str, str]], k:
 
 def _constants(templates: Sequence[tuple[str, str]], phrases: dict[str, str], k: int) -> list[Column]:
     """The hashes of all k-grams of templates and phrases, folded by the optimizer."""
+    _refuse_short([*(t for _, t in templates), *phrases], k)
     grams = set()
     for text in [*(t for _, t in templates), *phrases]:
         words = text.split()

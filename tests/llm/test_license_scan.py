@@ -121,3 +121,11 @@ def test_empty_table_and_other_columns(spark, plan_of, folder):
     found = ls.places(spark.read.parquet(f"{folder}/docs"))
     for name in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"):
         assert name not in plan_of(found) + plan_of(ls.spans(found))
+
+
+def test_texts_without_a_gram_are_refused(spark):
+    docs = spark.createDataFrame([(1, "mit license")], SCHEMA)
+    with pytest.raises(ValueError, match="mit license"):
+        ls.places(docs, phrases={"mit license": "mit"})
+    with pytest.raises(ValueError, match="gpl"):
+        ls.template_grams(spark, [("gpl", "gpl v3")], ls.K)
