@@ -222,6 +222,59 @@ def crc32(codes: str) -> str:
     return f"xor(4294967295, list_reduce({first}, lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])))"
 
 
+def _op11(every: int, most: int) -> str:
+    digits = "list_transform(string_split(conv_id::VARCHAR, ''), lambda c: unicode(c)::BIGINT)"
+    return f"""
+WITH RECURSIVE {CRC_TABLE}, turns AS (
+  SELECT conv_id, coalesce(text, '') AS text,
+         sha256(to_json([coalesce(role, ''), coalesce(text, '')])) AS t,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                            coalesce(role, ''), coalesce(text, '')) AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list(t ORDER BY p) AS t, list(length(text) ORDER BY p) AS n
+  FROM turns GROUP BY conv_id
+), heads AS (
+  SELECT own.*, conv_id - conv_id % {every} AS base, {crc32(digits)} % {most} AS h
+  FROM own, crc_table
+), rebuilt AS (
+  SELECT heads.conv_id,
+         list_concat(coalesce(b.t, [])[1 : h], heads.t[h + 1 :]) AS t,
+         list_concat(coalesce(b.n, [])[1 : h], heads.n[h + 1 :]) AS n
+  FROM heads LEFT JOIN own b ON b.conv_id = base
+), steps AS (
+  SELECT conv_id, d AS depth, len(t) = d AS ends, CASE WHEN d > 0 THEN n[d] ELSE 0 END AS chars,
+         sha256(array_to_string(t[1 : d], ',')) AS path,
+         CASE WHEN d > 0 THEN sha256(array_to_string(t[1 : d - 1], ',')) END AS parent
+  FROM (SELECT *, unnest(range(0, len(t) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT path, depth, min(conv_id) AS conv_id, any_value(parent) AS parent,
+         count(*) AS n_convs, any_value(chars) AS chars,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)
+                         FILTER (WHERE ends), '')) AS ends_sha256
+  FROM steps GROUP BY path, depth
+), children AS (
+  SELECT parent AS path, depth - 1 AS depth, count(*) AS n_children
+  FROM nodes WHERE depth > 0 GROUP BY ALL
+), counted AS (
+  SELECT nodes.*, coalesce(n_children, 0) AS n_children
+  FROM nodes LEFT JOIN children USING (path, depth)
+), totals AS (
+  SELECT a.path, a.depth, count(*) FILTER (WHERE n_children = 0) AS n_leaves,
+         CAST(sum((n_convs - 1) * c.chars) AS BIGINT) AS saved_tokens
+  FROM counted c JOIN steps a ON a.conv_id = c.conv_id AND a.depth <= c.depth
+  GROUP BY ALL
+)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children, n_leaves,
+       saved_tokens, c.ends_sha256
+FROM counted c JOIN totals USING (path, depth)
+LEFT JOIN nodes p ON p.path = c.parent AND p.depth = c.depth - 1
+"""
+
+
+OP11 = _op11(100, 6)
+
+
 def _op13(min_chars: int, least: int, ratio: int) -> str:
     letters = "[a-z\u00c0-\u00ff]"
     codes = """flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || w, ''),
@@ -276,5 +329,6 @@ STATEMENTS = {
     "op6_license_scan": OP6,
     "op9_topk_search": OP9,
     "op10_mixing": OP10,
+    "op11_prefix_trie": OP11,
     "op13_spelling_variants": OP13,
 }

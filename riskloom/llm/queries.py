@@ -14,6 +14,7 @@ from riskloom.llm import (
     mixing,
     near_dedup,
     packing,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     spelling,
@@ -127,6 +128,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "lang", "topic", "tokens", "probability", "kept")
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256."""
+    conversations = table(spark, sf_dir, "conversations")
+    turns, lengths = prefix_trie.stitched(prefix_trie.ordered(conversations))
+    return prefix_trie.trie(turns, lengths)
+
+
 def _dropped(doc_id: str, word: str) -> str:
     """The word, or for one in 31 of a document's words, the word without a character."""
     mark = zlib.crc32(f"{doc_id}:{word}".encode())

@@ -74,7 +74,7 @@ def test_words_of_texts(spark):
         (None, "colour colours", None),
         (2, None, ""),
         (3, "", ""),
-        (4, "abc×def ÿ" * 3, ""),
+        (4, "abc×def ÿ " * 3, ""),
         (5, "long " * 40_000, ""),
     ]
     docs = spark.createDataFrame(rows, "doc_id int, text string, word string")
