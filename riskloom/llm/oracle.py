@@ -275,6 +275,43 @@ LEFT JOIN nodes p ON p.path = c.parent AND p.depth = c.depth - 1
 OP11 = _op11(100, 6)
 
 
+def _op12(length: int) -> str:
+    return f"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS x,
+         strlen(coalesce(text, '')) AS n
+  FROM documents
+), windows AS (
+  SELECT r, p, md5(array_slice(x, p + 1, p + {length})) AS w
+  FROM (SELECT r, x, unnest(range(0, n - {length - 1})) AS p FROM texts WHERE n >= {length})
+), repeated AS (
+  SELECT r, p FROM windows JOIN (SELECT w FROM windows GROUP BY w HAVING count(*) > 1) USING (w)
+), apart AS (
+  SELECT r, p, coalesce(p - lag(p) OVER (PARTITION BY r ORDER BY p) > {length}, TRUE) AS fresh
+  FROM repeated
+), spans AS (
+  SELECT r, min(p) AS a, max(p) + {length} AS b FROM (
+    SELECT r, p, sum(fresh::INT) OVER (PARTITION BY r ORDER BY p) AS span FROM apart)
+  GROUP BY r, span
+), edges AS (
+  SELECT r, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS a, a AS b FROM spans
+  UNION ALL
+  SELECT r, max(b), NULL FROM spans GROUP BY r
+), cut AS (
+  SELECT r, count(*) - 1 AS n_spans,
+         unhex(string_agg(hex(array_slice(x, a + 1, coalesce(b, n))), '' ORDER BY a, b NULLS LAST))
+           AS kept
+  FROM edges JOIN texts USING (r) GROUP BY r
+)
+SELECT doc_id, n AS n_bytes, n - octet_length(coalesce(kept, x)) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(coalesce(kept, x)) AS kept_sha256
+FROM texts LEFT JOIN cut USING (r)
+"""
+
+
+OP12 = _op12(400)
+
+
 def _op13(min_chars: int, least: int, ratio: int) -> str:
     letters = "[a-z\u00c0-\u00ff]"
     codes = """flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || w, ''),
@@ -330,5 +367,6 @@ STATEMENTS = {
     "op9_topk_search": OP9,
     "op10_mixing": OP10,
     "op11_prefix_trie": OP11,
+    "op12_suffix_dedup": OP12,
     "op13_spelling_variants": OP13,
 }

@@ -18,6 +18,7 @@ from riskloom.llm import (
     quality_classifier,
     quality_rules,
     spelling,
+    suffix_dedup,
     token_counts,
     topk_search,
     warc,
@@ -136,6 +137,18 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(turns, lengths)
 
 
+@query
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut, names = suffix_dedup.without_repeats(docs, length=400)
+    return cut.select(
+        "doc_id",
+        *(names[c] for c in ("n_bytes", "n_removed", "n_spans")),
+        F.sha2(names["kept"], 256).alias("kept_sha256"),
+    )
+
+
 def _dropped(doc_id: str, word: str) -> str:
     """The word, or for one in 31 of a document's words, the word without a character."""
     mark = zlib.crc32(f"{doc_id}:{word}".encode())
