@@ -238,7 +238,8 @@ def read(archives: DataFrame, payloads: bool = True) -> DataFrame:
 
     kinds_sql = ["long", "string", "long", "string", "string", "long", "binary"]
     schema = ", ".join(f"{n} {k}" for n, k in zip(names, kinds_sql))
-    listed = archives.select("path").repartition(F.col("path"))
+    # With a number, else adaptive execution merges the tiny rows into one reading task.
+    listed = archives.select("path").repartition(max(1, archives.count()), "path")
     return listed.mapInArrow(run, schema)
 
 

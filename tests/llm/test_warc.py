@@ -6,6 +6,7 @@ import io
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from riskloom.llm import warc
 from riskloom.session import shared_folder
@@ -97,3 +98,16 @@ def test_empty_table_and_other_columns(spark):
     assert warc.read(warc.archive(spark.createDataFrame([], SCHEMA))).count() == 0
     pages = spark.createDataFrame([(1, "u", "h", "x", 2)], SCHEMA + ", digest string, payload int")
     assert warc.read(warc.archive(pages)).first().payload_bytes == 1
+
+
+def test_archives_are_read_by_a_task_each(spark):
+    pages = spark.range(4000).select(
+        F.col("id").alias("page_id"),
+        F.lit("http://x/").alias("url"),
+        F.repeat(F.md5(F.col("id").cast("string").cast("binary")), F.lit(20)).alias("html"),
+    )
+    archives = warc.archive(pages, archive_bytes=40_000)
+    n = archives.count()
+    records = warc.read(archives, payloads=False)
+    assert n > 8 and records.rdd.getNumPartitions() == n
+    assert records.count() == 4000
