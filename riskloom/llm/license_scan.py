@@ -5,7 +5,9 @@ k-word hashes of a document are joined with the hashes of the license templates;
 votes for the diagonal it lies on (its place in the document minus its place in the
 template). Neighbouring diagonals of a template are merged, so that an inserted or missing
 word does not split a span, and a span is verified: enough of the template's k-grams, hardly
-longer than the template, and words that are equal where they are aligned.
+longer than the template, and words that are equal where they are aligned. Notices that differ
+in a word find each other's places: a span stands only if no verified span of another label that
+overlaps it is better, by share of the k-grams, then by length of the template.
 
 The join is made in two steps. The few hundred template hashes are a constant set, so a
 document keeps only the places whose hash is among them, with the words around each. The
@@ -23,6 +25,7 @@ doc_id and text get the same result each. Null ids are looked up like others.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -167,7 +170,8 @@ def places(
 def spans(
     found: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, k: int = K
 ) -> DataFrame:
-    """doc_id, text_key, label, first, last, covered, verified: merged diagonals."""
+    """doc_id, text_key, label, first, last, covered, verified: merged diagonals. Of verified
+    spans of different labels that overlap only the best stays verified."""
     known = F.broadcast(template_grams(found.sparkSession, templates, k))
     hits = found.where(F.size("around") > 0).select(
         "doc_id", "text_key", F.explode("around").alias("hit")
@@ -204,12 +208,31 @@ def spans(
     )
     covered = F.col("places") / (F.col("t_size") - (k - 1))
     length = F.col("last") - F.col("first") + 1
-    return merged.withColumn("covered", covered).withColumn(
+    longest = F.greatest(F.ceil(F.col("t_size") * LONGER), F.col("t_size") + GAP)
+    merged = merged.withColumn("covered", covered).withColumn(
         "verified",
         (covered >= COVERED)
-        & (length <= F.ceil(F.col("t_size") * LONGER))
+        & (length <= longest)
         & (F.col("equal") >= F.col("t_size") * ALIGNED),
     )
+    merged = merged.withColumn(
+        "quality", F.struct("covered", "t_size", (-F.col("template")).alias("earlier"))
+    )
+    # A verified span is hardly longer than its template, so those that overlap start close by;
+    # their number follows from the templates, not from the document.
+    reach = max(len(t.split()) for _, t in templates)
+    reach = max(ceil(reach * LONGER), reach + GAP)
+    close = Window.partitionBy("doc_id", "text_key").orderBy("first").rangeBetween(-reach, reach)
+    rival = F.when(F.col("verified"), F.struct("label", "first", "last", "quality"))
+    merged = merged.withColumn("rivals", F.collect_list(rival).over(close))
+    beaten = F.exists(
+        "rivals",
+        lambda r: (r["label"] != F.col("label"))
+        & (r["first"] <= F.col("last"))
+        & (r["last"] >= F.col("first"))
+        & (r["quality"] > F.col("quality")),
+    )
+    return merged.withColumn("verified", F.col("verified") & ~beaten).drop("rivals", "quality")
 
 
 def scan(

@@ -25,7 +25,8 @@ def brute(text):
         base += at
         labels |= {label} if at else set()
     own, score = set(labels), 1.0 if base else 0.0
-    for label, template in ls.TEMPLATES:
+    verified = []
+    for number, (label, template) in enumerate(ls.TEMPLATES):
         t = template.split()
         grams = {}
         for p in range(len(t) - 2):
@@ -40,15 +41,21 @@ def brute(text):
             spans[-1].append(vote)
         for span in spans:
             covered = len({p for _, _, p in span}) / (len(t) - 2)
-            size = max(i for _, i, _ in span) + 3 - min(i for _, i, _ in span)
+            first, last = min(i for _, i, _ in span), max(i for _, i, _ in span) + 2
+            size = last + 1 - first
             equal = max(
                 sum(0 <= d + j < len(words) and words[d + j] == t[j] for j in range(len(t)))
                 for d, _, _ in span
             )
             score = max(score, min(covered, 1.0))
-            longest = -(-round(len(t) * ls.LONGER * 1000) // 1000)
+            longest = max(-(-round(len(t) * ls.LONGER * 1000) // 1000), len(t) + ls.GAP)
             if covered >= ls.COVERED and size <= longest and equal >= len(t) * ls.ALIGNED:
-                own.add(label)
+                verified.append((label, first, last, (covered, len(t), -number)))
+    for label, first, last, quality in verified:
+        if not any(
+            o[0] != label and o[1] <= last and o[2] >= first and o[3] > quality for o in verified
+        ):
+            own.add(label)
     return (
         len(words), len(base), min(base, default=None), max(base, default=None),
         ",".join(sorted(labels)), ",".join(sorted(own)), score,
@@ -129,3 +136,31 @@ def test_texts_without_a_gram_are_refused(spark):
         ls.places(docs, phrases={"mit license": "mit"})
     with pytest.raises(ValueError, match="gpl"):
         ls.template_grams(spark, [("gpl", "gpl v3")], ls.K)
+
+
+BY = "This work is licensed under a Creative Commons Attribution 4.0 International License."
+NC = BY.replace("Attribution", "Attribution-NonCommercial")
+
+
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        (BY, "cc-by"),
+        (NC, "cc-by-nc"),
+        (f"{BY} Some words in between, then {NC}", "cc-by,cc-by-nc"),
+        (BY.replace("under a", "under a kind of"), "cc-by"),
+        (NC.replace("under a", "under a kind of"), "cc-by-nc"),
+        (
+            "This source code form is now hereby subject to the terms of the Mozilla Public License, v. 2.0",
+            "mpl-2",
+        ),
+        (
+            "under the terms of the gnu general public license version 3 as published by the free"
+            " software foundation",
+            "gpl",
+        ),
+    ],
+)
+def test_notices_that_differ_in_a_word(spark, text, labels):
+    docs = spark.createDataFrame([(1, f"before that {text} after it")], "doc_id long, text string")
+    assert ls.scan(docs).first().labels == labels
