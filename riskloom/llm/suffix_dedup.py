@@ -33,16 +33,17 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.llm.common import byte_values, fresh, mixed, text_or_empty
 from riskloom.session import materialize
 
 LENGTH = 400
 GRAM = 64
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 LONGEST = 4096
 SEED = 12
-SEGMENT = ["a", "s1", "s2"]
+SEGMENT = ["a", "s"]
 
 
 @lru_cache(maxsize=4)
@@ -101,12 +102,39 @@ def text_segments(data: np.ndarray, length: int, gram: int) -> list[tuple[int, i
     return out
 
 
+def _compressed(df: DataFrame, text: str) -> DataFrame:
+    """df with its last column, a text, as compressed bytes: what a join has to move."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    out = T.StructType([*df.schema.fields[:-1], T.StructField(text, T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = to_arrow_schema(out)
+        for batch in batches:
+            packed = [
+                len(value).to_bytes(8, "little") + pa.compress(value, "zstd", asbytes=True)
+                for value in byte_values(batch.column(batch.num_columns - 1))
+            ]
+            last = pa.array(packed, schema.field(batch.num_columns - 1).type)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], last], names=schema.names)
+
+    return df.mapInArrow(run, out)
+
+
+def _texts(column: pa.Array) -> Iterator[bytes]:
+    """The texts of a column that _compressed made, one at a time."""
+    for value in column:
+        packed = value.as_py()
+        size = int.from_bytes(packed[:8], "little")
+        yield pa.decompress(packed[8:], size, "zstd", asbytes=True) if size else b""
+
+
 def _segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """key, at, n, a, s1, s2, twice, weight: the segments of texts (key, text). Equal texts of a
-    batch are one, their number is the weight."""
+    """key, at, n, a, s, twice, weight: the segments of texts (key, text), a their least hash and s
+    the digest of their bytes. Equal texts of a batch are one, their number is the weight."""
     schema = pa.schema(
         [("key", pa.binary()), ("at", pa.int32()), ("n", pa.int32()), ("a", pa.int64()),
-         ("s1", pa.int64()), ("s2", pa.int64()), ("twice", pa.bool_()), ("weight", pa.int64())]
+         ("s", pa.int64()), ("twice", pa.bool_()), ("weight", pa.int64())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,16 +150,15 @@ def _segments(texts: DataFrame, length: int, gram: int) -> DataFrame:
                     continue
                 for at, size, a, twice in text_segments(np.frombuffer(text, np.uint8), length, gram):
                     rows.append((key, at, size, a, twice, n))
-                    digests.append(xxhash.xxh3_128_digest(text[at : at + size + length - 1]))
+                    digests.append(xxhash.xxh3_64_digest(text[at : at + size + length - 1]))
             key, at, size, a, twice, n = zip(*rows) if rows else [()] * 6
-            pairs = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-            columns = [key, at, size, a, pairs[:, 0], pairs[:, 1], twice, n]
+            columns = [key, at, size, a, np.frombuffer(b"".join(digests), np.int64), twice, n]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, schema.types)], schema=schema
             )
 
     return texts.mapInArrow(
-        run, "key binary, at int, n int, a long, s1 long, s2 long, twice boolean, weight long"
+        run, "key binary, at int, n int, a long, s long, twice boolean, weight long"
     )
 
 
@@ -145,12 +172,15 @@ def smaller_than_next(data: np.ndarray) -> np.ndarray:
     return np.repeat(rises, np.diff(np.r_[-1, change, len(data) - 1]))
 
 
-def _refined(rank: np.ndarray, tied: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Split the groups of equal rank (all of their members tied) by a second value, in place;
-    the members of the groups that are left. A rank is the number of smaller members."""
-    order = np.lexsort((second, rank[tied]))
-    tied, second = tied[order], second[order]
+def _refined(rank: np.ndarray, tied: np.ndarray, second: np.ndarray, limit: int) -> np.ndarray:
+    """Split the groups of equal rank (all of their members tied) by a second value below limit,
+    in place; the members of the groups that are left. A rank is the number of smaller members."""
     old = rank[tied]
+    if int(old.max()) * limit < 2**63 - limit:  # one number for both sorts faster
+        order = np.argsort(old * limit + second)
+    else:
+        order = np.lexsort((second, old))
+    tied, second, old = tied[order], second[order], old[order]
     outer = np.r_[True, old[1:] != old[:-1]]
     inner = outer | np.r_[True, second[1:] != second[:-1]]
     places = np.arange(len(tied))
@@ -181,15 +211,15 @@ def sorted_directly(data: np.ndarray, smaller: np.ndarray, length: int) -> np.nd
         for i in range(done, done + 6):
             place = np.where(i < sizes[tied], starts[tied] + i, len(data))
             packed = packed << 10 | symbols[place]
-        tied = _refined(rank, tied, packed)
+        tied = _refined(rank, tied, packed, 1 << 60)
         done += 6
         tied = tied[sizes[tied] > done]
     size, step = np.bincount(rank, minlength=len(rank)), 1
     tied = np.flatnonzero(size[rank] > 1)
     while len(tied) and step < length:
         after = tied + step
-        second = np.where(after < len(rank), rank[np.minimum(after, len(rank) - 1)], -1)
-        tied = _refined(rank, tied, second)
+        second = np.where(after < len(rank), rank[np.minimum(after, len(rank) - 1)] + 1, 0)
+        tied = _refined(rank, tied, second, len(rank) + 1)
         step *= 2
     return starts[np.argsort(rank, kind="stable")]
 
@@ -231,19 +261,20 @@ def suffix_array(data: np.ndarray, length: int) -> np.ndarray:
     return array
 
 
-def common_prefixes(data: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
-    """Of each start but the last, the bytes shared with the next one, `length` at most. All
-    starts have that many bytes."""
+def shared_prefixes(data: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
+    """Whether each start but the last has a common prefix of `length` bytes with the next one.
+    All starts have that many bytes.
+
+    Neighbours in the array differ late, so their words are compared from the last one on.
+    """
     words = np.ndarray((len(data) - 7,), np.uint64, data.tobytes(), strides=(1,))
-    common = np.full(max(0, len(order) - 1), length, np.int64)
-    alive = np.arange(len(common))
-    for at in [*range(0, length - 7, 8), length - 8]:
-        differ = words[order[alive] + at] ^ words[order[alive + 1] + at]
-        ended = differ != 0
-        equal = (differ[ended].view(np.uint8).reshape(-1, 8) != 0).argmax(axis=1)
-        common[alive[ended]] = at + equal
-        alive = alive[~ended]
-    return common
+    left, right = order[:-1], order[1:]
+    alive = np.arange(len(left))
+    for at in [*range(length - 8, 0, -8), 0]:
+        alive = alive[words[left[alive] + at] == words[right[alive] + at]]
+    shared = np.zeros(len(left), bool)
+    shared[alive] = True
+    return shared
 
 
 def repeated_windows(parts: list[bytes], length: int) -> list[np.ndarray]:
@@ -255,7 +286,7 @@ def repeated_windows(parts: list[bytes], length: int) -> list[np.ndarray]:
         starts[end - length + 1 : end] = False
     order = suffix_array(data, length)
     order = order[starts[order]]
-    reach = common_prefixes(data, order, length) >= length
+    reach = shared_prefixes(data, order, length)
     repeated = np.zeros(len(data), bool)
     repeated[order[:-1][reach]] = True
     repeated[order[1:][reach]] = True
@@ -312,17 +343,17 @@ def _windows(pieces: DataFrame, length: int) -> DataFrame:
                 n = len(text) - length + 1
                 digests = b"".join(xxhash.xxh3_128_digest(text[j : j + length]) for j in range(n))
                 pairs = np.frombuffer(digests, np.int64).reshape(-1, 2)
-                same = [row["a"], row["s1"], row["s2"], row["key"], row["at"], 2 if row["whole"] else 1]
+                same = [row["a"], row["s"], row["key"], row["at"], 2 if row["whole"] else 1]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([v] * n, t) for v, t in zip(same, types)]
                     + [pa.array(np.arange(n), pa.int32()), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])],
                     names=names,
                 )
 
-    types = [pa.int64()] * 3 + [pa.binary(), pa.int32(), pa.int64()]
+    types = [pa.int64()] * 2 + [pa.binary(), pa.int32(), pa.int64()]
     all_windows = pieces.mapInArrow(
         run,
-        "a long, s1 long, s2 long, key binary, at int, weight long, i int, d1 long, d2 long",
+        "a long, s long, key binary, at int, weight long, i int, d1 long, d2 long",
     )
     all_windows = materialize(
         all_windows.dropDuplicates([*SEGMENT, "i"]), "suffix-windows"
@@ -338,17 +369,17 @@ def _windows(pieces: DataFrame, length: int) -> DataFrame:
 def _pieces(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """SEGMENT, key, at, whole, hot, bytes: the wanted segments, cut out of their texts."""
     names = [*SEGMENT, "key", "at", "whole", "hot", "bytes"]
-    types = [pa.int64()] * 3 + [pa.binary(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary()]
+    types = [pa.int64()] * 2 + [pa.binary(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, size = [], 0
             for key, segments, text in zip(
-                batch.column(0).to_pylist(), batch.column(1), byte_values(batch.column(2))
+                batch.column(0).to_pylist(), batch.column(1), _texts(batch.column(2))
             ):
                 for s in segments.as_py():
                     part = text[s["at"] : s["at"] + s["n"] + length - 1]
-                    rows.append((s["a"], s["s1"], s["s2"], key, s["at"], s["whole"], s["hot"], part))
+                    rows.append((s["a"], s["s"], key, s["at"], s["whole"], s["hot"], part))
                     size += len(part)
                 if size > BLOCK:
                     yield made(rows)
@@ -362,9 +393,10 @@ def _pieces(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
         )
 
     # One row of each text: a pair of key and id that is in the table.
-    return docs.join(wanted, ["key", "id"]).select("key", "segments", "text").mapInArrow(
+    packed = _compressed(docs.select("key", "id", "text"), "text")
+    return packed.join(wanted, ["key", "id"]).select("key", "segments", "text").mapInArrow(
         run,
-        "a long, s1 long, s2 long, key binary, at int, whole boolean, hot boolean, bytes binary",
+        "a long, s long, key binary, at int, whole boolean, hot boolean, bytes binary",
     )
 
 
@@ -383,7 +415,11 @@ def repeated_spans(
         docs.groupBy("key").agg(F.count(F.lit(1)).alias("n_texts"), F.min("id").alias("id")),
         "suffix-texts",
     )
-    kinds = segments.groupBy(*SEGMENT).agg(
+    # Most hashes occur once. The others go on, dealt by hash and digest: a hash may be hot.
+    counted = segments.groupBy("a").agg(F.sum("weight").alias("times"), F.max("twice").alias("twice"))
+    shared = segments.join(counted.where("times > 1 OR twice").select("a"), "a", "left_semi")
+    shared = materialize(shared, "suffix-shared")
+    kinds = shared.groupBy(*SEGMENT).agg(
         F.sum("weight").alias("times"),
         F.min(F.struct("key", "at")).alias("one"),
         F.max("twice").alias("twice"),
@@ -423,7 +459,7 @@ def repeated_spans(
         (F.col("at") + F.get("runs", F.col("pair") + 1) + length - 1).alias("to"),
     )
     spans = marked.select("key", span.alias("span"))
-    whole = segments.join(kinds.where("times > 1").select(*SEGMENT), SEGMENT, "left_semi")
+    whole = shared.join(kinds.where("times > 1").select(*SEGMENT), SEGMENT, "left_semi")
     whole = whole.join(texts.where("n_texts = 1"), "key", "left_semi").select(
         "key",
         F.struct(
@@ -445,7 +481,6 @@ def without_repeats(
     """docs with kept (the bytes that are left), n_bytes, n_removed and n_spans, and the (unused)
     names of these columns."""
     from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
     wanted = ("kept", "n_bytes", "n_removed", "n_spans")
     names = dict(zip(wanted, fresh(docs, *wanted)))
@@ -460,12 +495,13 @@ def without_repeats(
     found = repeated_spans(plain, length, gram, block_bytes).select(
         F.col("key").alias(key), F.col("n_texts").alias(n), F.col("spans").alias(spans)
     )
-    joined = keyed.join(found, key).select(*docs.columns, value, n, spans)
-    out = StructType(
+    packed = _compressed(keyed.select(*docs.columns, key, value), value)
+    joined = packed.join(found, key).select(*docs.columns, value, n, spans)
+    out = T.StructType(
         [
             *docs.schema.fields,
-            StructField(names["kept"], BinaryType()),
-            *[StructField(names[c], LongType()) for c in wanted[1:]],
+            T.StructField(names["kept"], T.BinaryType()),
+            *[T.StructField(names[c], T.LongType()) for c in wanted[1:]],
         ]
     )
     width = len(docs.columns)
@@ -475,7 +511,7 @@ def without_repeats(
         for batch in batches:
             kept, counts = [], []
             for data, times, cuts in zip(
-                byte_values(batch.column(width)),
+                _texts(batch.column(width)),
                 batch.column(width + 1).to_pylist(),
                 batch.column(width + 2),
             ):

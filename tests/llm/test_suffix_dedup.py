@@ -66,10 +66,12 @@ def test_only_smaller_suffixes_are_sorted_directly():
     assert sd.sorted_directly(data, smaller, 11).tolist() == [7, 4, 1]
 
 
-def test_common_prefixes():
-    data = b"abcdefghijklmnop-abcdefghijklmnop+abcdefghXX"
-    got = sd.common_prefixes(np.frombuffer(data, np.uint8), np.array([0, 17, 34 - 6]), 16)
-    assert got.tolist() == [16, 0]
+def test_shared_prefixes():
+    data = np.frombuffer(b"abcdefghijklmnop-abcdefghijklmnop+abcdefghXX", np.uint8)
+    for length in (8, 11, 16):
+        got = sd.shared_prefixes(data, np.array([0, 17, 28]), length)
+        assert got.tolist() == [True, False]
+    assert sd.shared_prefixes(data, np.array([17, 0, 18]), 17).tolist() == [False, False]
 
 
 def test_least_of_windows():
