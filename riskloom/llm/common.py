@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 # [\x20\x09-\x0D], which is also what bytes.split() and bytes.strip() take as white space.
 WHITE = b" \t\n\x0b\x0c\r"
-MEMO_LIMIT = 600_000
+MEMO_LIMIT = 250_000
 SLICE = 512
 
 
