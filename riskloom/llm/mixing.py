@@ -32,9 +32,8 @@ from riskloom.session import materialize
 
 log = logging.getLogger(__name__)
 
-SWEEPS = 12
-BOUNDED_SWEEPS = 60
-BOUNDED_ERROR = 1e-6
+SWEEPS = 60
+ERROR = 1e-10
 TEMPER = 0.8
 SEED = "mix-1"
 
@@ -85,26 +84,80 @@ def targeted(cells: DataFrame, targets: dict[str, DataFrame]) -> dict[str, DataF
     return {m: materialize(_shares(t, cells, m), "mix-targets") for m, t in targets.items()}
 
 
-def raked(cells: DataFrame, shares: dict[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
-    """cells (margins, tokens) with factor: tokens * factor has the wanted shares."""
-    total = cells.agg(F.sum("tokens")).first()[0] or 0
-    start = F.lit(1.0 / total if total else 1.0)
-    state = cells.withColumn("factor", start)
+# Per value of a margin: what is summed over its cells, the step of their factors, and how far
+# the value is off before that step.
+PLAIN = (
+    "sum(tokens * factor) AS have",
+    "CASE WHEN have > 0 THEN coalesce(want, 0) / have ELSE 1 END",
+    "abs(have - coalesce(want, 0))",
+)
+BOUNDED = (
+    "sum(CASE WHEN factor >= 1 THEN tokens ELSE 0 END) AS held,"
+    " sum(CASE WHEN factor >= 1 THEN 0 ELSE tokens * factor END) AS free,"
+    " sum(tokens * factor) AS whole",
+    "CASE WHEN free > 0 AND want > held THEN (want - held) / free"
+    " WHEN want < held THEN want / whole ELSE 1 END",
+    "coalesce(abs(held + free - want), 0)",
+)
+
+
+def _sweep(margins: list[str], rule: tuple[str, str, str]) -> str:
+    """SQL of one sweep over cells {state}, each margin with its {want_*}.
+
+    Sorted joins: a broadcast for each of many tiny joins fills the driver, and a step is already
+    partitioned by its margin.
+    """
+    sums, step, off = rule
+    parts = ["s0 AS (SELECT *, 0.0D AS miss FROM {state})"]
+    for i, margin in enumerate(margins):
+        parts.append(
+            f"""s{i + 1} AS (
+  SELECT /*+ MERGE(v) */ {", ".join(f"s.{m}" for m in margins)}, tokens, factor * step AS factor,
+         greatest(miss, off) AS miss
+  FROM s{i} s JOIN (
+    SELECT /*+ MERGE(w) */ h.{margin}, CAST({step} AS DOUBLE) AS step, CAST({off} AS DOUBLE) AS off
+    FROM (SELECT {margin}, {sums} FROM s{i} GROUP BY {margin}) h
+    LEFT JOIN {{want_{margin}}} w ON h.{margin} = w.{margin}
+  ) v ON s.{margin} = v.{margin})"""
+        )
+    return "WITH " + ",\n".join(parts) + f"\nSELECT * FROM s{len(margins)}"
+
+
+def _swept(
+    state: DataFrame,
+    wants: dict[str, DataFrame],
+    rule: tuple[str, str, str],
+    size: float,
+    sweeps: int,
+    error: float,
+) -> DataFrame:
+    """Sweeps until no margin misses its target by more than this part of the size.
+
+    Cells carry the largest miss of a sweep along, so it costs no join; each sweep is written,
+    so one is lost at most, and every sweep is the same small plan.
+    """
+    query, worst = _sweep(list(wants), rule), 0.0
+    named = {f"want_{m}": want for m, want in wants.items()}
     for _ in range(sweeps):
-        for margin, want in shares.items():
-            have = state.groupBy(margin).agg(F.sum(F.col("tokens") * F.col("factor")).alias("have"))
-            step = have.join(want, margin, "left").select(
-                margin,
-                F.when(F.col("have") > 0, F.coalesce("want", F.lit(0.0)) / F.col("have"))
-                .otherwise(F.lit(1.0))
-                .alias("step"),
-            )
-            state = state.join(step, margin).withColumn("factor", F.col("factor") * F.col("step"))
-            state = state.drop("step")
-        state = materialize(state, "mix-cells")  # a sweep is lost at most
+        swept = state.sparkSession.sql(query, state=state, **named)
+        swept = materialize(swept, "mix-cells")
+        state = swept.drop("miss")
+        worst = (swept.agg(F.max("miss")).first()[0] or 0.0) / size
+        if worst <= error:
+            return state
+    log.warning("raking: a margin misses its target by %.2g after %d sweeps", worst, sweeps)
     return state
 
 
+def raked(
+    cells: DataFrame, shares: dict[str, DataFrame], sweeps: int = SWEEPS, error: float = ERROR
+) -> DataFrame:
+    """cells (margins, tokens) with factor: tokens * factor has the wanted shares."""
+    total = cells.agg(F.sum("tokens")).first()[0] or 0
+    state = cells.withColumn("factor", F.lit(1.0 / total if total else 1.0))
+    return _swept(state, shares, PLAIN, 1.0, sweeps, error)
+
+
 def _reachable(cells: DataFrame, share: DataFrame, margin: str, size: float) -> DataFrame:
     """The tokens wanted of each value of a sample of this size, at most what there is."""
     have = cells.where("factor > 0").groupBy(margin).agg(F.sum("tokens").alias("have"))
@@ -125,21 +178,12 @@ def _reachable(cells: DataFrame, share: DataFrame, margin: str, size: float) ->
     return table.select(margin, F.least("have", F.col("want") * F.lit(each)).alias("want"))
 
 
-def _largest_miss(state: DataFrame, wants: dict[str, DataFrame], kept: Column) -> float:
-    """How far a value's kept tokens are from the wanted ones at most."""
-    worst = 0.0
-    for margin, want in wants.items():
-        have = state.groupBy(margin).agg(F.sum(F.col("tokens") * kept).alias("have"))
-        off = F.max(F.abs(F.col("have") - F.col("want")))
-        worst = max(worst, have.join(want, margin).agg(off).first()[0] or 0.0)
-    return worst
-
-
 def bounded(
     state: DataFrame,
     shares: dict[str, DataFrame],
     least: float,
-    sweeps: int = BOUNDED_SWEEPS,
+    sweeps: int = SWEEPS,
+    error: float = ERROR,
 ) -> DataFrame:
     """Raked cells with factor such that tokens * min(1, factor) has the wanted shares of a
     sample with this share of the tokens. Cells without a chance keep none."""
@@ -151,31 +195,8 @@ def bounded(
         m: materialize(_reachable(state, want, m, size), "mix-targets")
         for m, want in shares.items()
     }
-    state = state.withColumn("factor", F.col("factor") * F.lit(size / weight))
-    factor, full = F.col("factor"), F.col("factor") >= 1
-    kept = F.least(factor, F.lit(1.0))
-    for _ in range(sweeps):
-        for margin, want in wants.items():
-            sums = state.groupBy(margin).agg(
-                F.sum(F.when(full, F.col("tokens")).otherwise(0)).alias("held"),
-                F.sum(F.when(full, 0.0).otherwise(F.col("tokens") * factor)).alias("free"),
-                F.sum(F.col("tokens") * factor).alias("all"),
-            )
-            rest = F.col("want") - F.col("held")
-            step = (
-                F.when((F.col("free") > 0) & (rest > 0), rest / F.col("free"))
-                .when(rest < 0, F.col("want") / F.col("all"))
-                .otherwise(F.lit(1.0))
-            )
-            step = sums.join(want, margin, "left").select(margin, step.alias("step"))
-            state = state.join(step, margin).withColumn("factor", factor * F.col("step"))
-            state = state.drop("step")
-        state = materialize(state, "mix-cells")  # a sweep is lost at most
-        miss = _largest_miss(state, wants, kept) / size
-        if miss <= BOUNDED_ERROR:
-            return state
-    log.warning("bounded raking: a margin misses its target by %.2g of the sample", miss)
-    return state
+    scaled = state.withColumn("factor", F.col("factor") * F.lit(size / weight))
+    return _swept(scaled, wants, BOUNDED, size, sweeps, error)
 
 
 def drawn(doc_id: str, seed: str = SEED) -> Column:
@@ -193,12 +214,14 @@ def mix(
     sweeps: int = SWEEPS,
     seed: str = SEED,
     least: float | None = None,
+    error: float = ERROR,
 ) -> tuple[DataFrame, dict[str, str]]:
     """docs with tokens, probability and kept, and the (unused) names of these columns.
 
     targets: per margin the wanted share of each value (value as text, want); for a margin
     without one, shares are the present ones raised to a power. least: the share of the tokens
-    of wanted values that is kept at least; None leaves the size to the largest factor.
+    of wanted values that is kept at least; None leaves the size to the largest factor. error:
+    the part of the sample by which a margin may miss its target; raking stops there.
     """
     keys = dict(zip(margins, fresh(docs, *[f"margin_{i}" for i in range(len(margins))])))
     wanted = ("tokens", "probability", "kept")
@@ -218,7 +241,7 @@ def mix(
                 _key(F.col("value")).alias("value"), F.col("want").cast("double").alias("want")
             )
     shares = targeted(cells, wants)
-    state = raked(cells, shares, sweeps)
+    state = raked(cells, shares, sweeps, error)
     top, weight, usable = state.where("tokens > 0").agg(
         F.max("factor"),
         F.sum(F.col("tokens") * F.col("factor")),
@@ -226,7 +249,7 @@ def mix(
     ).first()
     top = top or 1.0
     if least and usable and weight / top < least * usable:
-        state, top = bounded(state, shares, min(least, 1.0)), 1.0
+        state, top = bounded(state, shares, min(least, 1.0), sweeps, error), 1.0
     chance = state.select(
         *keys.values(),
         F.round(F.least(F.col("factor") / F.lit(top), F.lit(1.0)), 6).alias(names["probability"]),

@@ -106,15 +106,23 @@ WITH texts AS (
   SELECT *, sum(fresh) OVER (PARTITION BY doc_id, template ORDER BY diagonal, i) AS span
   FROM apart
 ), merged AS (
-  SELECT doc_id, label, count(DISTINCT place) / (any_value(t_size) - 2) AS covered,
+  SELECT doc_id, template, label, any_value(t_size) AS t_size,
+         min(i) AS first, max(i) + 2 AS last,
+         count(DISTINCT place) / (any_value(t_size) - 2) AS covered,
          count(DISTINCT place) / (any_value(t_size) - 2) >= {ls.COVERED}
-           AND max(i) + 3 - min(i) <= ceil(any_value(t_size) * CAST({ls.LONGER} AS DOUBLE))
+           AND max(i) + 3 - min(i) <= greatest(
+             ceil(any_value(t_size) * CAST({ls.LONGER} AS DOUBLE)), any_value(t_size) + {ls.GAP})
            AND max(equal) >= any_value(t_size) * {ls.ALIGNED} AS verified
   FROM spans GROUP BY doc_id, template, label, span
+), beaten AS (
+  SELECT DISTINCT m.doc_id, m.template, m.first
+  FROM merged m JOIN merged o ON o.doc_id = m.doc_id AND o.verified AND o.label <> m.label
+   AND o.first <= m.last AND o.last >= m.first
+   AND (o.covered, o.t_size, -o.template) > (m.covered, m.t_size, -m.template)
 ), own AS (
   SELECT doc_id, max(covered) AS covered,
-         coalesce(list(label) FILTER (WHERE verified), []) AS labels
-  FROM merged GROUP BY doc_id
+         coalesce(list(label) FILTER (WHERE verified AND beaten.doc_id IS NULL), []) AS labels
+  FROM merged LEFT JOIN beaten USING (doc_id, template, first) GROUP BY doc_id
 ), base AS (
   SELECT doc_id, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word,
          list(label) AS labels
@@ -153,8 +161,10 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 """
 
 
-def _op10(margins: tuple[str, ...], sweeps: int, power: float, seed: str) -> str:
-    """The sweeps written out one after the other."""
+def _op10(
+    margins: tuple[str, ...], sweeps: int, power: float, least: float, seed: str
+) -> str:
+    """The sweeps written out one after the other: plain ones, then bounded ones."""
 
     def marks(mark: str) -> str:
         return f"(length(t) - length(replace(t, {mark}, '')))"
@@ -175,35 +185,76 @@ def _op10(margins: tuple[str, ...], sweeps: int, power: float, seed: str) -> str
     for m in margins:
         parts.append(
             f"""want_{m} AS MATERIALIZED (
-  SELECT {m}, have / sum(have) OVER () AS want
-  FROM (SELECT {m}, pow(sum(w), {power}) AS have FROM c0 GROUP BY {m}) WHERE have > 0)"""
+  SELECT {m}, have, have_p / sum(have_p) OVER () AS want
+  FROM (SELECT {m}, sum(w) AS have, pow(sum(w), {power}) AS have_p FROM c0 GROUP BY {m})
+  WHERE have > 0)"""
         )
     n = 0
     for _ in range(sweeps):
         for m in margins:
             parts.append(
                 f"""c{n + 1} AS MATERIALIZED (
-  SELECT source, lang, topic, w,
-         f * CASE WHEN have > 0 THEN coalesce(want, 0) / have ELSE 1 END AS f
+  SELECT x.source, x.lang, x.topic, w,
+         f * CASE WHEN x.have > 0 THEN coalesce(want, 0) / x.have ELSE 1 END AS f
   FROM (SELECT *, sum(w * f) OVER (PARTITION BY {m}) AS have FROM c{n}) x
-  LEFT JOIN want_{m} y ON x.{m} IS NOT DISTINCT FROM y.{m})""".replace(
-                    "SELECT source, lang, topic, w,", "SELECT x.source, x.lang, x.topic, w,"
-                )
+  LEFT JOIN want_{m} y ON x.{m} IS NOT DISTINCT FROM y.{m})"""
             )
             n += 1
+    # Values that have too few tokens are kept whole, the others share what is left of the size.
+    for m in margins:
+        parts.append(
+            f"""reach_{m} AS MATERIALIZED (
+  SELECT {m}, least(have, want * (
+           SELECT arg_min(each, ratio) FROM (
+             SELECT ({least} * total - held) / rest AS each, ratio, rest FROM (
+               SELECT have / want AS ratio,
+                      coalesce(sum(have) OVER before, 0) AS held,
+                      1 - coalesce(sum(want) OVER before, 0) AS rest, sum(have) OVER () AS total
+               FROM want_{m}
+               WINDOW before AS (ORDER BY have / want, {m}
+                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)))
+           WHERE rest > 0 AND ratio > each)) AS want
+  FROM want_{m})"""
+        )
+    parts.append(
+        f"""b0 AS MATERIALIZED (
+  SELECT source, lang, topic, w,
+         f * {least} * sum(w) FILTER (WHERE f > 0) OVER () / sum(w * f) OVER () AS f
+  FROM c{n})"""
+    )
+    k = 0
+    for _ in range(sweeps):
+        for m in margins:
+            parts.append(
+                f"""b{k + 1} AS MATERIALIZED (
+  SELECT x.source, x.lang, x.topic, w,
+         f * CASE WHEN free > 0 AND want > held THEN (want - held) / free
+                  WHEN want < held THEN want / all_of ELSE 1 END AS f
+  FROM (SELECT *, sum(CASE WHEN f >= 1 THEN w ELSE 0 END) OVER (PARTITION BY {m}) AS held,
+               sum(CASE WHEN f >= 1 THEN 0 ELSE w * f END) OVER (PARTITION BY {m}) AS free,
+               sum(w * f) OVER (PARTITION BY {m}) AS all_of
+        FROM b{k}) x
+  LEFT JOIN reach_{m} y ON x.{m} IS NOT DISTINCT FROM y.{m})"""
+            )
+            k += 1
     return "WITH " + ",\n".join(parts) + f"""
 SELECT doc_id, d.source, d.lang, d.topic, tokens, p AS probability,
        ('0x' || substr(md5('{seed}/' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT
          / 4294967296.0 < p AS kept
 FROM described d JOIN (
-  SELECT source, lang, topic, round(least(f / max(f) FILTER (WHERE w > 0) OVER (), 1.0), 6) AS p
-  FROM c{n}
+  SELECT c.source, c.lang, c.topic,
+         round(least(CASE WHEN plain THEN c.f / top ELSE b.f END, 1.0), 6) AS p
+  FROM (SELECT *, max(f) FILTER (WHERE w > 0) OVER () AS top,
+               sum(w * f) OVER () / max(f) FILTER (WHERE w > 0) OVER ()
+                 >= {least} * sum(w) FILTER (WHERE f > 0) OVER () AS plain FROM c{n}) c
+  JOIN b{k} b ON b.source IS NOT DISTINCT FROM c.source AND b.lang IS NOT DISTINCT FROM c.lang
+   AND b.topic = c.topic
 ) c ON d.source IS NOT DISTINCT FROM c.source AND d.lang IS NOT DISTINCT FROM c.lang
    AND d.topic = c.topic
 """
 
 
-OP10 = _op10(("source", "lang", "topic"), 12, 0.8, "mix-1")
+OP10 = _op10(("source", "lang", "topic"), 30, 0.8, 0.4, "mix-1")
 
 # Unsigned crc32 of a list of bytes, given crc_table.tab.
 CRC_TABLE = """

@@ -26,6 +26,9 @@ from riskloom.llm import (
 from riskloom.llm.common import table, text_or_empty
 from riskloom.session import materialize
 
+# The share of the words that op10_mixing keeps at least, however rare a value is.
+MIX_LEAST = 0.4
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -125,7 +128,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     described = materialize(described, "mix-documents")
     margins = {m: F.col(m) for m in ("source", "lang", "topic")}
-    mixed, _ = mixing.mix(described, margins, F.col("n_words"))
+    mixed, _ = mixing.mix(described, margins, F.col("n_words"), least=MIX_LEAST)
     return mixed.select("doc_id", "source", "lang", "topic", "tokens", "probability", "kept")
 
 
