@@ -47,7 +47,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         "lang": F.col("lang"),
         "topic": mixing.topic_of("text"),
     }
-    mixed, names = mixing.mix(docs, margins, mixing.words_of("text"), least=KEPT)
+    mixed, names = mixing.mix(docs, margins, mixing.words_of("text"), least=KEPT, error=1e-6)
     return mixed.where(F.col(names["kept"])).select(*docs.columns)
 
 
