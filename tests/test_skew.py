@@ -7,18 +7,14 @@ adaptive execution are small enough to split partitions of this size.
 from __future__ import annotations
 
 import os
-import sys
-from pathlib import Path
 
 import pytest
 from conftest import assert_same_result, duck_on
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+from riskloom.plans import catalog, oracle
 
-from __spark_entry__ import oracle_sql, queries  # noqa: E402
-
-QUERIES = queries()
-SQL = oracle_sql()
+QUERIES = catalog.QUERIES
+SQL = oracle.statements()
 SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
