@@ -7,10 +7,12 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.session import materialize
+
 REPORT_KEY = ["state", "county", "date"]
 REPORT_COUNTS = ["cases", "deaths"]
 
@@ -118,3 +120,43 @@ def latest_reports(good: DataFrame) -> DataFrame:
         F.pmod("best", F.lit(COUNT_RANGE)).cast("int").alias("deaths"),
         "copies",
     )
+
+
+def with_previous(good: DataFrame) -> DataFrame:
+    """Usable reports with the counts of the report before, per state and county in the order of
+    date, cases and deaths: previous_cases, previous_deaths, null for a county's first report.
+
+    Reports are sorted by range, so a county with very many lies in several tasks. Each looks
+    back within its own range; the last report of a range is carried into the next one of the
+    county, a row per county and range.
+    """
+    county = REPORT_KEY[:2]
+    order = [*county, "date", *REPORT_COUNTS]
+    ranged = good.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = materialize(ranged.withColumn("part", F.spark_partition_id()), "county-ranges")
+    last = F.struct("date", *REPORT_COUNTS)
+    ends = ranged.groupBy(*county, "part").agg(F.max(last).alias("end"))
+    earlier = F.lag("end").over(Window.partitionBy(*county).orderBy("part"))
+    carried = ends.withColumn("carried", earlier).drop("end").where("carried IS NOT NULL")
+    back = Window.partitionBy(*county, "part").orderBy("date", *REPORT_COUNTS)
+    joined = ranged.withColumn("before", F.lag(last).over(back)).join(
+        carried, [*county, "part"], "left"
+    )
+    before = F.coalesce("before", "carried")
+    return joined.select(
+        *good.columns, *[before[c].alias(f"previous_{c}") for c in REPORT_COUNTS]
+    )
+
+
+def quarantine_falling(good: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of usable reports those whose counts do not fall, and the others with a reason.
+
+    Counts are cumulative, so a report below the one before it in its county is inconsistent;
+    which of the two is wrong is not known, and the later one is set aside.
+    """
+    known = with_previous(good)
+    falls = reduce(
+        or_, [F.coalesce(F.col(c) < F.col(f"previous_{c}"), F.lit(False)) for c in REPORT_COUNTS]
+    )
+    bad = known.where(falls).withColumn("reason", F.lit("falling_count"))
+    return known.where(~falls).select(*good.columns), bad

@@ -20,6 +20,7 @@ from riskloom.sinks.messages import to_messages, write_message_files
 from riskloom.sources import reports as files
 from riskloom.sources import sample_tables as sample
 from riskloom.streaming.live import live_distribution
+from riskloom.streaming.once import without_copies
 from riskloom.streaming.scoring import (
     decode_reports,
     fault_counts,
@@ -285,6 +286,55 @@ def correlations(spark, sf_dir):
     return statistics.correlations(sample.scored_reports(spark, sf_dir), pairs)
 
 
+@query
+def distinct_counts(spark, sf_dir):
+    """Sketches per state, merged: per column the exact number of distinct values, and whether
+    it lies within the bounds that the sketches give."""
+    rows = sample.reports(spark, sf_dir)
+    columns = ["state", "county", "date", "cases", "deaths"]
+    sketches = statistics.distinct_sketches(rows, columns, by=["state"])
+    bounds = statistics.distinct_counts(materialize(sketches, "sketches"))
+    exact = rows.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
+                    for c in columns
+                ]
+            )
+        )
+    )
+    exact = exact.where("value IS NOT NULL").distinct()
+    exact = exact.groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_values"))
+    bounds = bounds.drop("distinct_values")
+    return exact.join(bounds, "column_name").select(
+        "column_name",
+        "filled_rows",
+        "distinct_values",
+        F.col("distinct_values").between(F.col("at_least"), F.col("at_most")).alias("within"),
+    )
+
+
+@query
+def frequent_values(spark, sf_dir):
+    rows = sample.reports(spark, sf_dir)
+    return statistics.frequent_values(rows, ["state", "county", "deaths", "cases", "note"], 0.005)
+
+
+@query
+def falling_reports(spark, sf_dir):
+    good, _ = cleaning.quarantine(sample.reports(spark, sf_dir).drop("note"))
+    _, bad = cleaning.quarantine_falling(good)
+    return bad
+
+
+@query
+def rising_reports(spark, sf_dir):
+    good, _ = cleaning.quarantine(sample.reports(spark, sf_dir).drop("note"))
+    kept, _ = cleaning.quarantine_falling(good)
+    return kept.groupBy("state").agg(F.count(F.lit(1)).alias("n"), F.sum("cases").alias("cases"))
+
+
 @query
 def union_feeds(spark, sf_dir):
     return files.union_feeds(
@@ -435,6 +485,25 @@ def stream_restarted(spark, sf_dir):
     return read_batches(spark, f"{folder}/predictions")
 
 
+@query
+def stream_deduplicated(spark, sf_dir):
+    """Every message twice: again in the same run, or in the next one after a restart."""
+    folder = shared_folder(spark, "stream")
+    rows = sample.reports(spark, sf_dir)
+    messages = file_messages(spark, f"{folder}/messages/*", max_bytes_per_trigger=MICRO_BATCH)
+    once = without_copies(messages, "4000 days")
+    scored = score_reports(decode_reports(once), sample.case_scorer)
+    writer = parquet_batches(f"{folder}/predictions")
+    third = F.pmod(F.dayofyear("date"), F.lit(3))
+    for run, parts in enumerate(([0, 1], [0, 2, 2], [1])):
+        for i, part in enumerate(parts):
+            write_message_files(rows.where(third == part), f"{folder}/messages/{run}-{i}")
+        start_batches(
+            scored, writer, f"{folder}/checkpoint", available_now=True
+        ).awaitTermination()
+    return read_batches(spark, f"{folder}/predictions")
+
+
 @query
 def message_quality(spark, sf_dir):
     """Good and rejected messages by kind of fault, from messages damaged in known places."""

@@ -21,6 +21,7 @@ from riskloom.sinks.files import write_partitioned
 from riskloom.sinks.paths import check_output
 from riskloom.sources.jdbc import JdbcTable, read_predictions
 from riskloom.sources.reports import UNREADABLE, read_reports, read_reports_csv
+from riskloom.streaming.once import without_copies
 from riskloom.streaming.scoring import fault_counts, judged_messages, score_reports
 from riskloom.streaming.sinks import BatchWriter, start_batches
 
@@ -151,13 +152,17 @@ def score_stream(
     interval: str | None = None,
     rejected: BatchWriter | None = None,
     on_counts: Callable[[int, dict[str, int]], None] | None = None,
+    once: str | None = None,
 ) -> StreamingQuery:
     """Messages to predictions to a sink; the model is loaded once, before the stream starts.
 
     The model is applied to each micro-batch as a plain table, which every kind of model
     allows. What a batch drops is counted while it is written, by kind of fault, and handed to
     on_counts, by default the log; with rejected the messages themselves are kept as well.
+    With once, a lateness such as "30 days", reports sent again are left out (without_copies).
     """
+    if once is not None:
+        messages = without_copies(messages, once)
     tell = on_counts or (lambda batch_id, counts: LOG.info("batch %s: %s", batch_id, counts))
 
     def write(batch: DataFrame, batch_id: int, stream: str) -> bool:

@@ -44,6 +44,14 @@ HELD_OUT = f"""
     SELECT state, county, date, risk_category, TRUE AS accurate FROM ({SIDES})
     WHERE side = 'held_out'"""
 
+# Usable reports with the counts of the report before in the county.
+PREVIOUS = """
+    SELECT state, county, date, cases, deaths,
+           lag(cases) OVER county_order AS previous_cases,
+           lag(deaths) OVER county_order AS previous_deaths
+    FROM facts WHERE cases >= 0 AND deaths >= 0
+    WINDOW county_order AS (PARTITION BY state, county ORDER BY date, cases, deaths)"""
+
 PREDICTED_ROWS = """
     SELECT state, county, date, risk_category, predicted_risk_category FROM preds"""
 
@@ -237,6 +245,40 @@ ON_FACTS = {
         FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY state, county, date
                                            ORDER BY cases DESC, deaths DESC) AS place
               FROM facts WHERE cases >= 0 AND deaths >= 0) WHERE place = 1""",
+    "distinct_counts": """
+        SELECT column_name, COUNT(value) AS filled_rows, COUNT(DISTINCT value) AS distinct_values,
+               TRUE AS within
+        FROM (SELECT 'state' AS column_name, state AS value FROM facts
+              UNION ALL SELECT 'county', county FROM facts
+              UNION ALL SELECT 'date', CAST(date AS VARCHAR) FROM facts
+              UNION ALL SELECT 'cases', CAST(cases AS VARCHAR) FROM facts
+              UNION ALL SELECT 'deaths', CAST(deaths AS VARCHAR) FROM facts)
+        GROUP BY column_name""",
+    "frequent_values": """
+        SELECT column_name, value, COUNT(*) AS n
+        FROM (SELECT 'state' AS column_name, state AS value FROM facts
+              UNION ALL SELECT 'county', county FROM facts
+              UNION ALL SELECT 'deaths', CAST(deaths AS VARCHAR) FROM facts
+              UNION ALL SELECT 'cases', CAST(cases AS VARCHAR) FROM facts
+              UNION ALL SELECT 'note', note FROM facts)
+        WHERE value IS NOT NULL GROUP BY column_name, value
+        HAVING COUNT(*) > 0.005 * (SELECT COUNT(*) FROM facts)""",
+    "falling_reports": f"""
+        SELECT *, 'falling_count' AS reason FROM ({PREVIOUS})
+        WHERE cases < previous_cases OR deaths < previous_deaths""",
+    "rising_reports": f"""
+        SELECT state, COUNT(*) AS n, CAST(SUM(cases) AS BIGINT) AS cases FROM ({PREVIOUS})
+        WHERE NOT coalesce(cases < previous_cases OR deaths < previous_deaths, FALSE)
+        GROUP BY state""",
+    "stream_deduplicated": """
+        SELECT state, county, date, risk_category, predicted_risk_category
+        FROM (SELECT DISTINCT * EXCLUDE (note),
+                CASE WHEN risk_score < 0 THEN 0 WHEN risk_score < 1000 THEN 1
+                     WHEN risk_score < 10000 THEN 2 WHEN risk_score < 100000 THEN 3
+                     ELSE 4 END AS risk_category,
+                CASE WHEN cases < 0 THEN 0 WHEN cases < 1000 THEN 1 WHEN cases < 10000 THEN 2
+                     WHEN cases < 100000 THEN 3 ELSE 4 END AS predicted_risk_category
+              FROM scored)""",
     "message_quality": """
         SELECT COUNT(*) AS messages,
                COUNT(*) FILTER (WHERE NOT gone AND cases >= 0 AND deaths IS NOT NULL) AS good,

@@ -98,3 +98,81 @@ def test_quantiles_are_within_their_rank_error(spark):
     for name, share in statistics.QUANTILES.items():
         rank = ranks.index(int(row[name]))
         assert abs(rank - share * len(values)) <= len(values) / accuracy + 1
+
+
+def test_distinct_counts_merge_and_hold_their_bounds(spark):
+    df = spark.range(30_000).select(
+        (F.col("id") % 7).alias("day"),
+        (F.col("id") % 20_011).alias("many"),
+        F.when(F.col("id") % 2 == 0, F.col("id") % 3).alias("few"),
+        F.lit(None).cast("int").alias("none"),
+    )
+    sketches = statistics.distinct_sketches(df, ["many", "few", "none"], by=["day"])
+    assert sketches.count() == 21
+    found = {r.column_name: r for r in statistics.distinct_counts(sketches).collect()}
+    assert found["many"].at_least <= 20_011 <= found["many"].at_most
+    assert found["many"].at_most - found["many"].at_least < 0.06 * 20_011
+    assert (found["few"].distinct_values, found["few"].filled_rows) == (3, 15_000)
+    assert (found["none"].distinct_values, found["none"].filled_rows) == (0, 0)
+    by_day = statistics.distinct_counts(sketches, by=["day"])
+    assert by_day.where("column_name = 'few'").count() == 7
+
+
+def test_frequent_values_are_all_found_with_their_counts(spark):
+    # Two frequent values hide among 40,000 that occur once, and nulls count as rows only.
+    value = (
+        F.when(F.col("id") % 50 == 0, F.lit("often"))
+        .when(F.col("id") % 60 == 1, F.lit("it's"))
+        .when(F.col("id") % 5 == 2, F.lit(None))
+        .otherwise(F.col("id").cast("string"))
+    )
+    df = spark.range(50_000).repartition(6).select(value.alias("v"), F.lit(1).alias("one"))
+    got = {(r.column_name, r.value): r.n for r in statistics.frequent_values(df, ["v", "one"]).collect()}
+    often = df.where("v = 'often'").count()
+    its = df.where(F.col("v") == "it's").count()
+    assert got == {("v", "often"): often, ("v", "it's"): its, ("one", "1"): 50_000}
+    assert statistics.frequent_values(df.limit(0), ["v"]).isEmpty()
+
+
+def test_a_report_below_the_one_before_is_set_aside(spark):
+    day = dt.date
+    rows = [
+        ("A", "x", day(2023, 1, 1), 5, 1),
+        ("A", "x", day(2023, 1, 2), 4, 1),  # falls
+        ("A", "x", day(2023, 1, 3), 4, 0),  # falls: deaths
+        ("A", "x", day(2023, 1, 4), 9, 0),
+        ("A", "x", day(2023, 1, 4), 9, 0),  # repeated
+        ("A", "y", day(2023, 1, 1), 1, 0),
+        ("B", "x", day(2023, 1, 1), 0, 0),
+    ]
+    df = spark.createDataFrame(rows, "state string, county string, date date, cases int, deaths int")
+    good, bad = cleaning.quarantine_falling(df)
+    assert good.columns == df.columns and good.count() == 5
+    assert sorted((r.date.day, r.previous_cases, r.previous_deaths, r.reason) for r in bad.collect()) == [
+        (2, 5, 1, "falling_count"),
+        (3, 4, 1, "falling_count"),
+    ]
+    empty, none = cleaning.quarantine_falling(df.limit(0))
+    assert empty.isEmpty() and none.isEmpty()
+
+
+def test_one_county_in_many_ranges(spark):
+    n = 5000
+    df = spark.range(n).select(
+        F.lit("A").alias("state"),
+        F.lit("x").alias("county"),
+        F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int")).alias("date"),
+        F.when(F.col("id") % 100 == 50, 0).otherwise(F.col("id")).cast("int").alias("cases"),
+        F.lit(0).alias("deaths"),
+    )
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        known = cleaning.with_previous(df.repartition(5)).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+    cases = {r.date: r.cases for r in known}
+    assert sum(r.previous_cases is None for r in known) == 1
+    for r in known:
+        if r.previous_cases is not None:
+            assert r.previous_cases == cases[r.date - dt.timedelta(1)]

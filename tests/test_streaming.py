@@ -14,6 +14,7 @@ from riskloom.sinks.jdbc import STARTED, _note, _tagged, append_batch_jdbc, writ
 from riskloom.sources.jdbc import SPREAD_VALUES, JdbcTable, read_predictions
 from riskloom.sources.sample_tables import case_scorer
 from riskloom.streaming.live import live_distribution
+from riskloom.streaming.once import without_copies
 from riskloom.streaming.scoring import decode_reports, score_reports
 from riskloom.streaming.sinks import (
     claim,
@@ -370,3 +371,28 @@ def test_late_rows_are_counted_until_the_watermark_passes(spark, folder):
     add("c", [1, 20])
     final = run()
     assert final[1] == 2 and final[2] == 2
+
+
+def test_reports_sent_again_are_left_out(spark, folder):
+    bad = "no report"
+    undated = report(7, date="some day")
+    put(f"{folder}/in", "a", [report(1), report(1), report(2), bad, bad])
+    messages = file_messages(spark, f"{folder}/in")
+    out = f"{folder}/out"
+
+    def run():
+        start_files(
+            without_copies(messages, "30 days"), out, f"{folder}/checkpoint", available_now=True
+        ).awaitTermination()
+        return sorted(r.value for r in spark.read.schema("value string").parquet(out).collect())
+
+    assert run() == sorted([report(1), report(2), bad, bad])
+    put(f"{folder}/in", "b", [report(2), report(3), undated])
+    assert run() == sorted([report(1), report(2), report(3), bad, bad, undated])
+    # A corrected count is another report; the same report late is left out, first or not.
+    put(f"{folder}/in", "c", [report(1, cases=77), report(4, date="2040-01-01")])
+    assert len(run()) == 8
+    put(f"{folder}/in", "d", [report(1), report(5, date="2030-01-01")])
+    assert len(run()) == 8
+    batch = without_copies(spark.read.text(f"{folder}/in"), "30 days")
+    assert batch.count() == 9
