@@ -49,7 +49,7 @@ def clock_text() -> Column:
 
 def day_instant(date: Column) -> Column:
     """Start of the day as an instant that does not depend on the session time zone."""
-    return F.timestamp_seconds(F.unix_date(F.to_date(date)) * F.lit(SECONDS_PER_DAY))
+    return F.timestamp_seconds(F.unix_date(F.to_date(date)).cast("long") * F.lit(SECONDS_PER_DAY))
 
 
 def day_of_instant(instant: Column) -> Column:
