@@ -361,9 +361,21 @@ def _windows(pieces: DataFrame, length: int) -> DataFrame:
     repeated = all_windows.groupBy("d1", "d2").agg(F.sum("weight").alias("times")).where("times > 1")
     marked = all_windows.where("weight = 1").join(repeated, ["d1", "d2"])
     # A segment has LONGEST windows at most.
-    marked = marked.groupBy("key", "at").agg(F.sort_array(F.collect_list("i")).alias("i"))
-    runs = F.flatten(F.transform("i", lambda i: F.array(i, (i + 1).cast("int"))))
-    return marked.select("key", "at", runs.alias("runs"))
+    marked = marked.groupBy("key", "at").agg(F.collect_list("i").alias("i"))
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            runs = []
+            for found in batch.column(2):
+                own = np.zeros(LONGEST, bool)
+                own[found.values.to_numpy()] = True
+                runs.append(_runs(own))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(runs, pa.list_(pa.int32()))],
+                names=["key", "at", "runs"],
+            )
+
+    return marked.mapInArrow(joined, "key binary, at int, runs array<int>")
 
 
 def _pieces(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
