@@ -34,6 +34,7 @@ log = logging.getLogger(__name__)
 
 SWEEPS = 60
 ERROR = 1e-10
+CELLS = 200_000  # in a file of a written sweep
 TEMPER = 0.8
 SEED = "mix-1"
 
@@ -102,22 +103,20 @@ BOUNDED = (
 
 
 def _sweep(margins: list[str], rule: tuple[str, str, str]) -> str:
-    """SQL of one sweep over cells {state}, each margin with its {want_*}.
+    """SQL of one sweep over cells {state}, which have the target of each margin's value.
 
-    Sorted joins: a broadcast for each of many tiny joins fills the driver, and a step is already
-    partitioned by its margin.
+    Sorted joins: a broadcast for each of many tiny joins fills the driver.
     """
     sums, step, off = rule
+    kept = ", ".join([*(f"s.{m}" for m in margins), *(f"want_{m}" for m in margins), "tokens"])
     parts = ["s0 AS (SELECT *, 0.0D AS miss FROM {state})"]
     for i, margin in enumerate(margins):
         parts.append(
             f"""s{i + 1} AS (
-  SELECT /*+ MERGE(v) */ {", ".join(f"s.{m}" for m in margins)}, tokens, factor * step AS factor,
-         greatest(miss, off) AS miss
+  SELECT /*+ MERGE(v) */ {kept}, factor * step AS factor, greatest(miss, off) AS miss
   FROM s{i} s JOIN (
-    SELECT /*+ MERGE(w) */ h.{margin}, CAST({step} AS DOUBLE) AS step, CAST({off} AS DOUBLE) AS off
-    FROM (SELECT {margin}, {sums} FROM s{i} GROUP BY {margin}) h
-    LEFT JOIN {{want_{margin}}} w ON h.{margin} = w.{margin}
+    SELECT {margin}, CAST({step} AS DOUBLE) AS step, CAST({off} AS DOUBLE) AS off
+    FROM (SELECT {margin}, max(want_{margin}) AS want, {sums} FROM s{i} GROUP BY {margin})
   ) v ON s.{margin} = v.{margin})"""
         )
     return "WITH " + ",\n".join(parts) + f"\nSELECT * FROM s{len(margins)}"
@@ -137,16 +136,19 @@ def _swept(
     so one is lost at most, and every sweep is the same small plan.
     """
     query, worst = _sweep(list(wants), rule), 0.0
-    named = {f"want_{m}": want for m, want in wants.items()}
+    for margin, want in wants.items():
+        state = state.join(want.withColumnRenamed("want", f"want_{margin}"), margin, "left")
+    parts = max(1, -(-state.count() // CELLS))
     for _ in range(sweeps):
-        swept = state.sparkSession.sql(query, state=state, **named)
-        swept = materialize(swept, "mix-cells")
+        swept = state.sparkSession.sql(query, state=state)
+        swept = materialize(swept.coalesce(parts), "mix-cells")
         state = swept.drop("miss")
         worst = (swept.agg(F.max("miss")).first()[0] or 0.0) / size
         if worst <= error:
-            return state
-    log.warning("raking: a margin misses its target by %.2g after %d sweeps", worst, sweeps)
-    return state
+            break
+    else:
+        log.warning("raking: a margin misses its target by %.2g after %d sweeps", worst, sweeps)
+    return state.drop(*(f"want_{m}" for m in wants))
 
 
 def raked(
