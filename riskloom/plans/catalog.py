@@ -19,7 +19,13 @@ from riskloom.sinks.files import export_csv as write_csv
 from riskloom.sinks.messages import to_messages, write_message_files
 from riskloom.sources import reports as files
 from riskloom.sources import sample_tables as sample
-from riskloom.streaming.live import live_distribution
+from riskloom.streaming.live import (
+    finished_days,
+    late_groups,
+    live_distribution,
+    open_days,
+    usable_rows,
+)
 from riskloom.streaming.once import without_copies
 from riskloom.streaming.scoring import (
     decode_reports,
@@ -28,6 +34,7 @@ from riskloom.streaming.scoring import (
     score_reports,
 )
 from riskloom.streaming.sinks import (
+    compact_batches,
     latest_result,
     parquet_batches,
     read_batches,
@@ -37,6 +44,7 @@ from riskloom.streaming.sinks import (
     stream_id,
 )
 from riskloom.streaming.sources import file_messages
+from riskloom.streaming.summary import read_summary, summary_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -553,6 +561,91 @@ def live_distribution_of_risk(spark, sf_dir):
     return _live(spark, scored, "risk_category", "date")
 
 
+def _by_year(rows):
+    """Reports in the order in which they come: year by year, but every seventh case count a
+    year late and every eleventh two years."""
+    delay = F.when(F.col("cases") % 11 == 0, 2).when(F.col("cases") % 7 == 0, 1).otherwise(0)
+    return rows.withColumn("arrival", F.year("date") + delay)
+
+
+def _finished(spark, sf_dir):
+    """A run of the live counts for each arrival; folder, and per run what the stream says."""
+    folder = shared_folder(spark, "live")
+    rows = _by_year(sample.reports(spark, sf_dir).where("date IS NOT NULL"))
+    first, last = rows.agg(F.min("arrival"), F.max("arrival")).first()
+    scored = score_reports(
+        decode_reports(file_messages(spark, f"{folder}/messages/*")), sample.case_scorer
+    )
+    days = finished_days(scored, "200 days")
+    told = []
+    for arrival in range(first, last + 1):
+        own = rows.where(F.col("arrival") == arrival).drop("arrival")
+        write_message_files(own, f"{folder}/messages/{arrival}")
+        run = start_batches(
+            days, parquet_batches(f"{folder}/days"), f"{folder}/checkpoint", available_now=True
+        )
+        run.awaitTermination()
+        told.append((arrival, sum(usable_rows(run).values()), sum(late_groups(run).values())))
+    return folder, told
+
+
+@query
+def live_finished_days(spark, sf_dir):
+    """Days given in append mode, and those that the state still holds."""
+    folder, _ = _finished(spark, sf_dir)
+    given = read_batches(spark, f"{folder}/days").withColumn("finished", F.lit(True))
+    still = open_days(spark, f"{folder}/checkpoint").withColumn("finished", F.lit(False))
+    return given.unionByName(still)
+
+
+@query
+def live_late_reports(spark, sf_dir):
+    """Per arrival the usable reports and the late pairs of day and category that the progress
+    tells, and the reports that finished days and the state hold after all: the others are
+    late."""
+    folder, told = _finished(spark, sf_dir)
+    told = spark.createDataFrame(told, "arrival INT, usable_rows LONG, late_groups LONG")
+    given = read_batches(spark, f"{folder}/days").select("n")
+    held = given.union(open_days(spark, f"{folder}/checkpoint").select("n")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("held")
+    )
+    return told.withColumn("held_rows", F.lit(held.first().held))
+
+
+def _in_four_runs(spark, sf_dir, writer_at, after_run=None):
+    """The message stream in four runs, a part of the reports each, and its last batch again."""
+    folder = shared_folder(spark, "stream")
+    rows = sample.reports(spark, sf_dir)
+    messages = file_messages(spark, f"{folder}/messages/*")
+    scored = score_reports(decode_reports(messages), sample.case_scorer)
+    out = f"{folder}/out"
+    writer = writer_at(out)
+    for part in range(4):
+        own = rows.where(F.pmod(F.quarter("date"), F.lit(4)) == part)
+        write_message_files(own, f"{folder}/messages/part{part}")
+        run = start_batches(scored, writer, f"{folder}/checkpoint", available_now=True)
+        run.awaitTermination()
+        if after_run:
+            after_run(spark, out)
+    last = decode_reports(spark.read.text(f"{folder}/messages/part3"))
+    writer(score_reports(last, sample.case_scorer), 3, stream_id(spark, f"{folder}/checkpoint"))
+    return out
+
+
+@query
+def summary_followed(spark, sf_dir):
+    """The dashboard's summary after four micro-batches and a replay, never counted anew."""
+    out = _in_four_runs(spark, sf_dir, summary_batches)
+    return read_summary(spark, out, sample.state_codes(spark, sf_dir))
+
+
+@query
+def stream_compacted(spark, sf_dir):
+    """Predictions of a stream whose batch folders are compacted after every run."""
+    out = _in_four_runs(spark, sf_dir, parquet_batches, compact_batches)
+    return read_batches(spark, out)
+
+
 # Models
 
 

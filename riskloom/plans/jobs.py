@@ -192,6 +192,7 @@ class Dashboard:
     summary: DataFrame
     source: Source
     codes: DataFrame | None = None
+    kept_summary: Callable[[], DataFrame] | None = None
 
     def category_distribution(self) -> DataFrame:
         return report.category_distribution(self.summary)
@@ -240,15 +241,25 @@ class Dashboard:
     def refresh(self) -> Dashboard:
         """Close this one and open the same source again, with what it holds by now."""
         self.close()
-        return open_dashboard(self.source, self.codes)
+        return open_dashboard(self.source, self.codes, self.kept_summary)
 
 
-def open_dashboard(source: Source, codes: DataFrame | None = None) -> Dashboard:
-    """A dashboard on predictions, or on what a function reads each time it is opened."""
+def open_dashboard(
+    source: Source,
+    codes: DataFrame | None = None,
+    kept_summary: Callable[[], DataFrame] | None = None,
+) -> Dashboard:
+    """A dashboard on predictions, or on what a function reads each time it is opened.
+
+    Counting all predictions again is left out where a stream keeps their summary up to date:
+    kept_summary then reads it (streaming.summary.read_summary).
+    """
     predictions = source() if callable(source) else source
     enriched = report.enrich_predictions(predictions, codes)
-    summary = report.summarise(predictions, codes).persist(StorageLevel.MEMORY_AND_DISK)
-    return Dashboard(enriched, summary, source, codes)
+    summary = kept_summary() if kept_summary else report.summarise(predictions, codes)
+    return Dashboard(
+        enriched, summary.persist(StorageLevel.MEMORY_AND_DISK), source, codes, kept_summary
+    )
 
 
 def open_jdbc_dashboard(

@@ -52,6 +52,20 @@ PREVIOUS = """
     FROM facts WHERE cases >= 0 AND deaths >= 0
     WINDOW county_order AS (PARTITION BY state, county ORDER BY date, cases, deaths)"""
 
+# Arrivals of reports, the watermark at each, and whether a report is late for it: the end of
+# its day has been passed by the latest day of the arrivals before, less 200 days.
+ARRIVALS = """
+    SELECT s.*, latest, CASE WHEN risk_score < 0 THEN 0 WHEN risk_score < 1000 THEN 1
+             WHEN risk_score < 10000 THEN 2 WHEN risk_score < 100000 THEN 3 ELSE 4 END AS risk_category,
+           coalesce(date + 1 <= latest - 200, FALSE) AS late
+    FROM (SELECT *, CAST(YEAR(date) + CASE WHEN cases % 11 = 0 THEN 2 WHEN cases % 7 = 0 THEN 1
+                         ELSE 0 END AS INT) AS arrival FROM scored) s
+    JOIN (SELECT arrival, MAX(MAX(date)) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING
+                                               AND 1 PRECEDING) AS latest
+          FROM (SELECT date, CAST(YEAR(date) + CASE WHEN cases % 11 = 0 THEN 2
+                       WHEN cases % 7 = 0 THEN 1 ELSE 0 END AS INT) AS arrival FROM scored)
+          GROUP BY arrival) w USING (arrival)"""
+
 PREDICTED_ROWS = """
     SELECT state, county, date, risk_category, predicted_risk_category FROM preds"""
 
@@ -279,6 +293,20 @@ ON_FACTS = {
                 CASE WHEN cases < 0 THEN 0 WHEN cases < 1000 THEN 1 WHEN cases < 10000 THEN 2
                      WHEN cases < 100000 THEN 3 ELSE 4 END AS predicted_risk_category
               FROM scored)""",
+    "live_finished_days": f"""
+        SELECT date AS day, risk_category, COUNT(*) AS n,
+               date + 1 <= (SELECT MAX(date) - 200 FROM scored) AS finished
+        FROM ({ARRIVALS}) WHERE NOT late GROUP BY date, risk_category""",
+    "live_late_reports": f"""
+        SELECT arrival, COUNT(*) AS usable_rows,
+               COUNT(DISTINCT CASE WHEN late THEN date || '/' || risk_category END) AS late_groups,
+               (SELECT COUNT(*) FROM ({ARRIVALS}) WHERE NOT late) AS held_rows
+        FROM ({ARRIVALS}) GROUP BY arrival""",
+    "summary_followed": """
+        SELECT p.state, c.state_code, date, risk_category, predicted_risk_category,
+               COUNT(*) AS report_rows
+        FROM preds p LEFT JOIN codes c ON p.state = c.state GROUP BY ALL""",
+    "stream_compacted": PREDICTED_ROWS,
     "message_quality": """
         SELECT COUNT(*) AS messages,
                COUNT(*) FILTER (WHERE NOT gone AND cases >= 0 AND deaths IS NOT NULL) AS good,

@@ -12,16 +12,26 @@ from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.sinks.jdbc import append_batch_jdbc
+from riskloom.sinks.versions import (
+    commit_version,
+    latest_version,
+    numbered,
+    remove,
+    remove_versions_before,
+    size_of,
+)
 from riskloom.sources.jdbc import JdbcTable
 
 # Gets a micro-batch, its number and the id of its stream; says whether it wrote anything.
 BatchWriter = Callable[[DataFrame, int, str], bool]
 
 OWNER = "_stream"
+BATCH = "batch_id"
+COMPACTED = "_compacted"
+SEGMENT = "segment"
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -102,14 +112,65 @@ def parquet_batches(path: str) -> BatchWriter:
         if stream not in claimed:
             claim(batch.sparkSession, path, stream)
             claimed.add(stream)
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        if batch_id <= _compacted(batch.sparkSession, path)["upto"]:
+            return False
+        batch.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
         return True
 
     return write
 
 
+def _compacted(spark: SparkSession, path: str) -> dict:
+    found = latest_version(spark, f"{path}/{COMPACTED}")
+    return found[1] if found else {"upto": -1, "segments": []}
+
+
+def _segments(path: str, numbers: list[int]) -> list[str]:
+    return [f"{path}/{COMPACTED}/{SEGMENT}={n}" for n in numbers]
+
+
+def _batches(path: str, numbers: list[int]) -> list[str]:
+    return [f"{path}/{BATCH}={n}" for n in numbers]
+
+
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("batch_id")
+    """The rows of all batches that were written whole, compacted or not."""
+    done = _compacted(spark, path)
+    later = [n for n in numbered(spark, path, BATCH) if n > done["upto"]]
+    folders = _segments(path, done["segments"]) + _batches(path, later)
+    return spark.read.parquet(*(folders or [path]))
+
+
+def compact_batches(spark: SparkSession, path: str, segment_bytes: int = 1 << 30) -> bool:
+    """Rewrite the folders of finished batches as one segment; say whether there were any.
+
+    The newest batch is left out, since only that one can come again. Segments below
+    segment_bytes are written anew together with the batches, so there are at most about
+    size / segment_bytes of them and a row is rewritten only until its segment is large enough.
+    Files have the advisory partition size. The segment counts once the version that names it is
+    committed; folders of the version before stay until the next compaction, so a reader that has
+    opened them can finish. One compaction runs at a time, beside the stream and its readers.
+    """
+    base = f"{path}/{COMPACTED}"
+    number, last = latest_version(spark, base) or (-1, {"upto": -1, "segments": []})
+    fresh = [n for n in numbered(spark, path, BATCH)[:-1] if n > last["upto"]]
+    if not fresh:
+        return False
+    number += 1
+    sizes = {n: size_of(spark, f) for n, f in zip(last["segments"], _segments(path, last["segments"]))}
+    small = [n for n in last["segments"] if sizes[n] < segment_bytes]
+    rows = spark.read.parquet(*_segments(path, small), *_batches(path, fresh))
+    rows.hint("rebalance").write.mode("overwrite").parquet(f"{base}/{SEGMENT}={number}")
+    segments = [n for n in last["segments"] if n not in small] + [number]
+    commit_version(spark, base, number, {"upto": fresh[-1], "segments": segments})
+    remove_versions_before(spark, base, number - 1)
+    for old in numbered(spark, path, BATCH):
+        if old <= last["upto"]:
+            remove(spark, f"{path}/{BATCH}={old}")
+    for old in numbered(spark, base, SEGMENT, whole=False):
+        if old < number and old not in {*segments, *last["segments"]}:
+            remove(spark, f"{base}/{SEGMENT}={old}")
+    return True
 
 
 def jdbc_batches(target: JdbcTable, **options: str) -> BatchWriter:
@@ -121,16 +182,26 @@ def jdbc_batches(target: JdbcTable, **options: str) -> BatchWriter:
     return write
 
 
-def latest_result(path: str) -> BatchWriter:
+def latest_result(path: str, keep: int = 3) -> BatchWriter:
     """Keep the whole result of a query in complete mode, a new folder for each micro-batch.
 
     read_latest takes the last complete one, so a reader never meets a result being replaced.
+    The last results stay for readers that have opened them, older ones are removed.
     """
-    return parquet_batches(path)
+    if keep < 1:
+        raise ValueError("keep at least the current result")
+    write_folder = parquet_batches(path)
+
+    def write(batch: DataFrame, batch_id: int, stream: str) -> bool:
+        wrote = write_folder(batch, batch_id, stream)
+        for old in numbered(batch.sparkSession, path, BATCH)[:-keep]:
+            remove(batch.sparkSession, f"{path}/{BATCH}={old}")
+        return wrote
+
+    return write
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
     """The result of the last micro-batch that was written whole."""
-    batches = spark.read.parquet(path)
-    last = batches.agg(F.max("batch_id")).first()[0]
-    return batches.where(F.col("batch_id") == F.lit(last)).drop("batch_id")
+    whole = numbered(spark, path, BATCH)
+    return spark.read.parquet(f"{path}/{BATCH}={whole[-1]}" if whole else path)
