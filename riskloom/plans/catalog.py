@@ -19,6 +19,7 @@ from riskloom.sinks.files import export_csv as write_csv
 from riskloom.sinks.messages import to_messages, write_message_files
 from riskloom.sources import reports as files
 from riskloom.sources import sample_tables as sample
+from riskloom.streaming.arrivals import arrival_counts, arriving_reports, start_ingest
 from riskloom.streaming.live import (
     finished_days,
     late_groups,
@@ -353,6 +354,23 @@ def union_feeds(spark, sf_dir):
     )
 
 
+@query
+def feeds_resolved(spark, sf_dir):
+    """One report per state and week: the orders' newest one, or else the lines'."""
+    week = F.date_trunc("week", "date").cast("date")
+    feeds = {
+        "orders": sample.order_reports(spark, sf_dir),
+        "lines": sample.reports(spark, sf_dir).drop("note"),
+    }
+    found = files.resolve_feeds(
+        {name: df.withColumn("week", week) for name, df in feeds.items()},
+        ["state", "week"],
+        "date",
+    )
+    lists = {c: F.array_join(c, ",") for c in ("sources", "differing")}
+    return found.withColumns(lists)
+
+
 # Files and tables, written and read back
 
 
@@ -410,6 +428,43 @@ def ingest_latest(spark, sf_dir):
     return files.read_reports(spark, f"{folder}/curated")
 
 
+def _arrivals(spark, sf_dir):
+    """Three arrivals of raw files and a run with nothing new; folder and the counts of each."""
+    folder = shared_folder(spark, "arrivals")
+    raw = sample.reports(spark, sf_dir).select(
+        F.date_format("date", RAW_DATE_FORMAT).alias("date"), "county", "state", "cases", "deaths"
+    )
+    told = []
+    for run in range(4):
+        if run < 3:
+            own = raw.where(F.pmod(F.coalesce("cases", F.lit(0)), F.lit(3)) == run)
+            own.write.csv(f"{folder}/raw/{run}", header=True)
+        started = start_ingest(
+            arriving_reports(spark, f"{folder}/raw/*"),
+            f"{folder}/raw",
+            f"{folder}/curated",
+            f"{folder}/checkpoint",
+            keys=["annee", "mois"],
+        )
+        started.awaitTermination()
+        told += [(run, *counts.values()) for counts in arrival_counts(started).values()]
+    return folder, told
+
+
+@query
+def ingest_arrivals(spark, sf_dir):
+    folder, _ = _arrivals(spark, sf_dir)
+    return files.read_reports(spark, f"{folder}/curated")
+
+
+@query
+def ingest_arrival_counts(spark, sf_dir):
+    _, told = _arrivals(spark, sf_dir)
+    schema = "arrival INT, read_rows LONG, unparsed_dates LONG, unreadable_lines LONG"
+    rows = spark.createDataFrame(told, schema)
+    return rows.groupBy("arrival").agg(*[F.sum(c).alias(c) for c in rows.columns[1:]])
+
+
 @query
 def export_csv(spark, sf_dir):
     folder = shared_folder(spark, "export")
@@ -688,6 +743,47 @@ def evaluation_metrics(spark, sf_dir):
     return learning.evaluate(sample.predictions(spark, sf_dir))
 
 
+FOLDS = 3
+
+CANDIDATES = {
+    "forest": jobs.Candidate("forest"),
+    "shallow_forest": jobs.Candidate("forest", {"numTrees": 3, "maxDepth": 1}),
+    "logistic": jobs.Candidate("logistic", {"maxIter": 10}),
+    "svm": jobs.Candidate("svm", {"maxIter": 3}),
+}
+
+
+@query
+def model_folds(spark, sf_dir):
+    """The training share by fold, with what identifies its rows."""
+    chosen, _ = learning.split(learning.training_rows(_model_reports(spark, sf_dir)))
+    return (
+        learning.with_fold(chosen, FOLDS)
+        .groupBy("fold", "state")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("cases").alias("cases"),
+            F.min("county").alias("first_county"),
+            F.max("date").alias("last_date"),
+        )
+    )
+
+
+@query
+def model_selection(spark, sf_dir):
+    """Per candidate whether it was chosen, whether the choice is as accurate as documented, and
+    the rows of all folds."""
+    reports = _model_reports(spark, sf_dir)
+    found = jobs.select_model(reports, CANDIDATES, FOLDS)
+    chosen, _ = learning.split(learning.training_rows(reports))
+    rows = [
+        (n, n == found.best, found.mean(found.best) > ACCURACY["forest"])
+        for n in CANDIDATES
+    ]
+    told = spark.createDataFrame(rows, "candidate STRING, chosen BOOLEAN, accurate BOOLEAN")
+    return told.withColumn("judged_rows", F.lit(chosen.count()))
+
+
 # Held-out accuracy that a model of each kind has to exceed.
 ACCURACY = {"forest": 0.95, "logistic": 0.95, "svm": 0.7}
 

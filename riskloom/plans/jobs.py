@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
@@ -129,6 +129,81 @@ def train_on(
     return Training(learning.train(materialize(rows, "training"), kind, **params), held_out)
 
 
+@dataclass(frozen=True)
+class Candidate:
+    """A kind of classifier with its parameters."""
+
+    kind: str
+    params: dict = field(default_factory=dict)
+
+
+@dataclass(frozen=True)
+class Selection:
+    """Accuracy of every candidate in every fold, and the one that is best on the mean.
+
+    None stands for a fold without whose rows a candidate cannot be fitted (learning.fits);
+    such a candidate has no mean and is not chosen.
+    """
+
+    accuracy: dict[str, list[float | None]]
+    best: str
+
+    def mean(self, name: str) -> float | None:
+        return _mean(self.accuracy[name])
+
+    def scores(self, spark: SparkSession) -> DataFrame:
+        """candidate, fold, accuracy."""
+        rows = [(n, i, a) for n, found in self.accuracy.items() for i, a in enumerate(found)]
+        return spark.createDataFrame(rows, "candidate STRING, fold INT, accuracy DOUBLE")
+
+
+def _mean(found: list[float | None]) -> float | None:
+    return None if not found or None in found else sum(found) / len(found)
+
+
+def select_model(
+    reports: DataFrame, candidates: dict[str, Candidate], folds: int = 3
+) -> Selection:
+    """Repeated validation: each candidate is fitted once per fold, without it, and judged on it.
+
+    Only the training share takes part, so the held-out reports can still judge the winner. The
+    share is written once, as plain rows for forests and as weighted ones for the others and for
+    judging, in both cases with the fold; a fold is a filter of that table. One aggregate counts
+    the hits of a fold, by weight. A fold without a row says nothing and is left out. Of equal
+    means the first candidate wins.
+    """
+    chosen, _ = learning.split(learning.training_rows(reports))
+    numbered = learning.with_fold(chosen, folds)
+    fold, label = F.col(learning.FOLD_COLUMN), F.col(learning.LABEL_COLUMN).cast("int")
+    plain = numbered.select(*learning.TRAINING_COLUMNS, fold)
+    weighted = materialize(learning.compact(plain), "folds-weighted")
+    tables = {True: weighted}
+    if not all(learning.weighted_by_default(c.kind) for c in candidates.values()):
+        tables[False] = materialize(plain, "folds-plain")
+    weight = F.sum(learning.WEIGHT_COLUMN).alias("n")
+    counts = weighted.groupBy(fold.alias("fold"), label.alias("label")).agg(weight).collect()
+    sizes = {i: sum(r.n for r in counts if r.fold == i) for i in sorted({r.fold for r in counts})}
+    accuracy: dict[str, list[float | None]] = {}
+    for name, candidate in candidates.items():
+        rows = tables[learning.weighted_by_default(candidate.kind)]
+        accuracy[name] = []
+        for i, size in sizes.items():
+            if not learning.fits(candidate.kind, {r.label for r in counts if r.fold != i}):
+                accuracy[name].append(None)
+                continue
+            model = learning.train(rows.where(fold != i), candidate.kind, **candidate.params)
+            judged = learning.predict(model, weighted.where(fold == i))
+            hit = label == F.col("predicted_risk_category")
+            hits = judged.where(hit).agg(weight).first().n
+            accuracy[name].append((hits or 0.0) / size)
+        LOG.info("%s: accuracy by fold %s", name, accuracy[name])
+    means = {n: _mean(found) for n, found in accuracy.items()}
+    able = [n for n in means if means[n] is not None]
+    if not able:
+        raise ValueError("no candidate can be fitted to every part of these reports")
+    return Selection(accuracy, max(able, key=lambda n: means[n]))
+
+
 def train(
     spark: SparkSession,
     reports_path: str,

@@ -244,6 +244,17 @@ ON_FACTS = {
     "model_unweighted_forest": HELD_OUT,
     "model_logistic": HELD_OUT,
     "model_svm": HELD_OUT,
+    "model_folds": f"""
+        SELECT fold, state, COUNT(*) AS n, CAST(SUM(cases) AS BIGINT) AS cases,
+               MIN(county) AS first_county, MAX(date) AS last_date
+        FROM (SELECT *, CAST(CAST('0x' || substr(md5(concat_ws('|', '{SPLIT_SEED}', state, county,
+                CAST(date AS VARCHAR), CAST(cases AS VARCHAR), CAST(deaths AS VARCHAR))), 9, 8)
+                AS BIGINT) % 3 AS INT) AS fold FROM ({SIDES}) WHERE side = 'train')
+        GROUP BY fold, state""",
+    "model_selection": f"""
+        SELECT candidate, candidate = 'forest' AS chosen, TRUE AS accurate,
+               (SELECT COUNT(*) FROM ({SIDES}) WHERE side = 'train') AS judged_rows
+        FROM (VALUES ('forest'), ('shallow_forest'), ('logistic'), ('svm')) AS c(candidate)""",
     "model_evaluate": f"""
         SELECT COUNT(*) AS scored_rows, TRUE AS accuracy, TRUE AS weighted_precision,
                TRUE AS weighted_recall, TRUE AS f1 FROM ({HELD_OUT})""",
@@ -307,6 +318,34 @@ ON_FACTS = {
                COUNT(*) AS report_rows
         FROM preds p LEFT JOIN codes c ON p.state = c.state GROUP BY ALL""",
     "stream_compacted": PREDICTED_ROWS,
+    "feeds_resolved": """
+        , feeds AS (
+          SELECT n_name AS state, c_name AS county, CAST(o_orderdate AS DATE) AS date,
+                 CAST(FLOOR(o_totalprice) AS INT) AS cases, CAST(NULL AS INT) AS deaths,
+                 'orders' AS source, 0 AS place
+          FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+          UNION ALL SELECT state, county, date, cases, deaths, 'lines', 1 FROM facts),
+        weeks AS (SELECT *, CAST(date_trunc('week', date) AS DATE) AS week FROM feeds),
+        found AS (
+          SELECT state, week, COUNT(*) AS reports,
+                 CASE WHEN MAX(place) = 0 THEN 'orders' WHEN MIN(place) = 1 THEN 'lines'
+                      ELSE 'orders,lines' END AS sources,
+                 concat_ws(',', CASE WHEN MIN(county) <> MAX(county) THEN 'county' END,
+                                CASE WHEN MIN(cases) <> MAX(cases) THEN 'cases' END,
+                                CASE WHEN MIN(deaths) <> MAX(deaths) THEN 'deaths' END) AS differing
+          FROM weeks GROUP BY state, week)
+        SELECT w.state, w.county, w.date, w.cases, w.deaths, w.source, w.week, f.reports,
+               f.sources, f.differing
+        FROM weeks w JOIN found f USING (state, week)
+        QUALIFY ROW_NUMBER() OVER (PARTITION BY state, week ORDER BY place, date DESC, county DESC,
+                                   cases DESC NULLS LAST, deaths DESC NULLS LAST) = 1""",
+    "ingest_arrivals": """
+        SELECT state, county, date, cases, deaths, CAST(MONTH(date) AS INT) AS mois,
+               CAST(DAY(date) AS INT) AS jour FROM facts""",
+    "ingest_arrival_counts": """
+        SELECT CAST(((coalesce(cases, 0) % 3) + 3) % 3 AS INT) AS arrival, COUNT(*) AS read_rows,
+               CAST(0 AS BIGINT) AS unparsed_dates, CAST(0 AS BIGINT) AS unreadable_lines
+        FROM facts GROUP BY 1""",
     "message_quality": """
         SELECT COUNT(*) AS messages,
                COUNT(*) FILTER (WHERE NOT gone AND cases >= 0 AND deaths IS NOT NULL) AS good,

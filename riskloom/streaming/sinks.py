@@ -8,7 +8,7 @@ is another one, whose batches start at 0 again.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -65,9 +65,12 @@ def start_files(
     checkpoint: str,
     available_now: bool = False,
     interval: str | None = None,
+    keys: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Append to Parquet files through Spark's own exactly-once file sink."""
+    """Append to Parquet files, in folders by keys, through Spark's own exactly-once file sink."""
     writer = stream.writeStream.format("parquet").option("path", path)
+    if keys:
+        writer = writer.partitionBy(*keys)
     return _start(writer.option("checkpointLocation", checkpoint), available_now, interval)
 
 
