@@ -772,12 +772,15 @@ def model_folds(spark, sf_dir):
 @query
 def model_selection(spark, sf_dir):
     """Per candidate whether it was chosen, whether the choice is as accurate as documented, and
-    the rows of all folds."""
+    the rows of all folds.
+
+    Measured means at sf 0.001 and 0.01: logistic 0.976 and 0.982, forest 0.965 and 0.970, shallow
+    forest 0.889 and 0.886, svm (three iterations) none and 0.842."""
     reports = _model_reports(spark, sf_dir)
     found = jobs.select_model(reports, CANDIDATES, FOLDS)
     chosen, _ = learning.split(learning.training_rows(reports))
     rows = [
-        (n, n == found.best, found.mean(found.best) > ACCURACY["forest"])
+        (n, n == found.best, found.mean(found.best) > ACCURACY["logistic"])
         for n in CANDIDATES
     ]
     told = spark.createDataFrame(rows, "candidate STRING, chosen BOOLEAN, accurate BOOLEAN")

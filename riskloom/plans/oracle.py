@@ -252,7 +252,7 @@ ON_FACTS = {
                 AS BIGINT) % 3 AS INT) AS fold FROM ({SIDES}) WHERE side = 'train')
         GROUP BY fold, state""",
     "model_selection": f"""
-        SELECT candidate, candidate = 'forest' AS chosen, TRUE AS accurate,
+        SELECT candidate, candidate = 'logistic' AS chosen, TRUE AS accurate,
                (SELECT COUNT(*) FROM ({SIDES}) WHERE side = 'train') AS judged_rows
         FROM (VALUES ('forest'), ('shallow_forest'), ('logistic'), ('svm')) AS c(candidate)""",
     "model_evaluate": f"""
