@@ -17,6 +17,7 @@ Rows are documents.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
@@ -26,18 +27,36 @@ from riskloom.llm.common import MEMO_LIMIT, add_by_text, fresh
 
 MARK = "▁"
 LONG_WORD = 256
+RANK_SHIFT = 2.7
 
 
 def vocabulary(path: str) -> dict[str, float]:
-    """The pieces and scores of a sentence-piece file, without control and byte pieces."""
+    """The pieces of a sentence-piece file and the logarithms of their probabilities.
+
+    Control and byte pieces are left out. A unigram file has the logarithms; the scores of a file
+    of merges are whole numbers that fall with the rank, from which rank_law makes them.
+    """
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    return {
+    scores = {
         model.id_to_piece(i): model.get_score(i)
         for i in range(model.get_piece_size())
         if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))
     }
+    return rank_law(scores) if all(s == int(s) for s in scores.values()) else scores
+
+
+def rank_law(scores: dict[str, float]) -> dict[str, float]:
+    """Logarithms of probabilities that fall as 1 / (rank + RANK_SHIFT) and sum to one.
+
+    Frequencies of words follow such a law; merges are ranked by the frequency of what they make.
+    Equal scores share a rank.
+    """
+    ranks = {s: i + 1 for i, s in enumerate(sorted(set(scores.values()), reverse=True))}
+    weights = {piece: 1 / (ranks[s] + RANK_SHIFT) for piece, s in scores.items()}
+    total = math.log(math.fsum(weights.values()))
+    return {piece: math.log(w) - total for piece, w in weights.items()}
 
 
 class TrieCounter:

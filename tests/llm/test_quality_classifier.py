@@ -1,10 +1,15 @@
 from __future__ import annotations
 
+import math
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from conftest import duck_on
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from riskloom.llm import quality_classifier as qc
 from riskloom.llm.queries import QUERIES
@@ -37,6 +42,67 @@ def test_held_out_accuracy(scored):
     assert len(test) > 50 and right >= 0.95 * len(test)
 
 
+def plain_statistics(text):
+    """Every measure by itself, on characters instead of bytes."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    n, chars = len(words), sum(map(len, words))
+    lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    letters = len(re.findall(r"[A-Za-z]", text))
+    windows = [tuple(words[i : i + 3]) for i in range(n - 2)]
+    often = {w for w, k in Counter(windows).items() if k > 1}
+    repeated = {i + j for i, w in enumerate(windows) if w in often for j in range(3)}
+
+    def root(part, whole):
+        return math.sqrt(part / whole) if whole else 0.0
+
+    def found(pattern):
+        return len(re.findall(pattern, text))
+
+    return {
+        "log_words": math.log(1 + n),
+        "word_length": math.log(1 + chars / n) if n else 0.0,
+        "symbols": root(found(r"[#*$%&|<>]"), n),
+        "upper": root(found(r"[A-Z]"), letters),
+        "marks": root(found(r"!"), n),
+        "digits": root(found(r"[0-9]"), chars),
+        "letters": root(letters + found(r"[^\x00-\x7F]"), chars),
+        "variety": root(len(set(words)), n),
+        "repeats": root(len(repeated), n),
+        "adjacent": root(sum(a == b for a, b in zip(words, words[1:])), n),
+        "dup_lines": root(len(lines) - len(set(lines)), len(lines)),
+        "line_words": math.log(1 + n / len(lines)) if lines else 0.0,
+        "ends": root(found(r"[.?!]"), n),
+        "singles": root(sum(len(w.encode()) == 1 for w in words), n),
+        "compression": root(found(r"[.,;:!?|]"), chars),
+    }
+
+
+def assert_plain(text, values):
+    expected = plain_statistics(text)
+    assert tuple(expected) == qc.STATISTICS
+    assert dict(zip(qc.STATISTICS, values)) == pytest.approx(expected, abs=1e-12)
+
+
+WORDS = st.sampled_from(["a", "the", "Cat", "é", "中文", "#1", "x|y", "OK!", "end.", "42"])
+GAPS = st.sampled_from([" ", "\n", "\t", " \n\n ", "\x0b", "\u00a0"])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(WORDS, GAPS), max_size=40))
+def test_statistics_equal_a_plain_version(parts):
+    text = "".join(word + gap for word, gap in parts)
+    assert_plain(text, qc.statistics(text.encode()))
+
+
+def test_statistics_of_whole_documents_equal_a_plain_version(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    rows, name = qc.with_statistics(docs)
+    found = rows.collect()
+    assert len(found) == docs.count()
+    for r in found:
+        assert_plain(r.text or "", r[name])
+
+
 def test_fit_and_scores_equal_a_plain_version(spark):
     random = np.random.default_rng(4)
     n = len(qc.STATISTICS)

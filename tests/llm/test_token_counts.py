@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import math
+
+import pytest
 from conftest import duck_on
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -40,6 +43,15 @@ def test_trie_equals_brute_force(words):
         assert counter.counts[w.encode()] == brute(w, TOY) == counter.long(w.encode())
 
 
+def test_scores_are_logarithms_of_probabilities():
+    pieces = tc.vocabulary(PATH)
+    assert math.fsum(map(math.exp, pieces.values())) == pytest.approx(1)
+    assert max(pieces.values()) < 0
+    law = tc.rank_law({"a": 0.0, "b": -1.0, "c": -1.0, "d": -7.0})
+    assert law["b"] == law["c"] and law["a"] > law["b"] > law["d"]
+    assert math.exp(law["a"] - law["d"]) == pytest.approx((3 + 2.7) / (1 + 2.7))
+
+
 def test_shared_prefixes_are_scored_once():
     counter = tc.TrieCounter(TOY)
     counter.learn([b"abab", b"ababa", b"ababb", b"b"])
