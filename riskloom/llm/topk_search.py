@@ -6,10 +6,11 @@ component, its largest and smallest value. For a query a block cannot score more
 sum over its terms of the larger of the two products. Queries visit the blocks of a shard
 in the order of these sums and stop when the next sum falls below their k-th score.
 
-Queries first search the shard they lie in; its k-th score is the floor with which they
-visit the others, so most blocks are left out. Queries are dealt to batches of a bounded
-size; a task has one shard and one batch. Nothing is approximate: pivots decide the order
-only.
+Queries first search the shard they lie in; its k-th score is the floor for all others. The
+stored extremes of the blocks, many shards at a time, tell which shards have a block that can
+reach the floor; only to these the query is sent, and only for these a shard's forward index
+is. Queries are dealt to batches of a bounded size; a task has one shard and one batch.
+Nothing is approximate: pivots decide the order only.
 
 Defined cases: vectors that are null or hold null, NaN or infinite components take no part,
 nor do rows without an id. A shorter vector counts as filled up with zeros; an empty one
@@ -35,6 +36,8 @@ PIVOT_SAMPLE = 512  # rows with the smallest hashes, from which pivots are taken
 SHARD_ROWS = 8192
 BLOCK_ROWS = 128
 BATCH_QUERIES = 1024
+REGION_SHARDS = 64  # whose block extremes one task holds
+SLICE_QUERIES = 128
 EXACT = 2.0**53
 
 
@@ -141,6 +144,88 @@ def blocks(placed: DataFrame, centres: np.ndarray, block_rows: int = BLOCK_ROWS)
     return placed.groupBy("shard").applyInArrow(cut, schema)
 
 
+def _extremes(index: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The stored largest and smallest components, a row per block."""
+    width = max(index["width"].to_pylist())
+    out = [np.zeros((index.num_rows, width), np.int64) for _ in range(2)]
+    for matrix, name in zip(out, ("highest", "lowest")):
+        for row, blob in zip(matrix, index[name].to_pylist()):
+            values = np.frombuffer(blob, np.int64)
+            row[: len(values)] = values
+    return out[0], out[1]
+
+
+def _as_long(scores: np.ndarray) -> np.ndarray:
+    """Scores that do not fit a long become the closest one that does."""
+    if scores.dtype != object:
+        return scores
+    return np.minimum(np.maximum(scores, -(2**63)), 2**63 - 1)
+
+
+def _bounds(asked: np.ndarray, highest: np.ndarray, lowest: np.ndarray) -> np.ndarray:
+    """What no row of a block exceeds, for each query and block."""
+    zero = asked * 0
+    return _as_long(np.maximum(asked, zero) @ highest.T + np.minimum(asked, zero) @ lowest.T)
+
+
+def _visits(index: pa.Table, queries: pa.Table) -> pa.Table:
+    """The queries with each shard, but their home, that has a block which reaches their floor."""
+    asked, highest, lowest = _numbers(_matrix(queries["vector"]), *_extremes(index))
+    shards, at = np.unique(index["shard"].to_numpy(), return_inverse=True)
+    order = np.argsort(at, kind="stable")
+    starts = np.searchsorted(at[order], np.arange(len(shards)))
+    home, floors = queries["home"].to_numpy(), queries["floor"].to_pylist()
+    rows, to = [], []
+    for first in range(0, len(asked), SLICE_QUERIES):
+        part = slice(first, first + SLICE_QUERIES)
+        bounds = _bounds(asked[part], highest[order], lowest[order])
+        best = np.maximum.reduceat(bounds, starts, axis=1)
+        for q, (own, floor) in enumerate(zip(home[part], floors[part])):
+            open_ = shards != own
+            if floor is not None:
+                open_ &= (best[q] >= floor).astype(bool)
+            to.append(shards[open_])
+            rows.append(np.full(int(open_.sum()), first + q))
+    out = queries.select(["query_id", "vector", "floor"]).take(pa.array(np.concatenate(rows)))
+    return out.append_column("shard", pa.array(np.concatenate(to), pa.int64()))
+
+
+def _visited(index: DataFrame, queries: DataFrame, n_shards: int, batch_queries: int) -> DataFrame:
+    """query_id, vector, floor, shard: where each query has to look beyond its home.
+
+    A task holds the block extremes of a region, about REGION_SHARDS shards, and a batch of
+    queries; vectors are shipped once to each region, extremes once to each batch.
+    """
+    regions = -(-n_shards // REGION_SHARDS)
+    batches = max(1, -(-queries.count() // batch_queries))
+    extremes = index.select(
+        F.pmod(F.xxhash64("shard"), F.lit(regions)).alias("region"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(batches - 1).cast("long"))).alias("batch"),
+        *("shard", "width", "highest", "lowest"),
+    )
+    asked = queries.select(
+        "query_id",
+        "vector",
+        "floor",
+        F.col("shard").alias("home"),
+        F.pmod(F.xxhash64("query_id"), F.lit(batches)).alias("batch"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(regions - 1).cast("long"))).alias("region"),
+    )
+    names = ["query_id", "vector", "floor", "shard"]
+    kinds = [pa.int64(), pa.list_(pa.int64()), pa.int64(), pa.int64()]
+
+    def run(queries: pa.Table, index: pa.Table) -> pa.Table:
+        if not (index.num_rows and queries.num_rows):
+            return pa.table({n: pa.array([], k) for n, k in zip(names, kinds)})
+        return _visits(index, queries)
+
+    return (
+        asked.groupBy("region", "batch")
+        .cogroup(extremes.groupBy("region", "batch"))
+        .applyInArrow(run, "query_id long, vector array<long>, floor long, shard long")
+    )
+
+
 def _search(index: pa.Table, queries: pa.Table, k: int) -> tuple[list, list, list]:
     """query ids, ids and scores of what may be among each query's k best."""
     width = index["width"][0].as_py()
@@ -149,11 +234,8 @@ def _search(index: pa.Table, queries: pa.Table, k: int) -> tuple[list, list, lis
         for b, i in zip(index["forward"].to_pylist(), index["ids"].to_pylist())
     ]
     ids = [np.frombuffer(b, np.int64) for b in index["ids"].to_pylist()]
-    asked, *rows = _numbers(_matrix(queries["vector"]), *forward)
-    highest = np.stack([r.max(axis=0) for r in rows])
-    lowest = np.stack([r.min(axis=0) for r in rows])
-    zero = asked * 0
-    bounds = np.maximum(asked, zero) @ highest.T + np.minimum(asked, zero) @ lowest.T
+    asked, highest, lowest, *rows = _numbers(_matrix(queries["vector"]), *_extremes(index), *forward)
+    bounds = _bounds(asked, highest, lowest)
     found = ([], [], [])
     for q, query_id, floor in zip(
         range(len(asked)), queries["query_id"].to_pylist(), queries["floor"].to_pylist()
@@ -162,9 +244,7 @@ def _search(index: pa.Table, queries: pa.Table, k: int) -> tuple[list, list, lis
         for b in np.argsort(-bounds[q], kind="stable"):
             if least is not None and bounds[q, b] < least:
                 break
-            scores = rows[b] @ asked[q]
-            if scores.dtype == object:
-                scores = np.minimum(np.maximum(scores, -(2**63)), 2**63 - 1)
+            scores = _as_long(rows[b] @ asked[q])
             keep = ids[b] != query_id
             if least is not None:
                 keep &= (scores >= least).astype(bool)
@@ -227,20 +307,17 @@ def search(
     floor = F.when(F.col("n") >= k, F.col("least"))
     queries = asked.join(floors, "query_id", "left").withColumn("floor", floor)
     queries = materialize(queries.select("query_id", "vector", "shard", "floor"), "topk-queries")
-    batches = max(1, -(-queries.count() // batch_queries))
-    shards = index.select("shard").distinct()
-    n_shards = shards.agg(F.max("shard")).first()[0]
-    if n_shards is None:
+    n_shards = index.select("shard").distinct().count()
+    if n_shards < 2:
         return _best(first, k).select("query_id", "rank", "vec_id", "score")
-    batch = F.pmod(F.xxhash64("query_id"), F.lit(batches)).cast("int")
-    everywhere = queries.select(
-        "query_id",
-        "vector",
-        "floor",
-        F.col("shard").alias("home"),
-        batch.alias("batch"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_shards))).alias("shard"),
-    ).where("shard <> home")
-    repeated = index.withColumn("batch", F.explode(F.sequence(F.lit(0), F.lit(batches - 1))))
-    rest = _searched(repeated, everywhere, ["shard", "batch"], k)
+    visits = materialize(_visited(index, queries, n_shards, batch_queries), "topk-visits")
+    # Each shard is shipped as often as its visitors fill batches, and not at all without any.
+    loads = visits.groupBy("shard").agg(F.ceil(F.count("*") / batch_queries).alias("batches"))
+    loads = materialize(loads, "topk-loads")
+    batch = F.pmod(F.xxhash64("query_id"), F.col("batches")).alias("batch")
+    visitors = visits.join(loads, "shard").select("query_id", "vector", "floor", "shard", batch)
+    repeated = index.join(loads, "shard").withColumn(
+        "batch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("batches") - 1))
+    )
+    rest = _searched(repeated.drop("batches"), visitors, ["shard", "batch"], k)
     return _best(first.union(rest), k).select("query_id", "rank", "vec_id", "score")

@@ -75,7 +75,57 @@ def test_blocks_are_left_out():
         "ids": pa.array([np.arange(4).tobytes(), np.arange(4, 8).tobytes()], pa.binary()),
         "width": [2, 2],
         "forward": pa.array([near.tobytes(), far.tobytes()], pa.binary()),
+        "highest": pa.array([near[0].tobytes(), far[0].tobytes()], pa.binary()),
+        "lowest": pa.array([near[0].tobytes(), far[0].tobytes()], pa.binary()),
     })
     queries = pa.table({"query_id": [99], "vector": [[10, 10]], "floor": pa.array([100], pa.int64())})
     ids = tk._search(index, queries, 2)[1]
     assert ids == [0, 1]
+
+
+def test_a_query_is_not_sent_to_shards_below_its_floor():
+    import numpy as np
+    import pyarrow as pa
+
+    def ends(*values):
+        return pa.array([np.array(v, np.int64).tobytes() for v in values], pa.binary())
+
+    # Shard 7 has two blocks, one of which reaches the floor; shard 9 has none; 5 is the home.
+    index = pa.table({
+        "shard": pa.array([9, 7, 5, 7], pa.int64()),
+        "width": [2, 2, 2, 1],
+        "highest": ends([4, 4], [1, 1], [90, 90], [50]),
+        "lowest": ends([-9, -9], [0, 0], [0, 0], [0]),
+    })
+    queries = pa.table({
+        "query_id": [1, 2, 3],
+        "vector": [[10, 10], [10, 10], [-10, 0]],
+        "floor": pa.array([100, None, 90], pa.int64()),
+        "home": pa.array([5, 5, 5], pa.int64()),
+    })
+    out = tk._visits(index, queries)
+    assert list(zip(*(out[n].to_pylist() for n in ("query_id", "shard")))) == [
+        (1, 7), (2, 7), (2, 9), (3, 9)
+    ]
+
+
+def test_clustered_vectors_visit_few_shards(spark, monkeypatch):
+    """Clusters far from each other: a query is sent to its own cluster's shards only."""
+    rnd = random.Random(5)
+    rows = []
+    for i in range(600):
+        v = [rnd.random() / 8 for _ in range(8)]
+        v[i % 8] += 4.0
+        rows.append((i, v))
+    sent = []
+    visited = tk._visited
+
+    def counted(*args):
+        out = visited(*args)
+        sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(tk, "_visited", counted)
+    found = run(spark, rows, 5, shard_rows=20, batch_queries=4)
+    assert found == brute(rows, 5, lambda i: i % 20 == 0)
+    assert 0 < sent[0] < 30 * 32 / 3
