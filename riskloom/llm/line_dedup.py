@@ -3,19 +3,21 @@
 A line's key is the line without white space at both ends, A-Z lower-cased. Each document
 refers to a key once, however often the line occurs in it. The index holds
 
-* references: key and document, appended without a shuffle,
+* references: key and document, its doc_id and a hash of its text, appended without a shuffle,
 * counts:     per key the number of documents and the largest doc_id (exact),
 * filters:    per shard cuckoo filters with the keys that are repeated often enough.
 
 Inserting documents raises counts and puts keys that reach the threshold into the filter
-of their shard; deleting documents lowers them again and takes such keys out. Lines are
-first tested against the filters; only what passes is joined with the exact counts, so a
+of their shard; deleting documents lowers them again and takes such keys out. Both count
+only the references that come or go; of the others only those of keys whose largest doc_id
+is deleted are read again, for their next largest. Lines are first tested against the filters; only what passes is joined with the exact counts, so a
 false positive of a filter never drops a line.
 
 Defined cases: a null or empty text is one empty line. A row is a document; rows that share
 a doc_id count as several documents and get the same lines dropped. A null doc_id is less
 than every other; where all documents of a line have none, the line stays. The largest
-doc_id keeps every copy of the line in its text.
+doc_id keeps every copy of the line in its text. Rows that share a doc_id, or have none, are
+told apart by their texts, so the lines to drop from one row are never those of all.
 """
 
 from __future__ import annotations
@@ -99,13 +101,35 @@ class CuckooFilters:
         self.tables.append(np.zeros((1 << int(np.ceil(np.log2(least))), SLOTS), np.uint16))
 
     def insert(self, hi: np.ndarray, lo: np.ndarray) -> None:
-        """Keys that are not in the shard yet."""
-        done = 0
-        while done < len(hi):
-            if self.tables and self._put(hi[done : done + 1], lo[done : done + 1]):
-                done += 1
-            else:  # full: the rest goes to the next
-                self._grow(len(hi) - done)
+        """Keys that are not in the shard yet: into free slots at once, the rest by kicks."""
+        if not self.tables and len(hi):
+            self._grow(len(hi))
+        while len(hi):
+            left = self._place(hi, lo)
+            stuck = next((n for n, i in enumerate(left) if not self._put(hi[i : i + 1], lo[i : i + 1])), None)
+            if stuck is None:
+                return
+            hi, lo = hi[left[stuck:]], lo[left[stuck:]]
+            self._grow(len(hi))  # full: the rest goes to the next
+
+    def _place(self, hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+        """Puts keys into free slots of their buckets; positions of those that found none."""
+        table = self.tables[-1]
+        room = len(hi)
+        if table.size <= 1 << 12:
+            room = max(0, int(np.ceil(LOAD * table.size)) - np.count_nonzero(table))
+        left, later = np.arange(len(hi))[:room], np.arange(len(hi))[room:]
+        prints, *places = _places(hi, lo, len(table))
+        for bucket in places:
+            order = left[np.argsort(bucket[left], kind="stable")]
+            at = bucket[order].astype(np.int64)
+            rank = np.arange(len(at)) - np.searchsorted(at, at)  # among the keys of a bucket
+            free = table[at] == 0
+            slot = free & (free.cumsum(axis=1) == rank[:, None] + 1)
+            fits = slot.any(axis=1)
+            table[at[fits], slot[fits].argmax(axis=1)] = prints[order[fits]]
+            left = np.sort(order[~fits])
+        return np.concatenate([left, later])
 
     def _put(self, hi: np.ndarray, lo: np.ndarray) -> bool:
         table = self.tables[-1]
@@ -162,8 +186,16 @@ def _key(line: bytes, least: int) -> bytes | None:
     return xxhash.xxh3_128_digest(key)
 
 
+REFERENCES = ["hi", "lo", "doc_id", "text_hash"]
+
+
+def _text_hash():
+    """Tells rows of one doc_id apart. Lines follow from doc_id and key, so equal hashes do no harm."""
+    return F.xxhash64("text").alias("text_hash")
+
+
 def references(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """hi, lo, doc_id: a row per document and key of at least min_chars code points."""
+    """hi, lo, doc_id, text_hash: a row per document and key of at least min_chars code points."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,17 +205,19 @@ def references(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
                 keys += sorted(own)
                 owner += [row] * len(own)
             pairs = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
+            rows = pa.array(owner, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(pairs[:, 0]),
                     pa.array(pairs[:, 1]),
-                    batch.column(0).take(pa.array(owner, pa.int64())),
+                    batch.column(0).take(rows),
+                    batch.column(2).take(rows),
                 ],
-                names=["hi", "lo", "doc_id"],
+                names=REFERENCES,
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "hi long, lo long, doc_id long"
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_hash()).mapInArrow(
+        run, ", ".join(f"{name} long" for name in REFERENCES)
     )
 
 
@@ -228,7 +262,8 @@ def _changed_filters(
     filters: DataFrame, keys: DataFrame, often: DataFrame, n_shards: int
 ) -> DataFrame:
     """Filters per shard after keys (hi, lo, gone) were put in or taken out; often: all keys
-    that are in afterwards. A shard that has or comes to several filters is built again."""
+    that are in afterwards. Shards without such keys are passed on as they are; one that has
+    or comes to several filters is built again."""
 
     def run(old: pa.Table, new: pa.Table) -> pa.Table:
         number = (old if old.num_rows else new)["shard"][0].as_py()
@@ -240,15 +275,19 @@ def _changed_filters(
         return _filter_row(number, shard.blobs() if len(shard.tables) < 2 else None)
 
     number = _shard(n_shards).alias("shard")
+    keys = keys.select(number, "hi", "lo", "gone")
+    touched = keys.select("shard").distinct()
     changed = materialize(
-        filters.groupBy("shard")
-        .cogroup(keys.select(number, "hi", "lo", "gone").groupBy("shard"))
+        filters.join(touched, "shard", "left_semi")
+        .groupBy("shard")
+        .cogroup(keys.groupBy("shard"))
         .applyInArrow(run, FILTERS),
         "line-filters",
     )
     outgrown = changed.where("filters IS NULL").select("shard")
     again = _built_filters(often.select(number, "hi", "lo").join(outgrown, "shard", "left_semi"))
-    return changed.where("filters IS NOT NULL").unionByName(again)
+    same = filters.join(touched, "shard", "left_anti")
+    return same.unionByName(changed.where("filters IS NOT NULL")).unionByName(again)
 
 
 @dataclass(frozen=True)
@@ -293,15 +332,34 @@ def insert(index: LineIndex, docs: DataFrame) -> LineIndex:
 def delete(index: LineIndex, doc_ids: DataFrame) -> LineIndex:
     """The index without the documents whose doc_id is listed; unknown ids are ignored."""
     ids = doc_ids.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    kept = materialize(index.references.join(ids, "doc_id", "left_anti"), "line-references")
-    left = _counted(kept.select("hi", "lo", "doc_id"))
-    joined = index.counts.select("hi", "lo", F.col("n_docs").alias("n0")).join(
-        left, ["hi", "lo"], "left"
+    refs = index.references
+    gone = materialize(
+        _counted(refs.join(ids, "doc_id", "left_semi").select(*REFERENCES)), "line-gone"
+    )
+    kept = refs.join(ids, "doc_id", "left_anti").select(*REFERENCES)
+    kept = materialize(kept, "line-references")
+    before = index.counts.select("hi", "lo", F.col("n_docs").alias("n0"), F.col("max_doc").alias("m0"))
+    less = before.join(
+        gone.select("hi", "lo", F.col("n_docs").alias("n_gone"), F.col("max_doc").alias("m_gone")),
+        ["hi", "lo"],
+        "left",
+    ).select(
+        "hi",
+        "lo",
+        (F.col("n0") - F.coalesce("n_gone", F.lit(0))).alias("n_docs"),
+        "m0",
+        "n0",
+        F.coalesce(F.col("m_gone") == F.col("m0"), F.lit(False)).alias("orphan"),
     )
-    joined = joined.select(
-        "hi", "lo", F.coalesce("n_docs", F.lit(0)).alias("n_docs"), "max_doc", "n0"
+    less = materialize(less, "line-lowered")
+    # Only keys whose largest doc_id went, and that are left, look for the next largest.
+    orphans = less.where(F.col("orphan") & (F.col("n_docs") > 0)).select("hi", "lo")
+    heirs = kept.join(orphans, ["hi", "lo"], "left_semi").groupBy("hi", "lo").agg(
+        F.max("doc_id").alias("heir")
     )
-    return _replaced(index, kept.select("hi", "lo", "doc_id"), joined)
+    largest = F.when(F.col("orphan"), F.col("heir")).otherwise(F.col("m0")).alias("max_doc")
+    joined = less.join(heirs, ["hi", "lo"], "left").select("hi", "lo", "n_docs", largest, "n0")
+    return _replaced(index, kept, joined)
 
 
 def _replaced(index: LineIndex, refs: DataFrame, joined: DataFrame) -> LineIndex:
@@ -316,24 +374,23 @@ def _replaced(index: LineIndex, refs: DataFrame, joined: DataFrame) -> LineIndex
 
 
 def dropped_keys(index: LineIndex, refs: DataFrame) -> DataFrame:
-    """doc_id, hi, lo of the lines to drop: filters first, exact counts for what passes."""
+    """doc_id, text_hash, hi, lo of the lines to drop: filters first, exact counts for what passes."""
     often = index.counts.where(F.col("n_docs") >= index.min_docs)
-    most = often.agg(F.max("n_docs")).first()[0] or 0
-    spread = max(SPREAD, most // ROWS_PER_GROUP)
+    most, total = index.counts.agg(F.max("n_docs"), F.sum("n_docs")).first()
+    most, mean = most or 0, (total or 0) // index.n_shards
+    spread = max(SPREAD, -(-max(most, mean) // ROWS_PER_GROUP))
     # A hot line is dealt to several groups; each gets the filters of its shard.
     lines = refs.select(
-        "hi",
-        "lo",
-        "doc_id",
+        *REFERENCES,
         _shard(index.n_shards).alias("shard"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(spread)).cast("int").alias("part"),
+        F.pmod(F.xxhash64("doc_id", "text_hash", "hi"), F.lit(spread)).cast("int").alias("part"),
     )
     filters = index.filters.withColumn(
         "part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1)))
     )
 
     def probe(rows: pa.Table, shard: pa.Table) -> pa.Table:
-        out = rows.select(["hi", "lo", "doc_id"])
+        out = rows.select(REFERENCES)
         if not shard.num_rows or not rows.num_rows:
             return out.slice(0, 0)
         found = CuckooFilters(shard["filters"][0].as_py()).contains(
@@ -344,11 +401,13 @@ def dropped_keys(index: LineIndex, refs: DataFrame) -> DataFrame:
     maybe = (
         lines.groupBy("shard", "part")
         .cogroup(filters.groupBy("shard", "part"))
-        .applyInArrow(probe, "hi long, lo long, doc_id long")
+        .applyInArrow(probe, ", ".join(f"{name} long" for name in REFERENCES))
     )
     exact = maybe.join(often.select("hi", "lo", "max_doc"), ["hi", "lo"])
     lower = F.col("doc_id").isNull() & F.col("max_doc").isNotNull()
-    return exact.where((F.col("doc_id") < F.col("max_doc")) | lower).select("doc_id", "hi", "lo")
+    return exact.where((F.col("doc_id") < F.col("max_doc")) | lower).select(
+        "doc_id", "text_hash", "hi", "lo"
+    )
 
 
 def without_lines(docs: DataFrame, drops: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -356,13 +415,17 @@ def without_lines(docs: DataFrame, drops: DataFrame, min_chars: int = MIN_CHARS)
 
     A null text stays null.
     """
-    lines, dropped, keys, owner = fresh(docs, "n_lines", "n_dropped", "drop_keys", "drop_owner")
-    lists = drops.groupBy(F.col("doc_id").alias(owner)).agg(
-        F.collect_list(F.struct("hi", "lo")).alias(keys)
+    lines, dropped, keys, owner, of_text = fresh(
+        docs, "n_lines", "n_dropped", "drop_keys", "drop_owner", "drop_text"
+    )
+    # A list holds the distinct lines of one text, however many rows share its doc_id.
+    lists = drops.groupBy(F.col("doc_id").alias(owner), F.col("text_hash").alias(of_text)).agg(
+        F.collect_set(F.struct("hi", "lo")).alias(keys)
+    )
+    same_row = F.col("doc_id").cast("long").eqNullSafe(F.col(owner)) & (
+        F.xxhash64("text") == F.col(of_text)
     )
-    joined = docs.join(
-        lists, F.col("doc_id").cast("long").eqNullSafe(F.col(owner)), "left"
-    ).drop(owner)
+    joined = docs.join(lists, same_row, "left").drop(owner, of_text)
     schema = T.StructType(
         [*docs.schema.fields, T.StructField(lines, T.LongType()), T.StructField(dropped, T.LongType())]
     )

@@ -42,21 +42,23 @@ FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 
 OP3 = rf"""
 WITH lines AS (
-  SELECT doc_id, i, l[i] AS line,
+  SELECT r, doc_id, i, l[i] AS line,
          {lowered(r"regexp_replace(l[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')")} AS key
-  FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i
-        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents))
+  FROM (SELECT r, doc_id, l, unnest(range(1, len(l) + 1)) AS i
+        FROM (SELECT row_number() OVER () AS r, doc_id,
+                     string_split(coalesce(text, ''), chr(10)) AS l
+              FROM documents))
 ), repeated AS (
   SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= 20
-  GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+  GROUP BY key HAVING count(DISTINCT r) >= 3
 ), judged AS (
-  SELECT doc_id, i, line, keeper IS NOT NULL AND doc_id <> keeper AS dropped
+  SELECT r, doc_id, i, line, keeper IS NOT NULL AND doc_id IS DISTINCT FROM keeper AS dropped
   FROM lines LEFT JOIN repeated USING (key)
 )
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT dropped), ''))
          AS kept_sha256
-FROM judged GROUP BY doc_id
+FROM judged GROUP BY r, doc_id
 """
 
 OP5 = """

@@ -5,6 +5,7 @@ from collections import defaultdict
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from riskloom.llm import line_dedup as ld
 
@@ -162,3 +163,62 @@ def test_an_outgrown_shard_is_built_again(spark):
         assert sum(int((t != 0).sum()) for f in shards for t in f.tables) == held
         assert index.counts.count() == held
         index = ld.delete(index, docs(300, 400).select("doc_id"))
+
+
+def test_rows_without_an_id_get_only_their_own_lines(spark):
+    """Many rows without an id, and many that share one: a row's list is that of its text."""
+    n = 100_000
+    rows = spark.range(n).select(
+        F.when(F.col("id") % 2 == 0, F.lit(7)).cast("long").alias("doc_id"),
+        F.concat_ws(
+            "\n",
+            F.lit(LONG),
+            F.concat(F.lit("a line that few rows have "), (F.col("id") % 20_000).cast("string")),
+            F.concat(F.lit("own "), F.col("id").cast("string")),
+        ).alias("text"),
+    )
+    last = spark.createDataFrame([(8, LONG)], SCHEMA)
+    docs = rows.union(last).repartition(8)
+    index = ld.build(docs, shards=4)
+    drops = ld.dropped_keys(index, index.references)
+    lists = drops.groupBy("doc_id", "text_hash").agg(F.countDistinct("hi", "lo").alias("n"))
+    assert lists.agg(F.max("n")).first()[0] <= 2
+    out = ld.without_lines(docs, drops)
+    # Lines with id % 20000 are in five rows of one parity: those of id 7 keep them.
+    got = {tuple(r) for r in out.groupBy("doc_id", "n_dropped").count().collect()}
+    assert got == {(7, 1, n // 2), (None, 1, n // 2), (8, 0, 1)}
+
+
+def test_deletion_counts_only_what_goes(spark):
+    """Deleting the keeper leaves the next largest id, deleting another only lowers the count."""
+    docs = spark.createDataFrame([(i, f"{LONG}\n{LONG} {i % 3}") for i in range(1, 13)], SCHEMA)
+    index = ld.build(docs, min_docs=3, shards=4)
+    for gone in ([12], [3, 99], [11, 10, None], list(range(1, 8)), [8, 9]):
+        ids = spark.createDataFrame([(i,) for i in gone], "doc_id long")
+        index = ld.delete(index, ids)
+        docs = docs.join(ids, "doc_id", "left_anti")
+        whole = ld.build(docs, min_docs=3, shards=4)
+        names = ["hi", "lo", "n_docs", "max_doc"]
+        assert {tuple(r) for r in index.counts.select(names).collect()} == {
+            tuple(r) for r in whole.counts.select(names).collect()
+        }
+        left = ld.without_lines(docs, ld.dropped_keys(index, index.references))
+        assert result(left) == brute([tuple(r) for r in docs.select("doc_id", "text").collect()])
+
+
+def test_sql_takes_a_row_as_a_document(spark, tmp_path):
+    """Rows that share a doc_id, or have none, count alike in the operator and its SQL."""
+    import duckdb
+
+    from riskloom.llm.oracle import STATEMENTS
+    from riskloom.llm.queries import QUERIES
+
+    rows = [(1, LONG), (1, LONG), (2, f"{LONG}\nx"), (None, LONG), (2, LONG), (None, None)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op3_line_dedup"](spark, str(tmp_path))
+    names = ["doc_id", "n_lines", "n_dropped", "kept_sha256"]
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS FROM '{tmp_path}/documents.parquet/*.parquet'")
+    expected = con.sql(f"SELECT {', '.join(names)} FROM ({STATEMENTS['op3_line_dedup']})").fetchall()
+    assert sorted((tuple(r) for r in found.select(names).collect()), key=str) == sorted(expected, key=str)
+    assert sum(r[2] for r in expected) == 3
