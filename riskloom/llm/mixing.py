@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import fresh, text_or_empty
@@ -132,18 +132,19 @@ def _swept(
 ) -> DataFrame:
     """Sweeps until no margin misses its target by more than this part of the size.
 
-    Cells carry the largest miss of a sweep along, so it costs no join; each sweep is written,
-    so one is lost at most, and every sweep is the same small plan.
+    Cells carry the largest miss of a sweep along, so it costs no join, and the write of a sweep
+    observes it, so it costs no job: what the driver keeps of a job adds up over many sweeps. Each
+    sweep is written, so one is lost at most, and every sweep is the same small plan.
     """
     query, worst = _sweep(list(wants), rule), 0.0
     for margin, want in wants.items():
         state = state.join(want.withColumnRenamed("want", f"want_{margin}"), margin, "left")
     parts = max(1, -(-state.count() // CELLS))
     for _ in range(sweeps):
-        swept = state.sparkSession.sql(query, state=state)
-        swept = materialize(swept.coalesce(parts), "mix-cells")
+        swept, seen = state.sparkSession.sql(query, state=state).coalesce(parts), Observation()
+        swept = materialize(swept.observe(seen, F.max("miss").alias("miss")), "mix-cells")
         state = swept.drop("miss")
-        worst = (swept.agg(F.max("miss")).first()[0] or 0.0) / size
+        worst = (seen.get["miss"] or 0.0) / size
         if worst <= error:
             break
     else:

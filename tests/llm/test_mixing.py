@@ -152,3 +152,21 @@ def test_enough_without_bounds_stays_as_it_is(spark):
         return sorted((r.doc_id, r.probability) for r in mixed(spark, rows(200), **options))
 
     assert chances(least=0.01) == chances()
+
+
+def test_a_sweep_takes_no_job_of_its_own_to_tell_its_miss(spark, monkeypatch):
+    cells = spark.createDataFrame(
+        [("a", "x", 5), ("a", "y", 3), ("b", "x", 2), ("b", "y", 9)], "m STRING, n STRING, tokens LONG"
+    )
+    shares = {
+        c: spark.createDataFrame([(v, w) for v, w in zip(values, (0.3, 0.7))], f"{c} STRING, want DOUBLE")
+        for c, values in (("m", "ab"), ("n", "xy"))
+    }
+    asked = []
+    monkeypatch.setattr(type(cells), "first", lambda df: asked.append(df))
+    state = cells.withColumn("factor", F.lit(1.0 / 19))
+    swept = mixing._swept(state, shares, mixing.PLAIN, 1.0, 60, 1e-9)
+    assert not asked
+    sums = {(r.m, r.n): r.tokens * r.factor for r in swept.collect()}
+    assert abs(sums["a", "x"] + sums["a", "y"] - 0.3) < 1e-8
+    assert abs(sums["a", "x"] + sums["b", "x"] - 0.3) < 1e-8
