@@ -88,44 +88,63 @@ def targeted(cells: DataFrame, targets: dict[str, DataFrame]) -> dict[str, DataF
 # Per value of a margin: what is summed over its cells, the step of their factors, and how far
 # the value is off before that step.
 PLAIN = (
-    "sum(tokens * factor) AS have",
+    {"have": "tokens * factor"},
     "CASE WHEN have > 0 THEN coalesce(want, 0) / have ELSE 1 END",
     "abs(have - coalesce(want, 0))",
 )
 BOUNDED = (
-    "sum(CASE WHEN factor >= 1 THEN tokens ELSE 0 END) AS held,"
-    " sum(CASE WHEN factor >= 1 THEN 0 ELSE tokens * factor END) AS free,"
-    " sum(tokens * factor) AS whole",
+    {
+        "held": "CASE WHEN factor >= 1 THEN tokens ELSE 0 END",
+        "free": "CASE WHEN factor >= 1 THEN 0 ELSE tokens * factor END",
+        "whole": "tokens * factor",
+    },
     "CASE WHEN free > 0 AND want > held THEN (want - held) / free"
     " WHEN want < held THEN want / whole ELSE 1 END",
     "coalesce(abs(held + free - want), 0)",
 )
+Rule = tuple[dict[str, str], str, str]
 
 
-def _sweep(margins: list[str], rule: tuple[str, str, str]) -> str:
-    """SQL of one sweep over cells {state}, which have the target of each margin's value.
+def _joined_step(before: str, margin: str, rule: Rule, kept: str) -> str:
+    """Sums a value by shuffles, for cells in many tasks.
 
     Sorted joins: a broadcast for each of many tiny joins fills the driver.
     """
     sums, step, off = rule
+    each = ", ".join(f"sum({x}) AS {name}" for name, x in sums.items())
+    return f"""
+  SELECT /*+ MERGE(v) */ {kept}, factor * step AS factor, greatest(miss, off) AS miss
+  FROM {before} s JOIN (
+    SELECT {margin}, CAST({step} AS DOUBLE) AS step, CAST({off} AS DOUBLE) AS off
+    FROM (SELECT {margin}, max(want_{margin}) AS want, {each} FROM {before} GROUP BY {margin})
+  ) v ON s.{margin} = v.{margin}"""
+
+
+def _window_step(before: str, margin: str, rule: Rule, kept: str) -> str:
+    """The same by windows, for the cells of one task, which then need no shuffle."""
+    sums, step, off = rule
+    each = ", ".join(f"sum({x}) OVER ({margin}_cells) AS {name}" for name, x in sums.items())
+    return f"""
+  SELECT {kept}, factor * CAST({step} AS DOUBLE) AS factor,
+    greatest(miss, CAST({off} AS DOUBLE)) AS miss
+  FROM (SELECT *, want_{margin} AS want, {each} FROM {before}
+    WINDOW {margin}_cells AS (PARTITION BY {margin})) s"""
+
+
+def _sweep(margins: list[str], rule: Rule, one_task: bool) -> str:
+    """SQL of one sweep over cells {state}, which have the target of each margin's value."""
     kept = ", ".join([*(f"s.{m}" for m in margins), *(f"want_{m}" for m in margins), "tokens"])
+    step = _window_step if one_task else _joined_step
     parts = ["s0 AS (SELECT *, 0.0D AS miss FROM {state})"]
     for i, margin in enumerate(margins):
-        parts.append(
-            f"""s{i + 1} AS (
-  SELECT /*+ MERGE(v) */ {kept}, factor * step AS factor, greatest(miss, off) AS miss
-  FROM s{i} s JOIN (
-    SELECT {margin}, CAST({step} AS DOUBLE) AS step, CAST({off} AS DOUBLE) AS off
-    FROM (SELECT {margin}, max(want_{margin}) AS want, {sums} FROM s{i} GROUP BY {margin})
-  ) v ON s.{margin} = v.{margin})"""
-        )
+        parts.append(f"s{i + 1} AS ({step(f's{i}', margin, rule, kept)})")
     return "WITH " + ",\n".join(parts) + f"\nSELECT * FROM s{len(margins)}"
 
 
 def _swept(
     state: DataFrame,
     wants: dict[str, DataFrame],
-    rule: tuple[str, str, str],
+    rule: Rule,
     size: float,
     sweeps: int,
     error: float,
@@ -134,13 +153,17 @@ def _swept(
 
     Cells carry the largest miss of a sweep along, so it costs no join, and the write of a sweep
     observes it, so it costs no job: what the driver keeps of a job adds up over many sweeps. Each
-    sweep is written, so one is lost at most, and every sweep is the same small plan.
+    sweep is written, so one is lost at most, and every sweep is the same small plan. Cells that
+    fill one file at most are swept in the task that reads it: one stage a sweep, where shuffles
+    and joins would make a dozen, all planned and kept by the driver.
     """
-    query, worst = _sweep(list(wants), rule), 0.0
+    worst = 0.0
     for margin, want in wants.items():
         state = state.join(want.withColumnRenamed("want", f"want_{margin}"), margin, "left")
     parts = max(1, -(-state.count() // CELLS))
+    query = _sweep(list(wants), rule, parts == 1)
     for _ in range(sweeps):
+        state = state.coalesce(1) if parts == 1 else state
         swept, seen = state.sparkSession.sql(query, state=state).coalesce(parts), Observation()
         swept = materialize(swept.observe(seen, F.max("miss").alias("miss")), "mix-cells")
         state = swept.drop("miss")

@@ -170,3 +170,29 @@ def test_a_sweep_takes_no_job_of_its_own_to_tell_its_miss(spark, monkeypatch):
     sums = {(r.m, r.n): r.tokens * r.factor for r in swept.collect()}
     assert abs(sums["a", "x"] + sums["a", "y"] - 0.3) < 1e-8
     assert abs(sums["a", "x"] + sums["b", "x"] - 0.3) < 1e-8
+
+
+def test_cells_of_one_task_are_swept_in_one_stage(spark, plan_of, monkeypatch):
+    plans, written = [], mixing.materialize
+
+    def noted(df, purpose):
+        if "miss" in df.columns:
+            plans.append(plan_of(df))
+        return written(df, purpose)
+
+    monkeypatch.setattr(mixing, "materialize", noted)
+    data = rows(200) + [(9_000, "lone", "xx", "w", 2), (9_001, "dry", "en", "x", 0)]
+
+    def chances():
+        plans.clear()
+        found = mixed(spark, data, least=0.4, sweeps=5)
+        return dict(sorted((r.doc_id, r.probability) for r in found))
+
+    few = chances()
+    shuffled = [p for p in plans if "Exchange" in p or "Join" in p]
+    assert len(plans) > 2
+    assert len(shuffled) <= 2  # the first ones of both rakings join the targets
+    monkeypatch.setattr(mixing, "CELLS", 10)
+    many = chances()
+    assert all("Exchange" in p for p in plans)
+    assert many == pytest.approx(few, abs=2e-6)
