@@ -13,10 +13,13 @@ from riskloom.plans.jobs import open_jdbc_dashboard, score_stream, train_on
 from riskloom.sinks.jdbc import STARTED, _note, _tagged, append_batch_jdbc, write_jdbc
 from riskloom.sources.jdbc import SPREAD_VALUES, JdbcTable, read_predictions
 from riskloom.sources.sample_tables import case_scorer
+from riskloom.streaming import sinks
 from riskloom.streaming.live import live_distribution
 from riskloom.streaming.once import without_copies
 from riskloom.streaming.scoring import decode_reports, score_reports
 from riskloom.streaming.sinks import (
+    LARGE_STATE,
+    STATE_STORE,
     claim,
     jdbc_batches,
     latest_result,
@@ -396,3 +399,34 @@ def test_reports_sent_again_are_left_out(spark, folder):
     assert len(run()) == 8
     batch = without_copies(spark.read.text(f"{folder}/in"), "30 days")
     assert batch.count() == 9
+
+
+def test_state_of_reports_sent_again_is_kept_off_the_heap(spark, folder, monkeypatch):
+    monkeypatch.setattr(learning, "predict", lambda model, rows: case_scorer(rows))
+    put(f"{folder}/in", "a", [report(1), report(1), report(2)])
+    messages = file_messages(spark, f"{folder}/in")
+    store = f"{STATE_STORE}.providerClass"
+
+    def run(name):
+        writer = parquet_batches(f"{folder}/{name}-out")
+        started = score_stream(
+            messages, None, writer, f"{folder}/{name}", available_now=True, once="30 days"
+        )
+        started.awaitTermination()
+        assert all(spark.conf.get(key, None) is None for key in LARGE_STATE)
+        used = [p["stateOperators"][0]["customMetrics"] for p in started.recentProgress]
+        kept = read_batches(spark, f"{folder}/{name}-out")
+        return sorted(r.county for r in kept.collect()), any("rocksdbPutCount" in u for u in used)
+
+    with monkeypatch.context() as older:
+        older.setattr(sinks, "LARGE_STATE", {})
+        assert run("older") == (["c1", "c2"], False)
+    assert run("checkpoint") == (["c1", "c2"], True)
+    put(f"{folder}/in", "b", [report(2), report(3), report(3)])
+    assert run("checkpoint") == (["c1", "c2", "c3"], True)
+    # A checkpoint of the store in memory goes on with it, and a session's own choice stands.
+    assert run("older") == (["c1", "c2", "c3"], False)
+    with sinks._defaults(spark, {store: "another"}):
+        with sinks._defaults(spark, LARGE_STATE):
+            assert spark.conf.get(store) == "another"
+        assert spark.conf.get(store) == "another"
