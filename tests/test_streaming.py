@@ -400,6 +400,19 @@ def test_reports_sent_again_are_left_out(spark, folder):
     batch = without_copies(spark.read.text(f"{folder}/in"), "30 days")
     assert batch.count() == 9
 
+def test_decoded_copies_are_not_parsed_again(spark, folder, plan_of):
+    lines = [report(1), report(1), report(2), report(3, cases="x"), report(4, date="some day")]
+    put(f"{folder}/in", "a", [*lines, "no report"])
+    messages = spark.read.text(f"{folder}/in")
+    bodies = without_copies(messages, "30 days")
+    decoded = without_copies(messages, "30 days", decoded=True)
+    assert rows(decoded.select("value")) == rows(bodies)
+    reports = decode_reports(decoded)
+    assert reports.columns == decode_reports(bodies).columns
+    assert sorted(map(str, reports.collect())) == sorted(map(str, decode_reports(bodies).collect()))
+    # Once for the dated messages, once for the others.
+    assert plan_of(reports).count("from_json(") == 2
+
 
 def test_state_of_reports_sent_again_is_kept_off_the_heap(spark, folder, monkeypatch):
     monkeypatch.setattr(learning, "predict", lambda model, rows: case_scorer(rows))
