@@ -9,8 +9,11 @@ from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from riskloom.operators import learning
+from riskloom.plans import catalog
 from riskloom.plans.jobs import open_jdbc_dashboard, score_stream, train_on
+from riskloom.sinks import messages as messages_sink
 from riskloom.sinks.jdbc import STARTED, _note, _tagged, append_batch_jdbc, write_jdbc
+from riskloom.sinks.messages import write_message_files
 from riskloom.sources.jdbc import SPREAD_VALUES, JdbcTable, read_predictions
 from riskloom.sources.sample_tables import case_scorer
 from riskloom.streaming import sinks
@@ -443,3 +446,39 @@ def test_state_of_reports_sent_again_is_kept_off_the_heap(spark, folder, monkeyp
         with sinks._defaults(spark, LARGE_STATE):
             assert spark.conf.get(store) == "another"
         assert spark.conf.get(store) == "another"
+
+
+def test_compressed_messages_are_the_same_on_less_disk(spark, folder, monkeypatch):
+    monkeypatch.setattr(messages_sink, "MESSAGES_PER_FILE", 400)
+    rows_in = decode_reports(spark.createDataFrame([(report(i),) for i in range(1000)], "value STRING"))
+    rows_in = rows_in.withColumn("date", F.col("date").cast("date")).coalesce(1)
+    write_message_files(rows_in, f"{folder}/plain")
+    write_message_files(rows_in, f"{folder}/small", compressed=True)
+    sizes = {
+        name: [os.path.getsize(f"{folder}/{name}/{f}") for f in os.listdir(f"{folder}/{name}") if f[:4] == "part"]
+        for name in ("plain", "small")
+    }
+    assert len(sizes["small"]) == 3  # none longer than 400 messages
+    assert sum(sizes["small"]) < sum(sizes["plain"]) / 4
+    assert rows(spark.read.text(f"{folder}/small")) == rows(spark.read.text(f"{folder}/plain"))
+    start_files(
+        file_messages(spark, f"{folder}/small", max_bytes_per_trigger=1),
+        f"{folder}/out",
+        f"{folder}/checkpoint",
+        available_now=True,
+    ).awaitTermination()
+    assert rows(spark.read.parquet(f"{folder}/out")) == rows(spark.read.text(f"{folder}/plain"))
+
+
+def test_messages_sent_twice_are_kept_compressed_and_found(spark, folder, monkeypatch):
+    lines = [report(i) for i in range(300)]
+    sent = decode_reports(spark.createDataFrame([(line,) for line in lines], "value STRING"))
+    sent = sent.withColumn("date", F.col("date").cast("date")).drop("mois", "jour")
+    monkeypatch.setattr(catalog.sample, "reports", lambda *_: sent)
+    monkeypatch.setattr(catalog, "shared_folder", lambda *_: f"{folder}/run")
+    found = catalog.stream_deduplicated(spark, "none")
+    assert found.count() == sent.dropna().distinct().count()
+    written = [f for _, _, names in os.walk(f"{folder}/run/messages") for f in names if f[:4] == "part"]
+    assert written and all(f.endswith(".gz") for f in written)
+    with open(f"{folder}/run/checkpoint/offsets/0") as offsets:
+        assert f'"{STATE_STORE}.compression.codec":"zstd"' in offsets.read()
